@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetscope.functions import predicates as is_
-from fleetscope.functions.derive import rate
-from fleetscope.operators.rollup import is_rollup, rollup, rows
+from fleetscope.functions.derive import lookup_value, rate
+from fleetscope.operators.rollup import rows
 
 RATE_KEYS = (
     ("forklift_id", "shift"),
@@ -90,32 +90,34 @@ def shift_risk(df: DataFrame) -> DataFrame:
 def all_rates(df: DataFrame) -> DataFrame:
     """Every rate over every key set in one pass, told apart by ``grouping``.
 
-    The grouping sets expand the rollup, never the facts."""
-    base = df if is_rollup(df) else rollup(df)
+    The facts shrink to a row per vehicle, zone and shift first; the grouping
+    sets expand these few rows, never the facts."""
     names = ("forklift_id", "zone", "shift")
-    sets = [[F.col(k) for k in keys] for keys in RATE_KEYS]
-    # grouping_id() has a bit per column of the list, set where it is left out
-    label = F.lit(None)
-    for keys in RATE_KEYS:
-        bits = sum(1 << (len(names) - 1 - i) for i, name in enumerate(names) if name not in keys)
-        label = F.when(F.col("set_id") == bits, "+".join(keys)).otherwise(label)
-    counted = base.groupingSets(sets, *names).agg(
-        F.grouping_id().alias("set_id"),
-        rows(base).alias("total_records"),
-        rows(base, is_.offline()).alias("offline_count"),
-        rows(base, is_.unauthorized()).alias("unauthorized_count"),
-        rows(base, is_.not_active()).alias("downtime_count"),
+    counted = {
+        "total_records": rows(df),
+        "offline_count": rows(df, is_.offline()),
+        "unauthorized_count": rows(df, is_.unauthorized()),
+        "downtime_count": rows(df, is_.not_active()),
+    }
+    base = df.groupBy(*names).agg(*[count.alias(name) for name, count in counted.items()])
+    summed = base.groupingSets([[F.col(k) for k in keys] for keys in RATE_KEYS], *names).agg(
+        F.grouping_id().alias("set_id"), *[F.sum(name).alias(name) for name in counted]
+    )
+
+    def set_id(keys: tuple[str, ...]) -> int:
+        """A bit per name, set where the name is left out, the first one highest."""
+        return int("".join("0" if name in keys else "1" for name in names), 2)
+
+    label = lookup_value(
+        F.col("set_id"), [(set_id(keys), "+".join(keys)) for keys in RATE_KEYS]
     )
     total = F.col("total_records")
     return (
-        _composite(counted)
+        _composite(summed)
         .select(
             label.alias("grouping"),
             *names,
-            "total_records",
-            "offline_count",
-            "unauthorized_count",
-            "downtime_count",
+            *counted,
             "total_risk_events",
             rate(F.col("offline_count"), total).alias("offline_rate"),
             rate(F.col("unauthorized_count"), total).alias("unauthorized_rate"),
