@@ -7,6 +7,7 @@ which also cuts the lineage, and every result is derived from it.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,6 +49,7 @@ HISTORY = (
     "predict_composite_risk_zone_shift",
     "predict_shift_risk",
 )
+_WRITERS = 4
 REVIEWED = tuple(name for name in COLLECTIONS if not name.startswith("predict_"))
 
 
@@ -65,10 +67,14 @@ def write_results(
 ) -> dict[str, Receipt]:
     """Replace the result collections below ``target``."""
     base = stored_rollup(df, f"{target}/rollup")
-    return {
-        name: replace_table(RESULTS[name](base), result_path(target, name), fmt)
-        for name in names
-    }
+
+    def write(name: str) -> Receipt:
+        return replace_table(RESULTS[name](base), result_path(target, name), fmt)
+
+    # small independent jobs: run a few at a time to fill the cluster
+    with ThreadPoolExecutor(_WRITERS) as pool:
+        names = tuple(names)
+        return dict(zip(names, pool.map(write, names)))
 
 
 def append_history(df: DataFrame, target: str, fmt: str = "parquet") -> dict[str, Receipt]:

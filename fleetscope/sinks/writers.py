@@ -9,8 +9,10 @@ input.
 from __future__ import annotations
 
 import logging
+import tempfile
 import uuid
 from dataclasses import dataclass
+from urllib.parse import unquote, urlsplit
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -36,10 +38,13 @@ class Receipt:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A fresh folder below the cluster's shared checkpoint folder."""
+    """A fresh folder below the cluster's shared checkpoint folder. Only a local
+    session may do without one; there the machine's temporary folder serves."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        raise ValueError("spark.checkpoint.dir is not set: name a folder all executors share")
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir is not set: name a folder all executors share")
+        root = tempfile.gettempdir()
     return f"{root.rstrip('/')}/fleetscope-{uuid.uuid4().hex}"
 
 
@@ -50,6 +55,21 @@ def stored_rows(spark: SparkSession, path: str, fmt: str, schema: T.StructType)
     return reader.format(fmt).load(path).count()
 
 
+def _location(uri: str) -> str:
+    return unquote(urlsplit(uri).path).rstrip("/") + "/"
+
+
+def _refuse_own_input(df: DataFrame, path: str) -> None:
+    """A plain overwrite deletes its target first: reading from there would lose
+    the data. (A cached DataFrame hides its files; do not overwrite those.)"""
+    target = _location(path)
+    own = f"/{target}" if not target.startswith("/") else target
+    for file in df.inputFiles():
+        found = _location(file)
+        if found.startswith(target) or (own != target and own in found):
+            raise ValueError(f"{path} is read by its own replacement: load it elsewhere first")
+
+
 def _load(
     df: DataFrame,
     path: str,
@@ -60,20 +80,24 @@ def _load(
 ) -> Receipt:
     if fmt not in FORMATS:
         raise ValueError(f"Unknown format: {fmt}")
+    options = options or {}
+    if mode == "overwrite" and options.get("partitionOverwriteMode") != "dynamic":
+        _refuse_own_input(df, path)
     written = Observation()
     writer = df.observe(written, F.count(F.lit(1)).alias("rows")).write.mode(mode).format(fmt)
     if fmt == "csv":
         writer = writer.option("header", True)
     if fmt in ("csv", "json"):
         writer = writer.option("timestampNTZFormat", _MICROSECONDS)
-    writer.options(**(options or {})).partitionBy(*partition_by).save(path)
+    writer.options(**options).partitionBy(*partition_by).save(path)
     receipt = Receipt(path, written.get["rows"], stored_rows(df.sparkSession, path, fmt, df.schema))
     log.info("%s: wrote %d rows, holds %d", path, receipt.written, receipt.stored)
     return receipt
 
 
 def replace_table(df: DataFrame, path: str, fmt: str = "parquet", **options: object) -> Receipt:
-    """Full replace. No rows leave an empty table behind, not an error."""
+    """Full replace. No rows leave an empty table behind, not an error. A target
+    that ``df`` itself reads is refused before anything is deleted."""
     return _load(df, path, fmt, "overwrite", options=options)
 
 
