@@ -11,7 +11,7 @@ import json
 import os
 import re
 
-from fleetscope.plans import catalog, loads, measure
+from fleetscope.plans import catalog, measure
 from fleetscope.plans.sql_queries import run_sql
 from fleetscope.session import local_session
 from fleetscope.sinks.writers import replace_table, shared_folder
@@ -38,7 +38,7 @@ def main() -> None:
     damaged = damaged_telemetry(spark, SF_DIR)
     for queries, source in ((catalog.CLEAN, readings), (catalog.DAMAGED, damaged)):
         for name, query in queries.items():
-            repeats = 1 if hasattr(loads, name) else REPEATS
+            repeats = 1 if name in catalog.LOADS else REPEATS
             times[name] = measure.seconds(lambda: measure.run(query(source)), repeats)
 
     readings = readings.select(*TELEMETRY.fieldNames())

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,7 +21,7 @@ def top_forklifts_by_records(df: DataFrame, k: int = 5) -> DataFrame:
 
 
 def first_records_by_forklift(
-    df: DataFrame, k: int = 5, tie_breakers: tuple[str, ...] = ("timestamp",)
+    df: DataFrame, k: int = 5, tie_breakers: Sequence[str] = ("timestamp",)
 ) -> DataFrame:
     return df.orderBy("forklift_id", *tie_breakers).limit(k)
 

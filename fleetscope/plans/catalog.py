@@ -67,7 +67,8 @@ def unauthorized_spread(df: DataFrame) -> DataFrame:
 
 
 def first_records(df: DataFrame) -> DataFrame:
-    first = topk.first_records_by_forklift(df, 5, ("timestamp", "event_id"))
+    tie_breakers = [name for name in ("timestamp", "event_id") if name in df.columns]
+    first = topk.first_records_by_forklift(df, 5, tie_breakers)
     return _with_text(first.select(*TELEMETRY.fieldNames()), "timestamp", "date")
 
 
@@ -83,14 +84,16 @@ def _sql(name: str) -> Query:
     return lambda df: run_sql(name, df)
 
 
-CLEAN: dict[str, Query] = {
-    # derived columns
+# a row per reading, by the number of its event
+DERIVED: dict[str, Query] = {
     "derive_shift": derive_shift,
     "derive_zone": derive_zone,
     "derive_day_index": derive_day_index,
     "classify_downtime": classify_downtime,
     "record_keys": record_keys,
-    "zone_anchors": zone_anchors,
+}
+
+ANALYSES: dict[str, Query] = {
     # counts
     "category_counts": counts.category_counts,
     "shift_counts": counts.shift_counts,
@@ -107,6 +110,7 @@ CLEAN: dict[str, Query] = {
     "record_count": counts.record_count,
     "status_totals": counts.status_totals,
     "distinct_values": counts.distinct_values,
+    "zone_anchors": zone_anchors,
     # signal and spread
     "avg_rssi_by_zone": counts.avg_rssi_by_zone,
     "zone_shift_summary": _sql("zone_shift_summary"),
@@ -137,13 +141,15 @@ CLEAN: dict[str, Query] = {
     "profile_enriched_counts": fleet.profile_enriched_counts,
     "preferred_zone_share": fleet.preferred_zone_share,
     "state_mix_drift": fleet.state_mix_drift,
-    # quality of well-formed data
+    # completeness and uniqueness
     "duplicate_keys": quality.duplicate_keys,
     "cadence_completeness": cadence_completeness,
     # summary and placement
     "summary_document": summary_document,
     "shard_balance": counts.shard_balance,
-    # loads and scans
+}
+
+LOADS: dict[str, Query] = {
     "csv_scan": loads.csv_scan,
     "parquet_scan": loads.parquet_scan,
     "document_scan": loads.document_scan,
@@ -155,8 +161,7 @@ CLEAN: dict[str, Query] = {
     "result_tables": loads.result_tables,
 }
 
-DAMAGED: dict[str, Query] = {
-    "signal_sentinel": signal_sentinel,
+CHECKS: dict[str, Query] = {
     "null_counts": quality.null_counts,
     "value_distributions": quality.value_distributions,
     "logic_checks": quality.logic_checks,
@@ -165,7 +170,13 @@ DAMAGED: dict[str, Query] = {
     "rssi_out_of_range": quality.rssi_out_of_range,
     "zone_anchor_mismatch": quality.zone_anchor_mismatch,
     "validation_report": quality.validation_report,
-    # the same query as above, where null and doubly counted rows make a difference
+}
+
+CLEAN: dict[str, Query] = DERIVED | ANALYSES | LOADS
+DAMAGED: dict[str, Query] = {
+    **CHECKS,
+    "signal_sentinel": signal_sentinel,
+    # analyses again, where null and doubly counted rows make a difference
     "category_counts_damaged": counts.category_counts,
     "downtime_by_forklift_damaged": rates.downtime_by_forklift,
     "composite_risk_zone_shift_damaged": rates.composite_risk_zone_shift,

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from fleetscope.operators import counts, quality, rates, reshape, summary
 from fleetscope.operators.rollup import rollup
-from fleetscope.plans import catalog, loads, results
+from fleetscope.plans import catalog, results
 from fleetscope.schema import TELEMETRY
 from fleetscope.sinks.writers import replace_table
 from fleetscope.sources import events, readers
@@ -17,17 +17,10 @@ from tests.fixture import explained, listed
 LAZY = {
     name: query
     for name, query in (catalog.CLEAN | catalog.DAMAGED).items()
-    if not hasattr(loads, name)
+    if name not in catalog.LOADS
 }
 # results with a row per reading; everything else must shrink before a shuffle
-ROW_LEVEL = {
-    "derive_shift",
-    "derive_zone",
-    "derive_day_index",
-    "classify_downtime",
-    "record_keys",
-    "signal_sentinel",
-}
+ROW_LEVEL = {*catalog.DERIVED, "signal_sentinel"}
 
 
 @pytest.fixture(scope="module")
