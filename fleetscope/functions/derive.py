@@ -32,6 +32,18 @@ def timestamp_text(ts: Column) -> Column:
     return F.substring(ts.cast("string"), 1, 19)
 
 
+def second_of(ts: Column) -> Column:
+    """The second a reading falls in, counted from 1970 on the wall clock."""
+    in_day = F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)
+    return F.unix_date(F.to_date(ts)).cast("bigint") * 86400 + in_day
+
+
+def time_of_second(second: Column) -> Column:
+    """The timestamp of a second counted by ``second_of``."""
+    start = F.lit("1970-01-01").cast("timestamp_ntz")
+    return start + F.make_dt_interval(secs=second)
+
+
 def shift_of(ts: Column) -> Column:
     hour = F.hour(ts)
 

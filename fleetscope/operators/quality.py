@@ -67,16 +67,14 @@ def domain_violations(df: DataFrame) -> DataFrame:
 def duplicate_keys(df: DataFrame) -> DataFrame:
     """Record keys that occur more than once, with their number of readings.
 
-    Groups by vehicle, day and second of the day, which are small and free of
-    the session's zone; the key text is made for duplicates only."""
-    ts = F.col("timestamp")
-    second = F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)
-    counted = df.groupBy("forklift_id", F.to_date(ts).alias("day"), second.alias("second")).agg(
-        F.count(F.lit(1)).alias("count"), F.min(ts).alias("first")
-    )
+    What is shuffled is vehicle, second and count; the key text is made for
+    duplicates only."""
+    second = derive.second_of(F.col("timestamp")).alias("second")
+    counted = df.groupBy("forklift_id", second).agg(F.count(F.lit(1)).alias("count"))
+    key = derive.record_key(F.col("forklift_id"), derive.time_of_second(F.col("second")))
     return (
         counted.filter(F.col("count") > 1)
-        .select(derive.record_key(F.col("forklift_id"), F.col("first")).alias("_id"), "count")
+        .select(key.alias("_id"), "count")
         .orderBy(F.desc("count"), "_id")
     )
 

@@ -33,26 +33,33 @@ def write_by_vehicle(
     sort_by: tuple[str, ...] = ("forklift_id", "timestamp"),
     **options: object,
 ) -> Receipt:
-    """One directory per hash shard of the vehicle.
+    """One directory per hash shard of the vehicle, and few vehicles per file.
 
-    Rebalancing splits a shard that is too large for one task, which a bucketed
-    table could not: its readers take a whole bucket per task."""
+    Rebalancing splits a vehicle that is too large for one task, which a
+    bucketed table could not: its readers take a whole bucket per task."""
     sharded = df.withColumn("shard", derive.shard_of(F.col("forklift_id"), shards))
-    arranged = sharded.hint("rebalance", "shard").sortWithinPartitions("shard", *sort_by)
+    gathered = sharded.hint("rebalance", "shard", "forklift_id")
+    arranged = gathered.sortWithinPartitions("shard", *sort_by)
     return _load(arranged, path, "parquet", "overwrite", ("shard",), options)
 
 
 def write_by_time(
     df: DataFrame, path: str, ranges: int | None = None, **options: object
 ) -> Receipt:
-    """Disjoint time ranges within one directory per date.
+    """One directory per date, sorted by time within its files.
 
-    The input split breaks ties, so even readings that all share one instant
-    are spread over several ranges."""
-    split = df.withColumn("input_split", F.spark_partition_id())
-    by = ("timestamp", "input_split")
-    ranged = split.repartitionByRange(*((ranges,) if ranges else ()), *by)
-    arranged = ranged.drop("input_split").sortWithinPartitions("date", "timestamp")
+    By default a file holds whole hours, and rebalancing sizes the files: short
+    hours share one, an hour too large for a task is split. With ``ranges`` the
+    readings are cut into so many disjoint time ranges instead, which costs a
+    second pass to sample them; the input split breaks ties then, so that even
+    readings of one single instant spread over several ranges."""
+    if ranges is None:
+        by_hour = df.withColumn("hour", F.hour("timestamp"))
+        gathered = by_hour.hint("rebalance", "date", "hour").drop("hour")
+    else:
+        by_split = df.withColumn("input_split", F.spark_partition_id())
+        gathered = by_split.repartitionByRange(ranges, "timestamp", "input_split").drop("input_split")
+    arranged = gathered.sortWithinPartitions("date", "timestamp")
     return _load(arranged, path, "parquet", "overwrite", ("date",), options)
 
 

@@ -124,6 +124,7 @@ def replace_days(
     fmt: str = "parquet",
     check: bool = True,
     unique: bool = True,
+    gather: bool = True,
     sort_by: tuple[str, ...] = ("timestamp",),
     **options: object,
 ) -> Receipt:
@@ -131,14 +132,16 @@ def replace_days(
     load stores nothing twice.
 
     Rows are gathered by day, so a day is a few files and not one per task; a
-    day far larger than the rest is split over several tasks. ``check`` refuses
-    invalid telemetry and ``unique`` repeated keys, before anything is replaced.
+    day far larger than the rest is split over several tasks. Input whose tasks
+    hold few days each, such as one day's delivery, can save this shuffle with
+    ``gather=False``. ``check`` refuses invalid telemetry and ``unique`` repeated
+    keys, before anything is replaced.
     """
     if check:
         validate(df, unique)
-    arranged = (
-        keyed(df).hint("rebalance", "day_index").sortWithinPartitions("day_index", *sort_by)
-    )
+    documents = keyed(df)
+    gathered = documents.hint("rebalance", "day_index") if gather else documents
+    arranged = gathered.sortWithinPartitions("day_index", *sort_by)
     return _load(
         arranged,
         path,

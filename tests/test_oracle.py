@@ -10,7 +10,7 @@ from tests.conftest import DATA
 
 QUERIES = entry_points.queries()
 ORACLE = entry_points.oracle_sql()
-SCALES = os.environ.get("ORACLE_SCALES", "0.001,0.01").split(",")
+SCALES = os.environ.get("ORACLE_SCALES", "0.01").split(",")
 
 
 @pytest.fixture(scope="module", params=SCALES)

@@ -246,6 +246,29 @@ def test_a_hot_shard_is_split_over_files(spark, medium, tmp_path, tiny_partition
         assert len(files(tmp_path / "v" / f"shard={shard}")) > 1
 
 
+def test_a_hot_hour_is_split_over_files(spark, medium, tmp_path, tiny_partitions):
+    df = skewed(spark, medium)
+    hot = df.groupBy("date").count().orderBy(F.desc("count")).first()["date"]
+    receipt = layout.write_by_time(df, str(tmp_path / "t"))
+    assert receipt.stored == df.count()
+    assert len(files(tmp_path / "t" / f"date={hot}")) > 1
+
+
+def test_vehicles_keep_together(spark, medium, tmp_path):
+    df = events.telemetry(spark, medium).select(*COLUMNS).repartition(8)
+    layout.write_by_vehicle(df, str(tmp_path / "v"))
+    stored = spark.read.parquet(str(tmp_path / "v"))
+    held = stored.select("forklift_id", F.input_file_name().alias("file")).distinct()
+    per_vehicle = held.groupBy("forklift_id").agg(F.count("file").alias("n"))
+    assert per_vehicle.agg(F.max("n")).first()[0] == 1
+
+
+def test_ungathered_days(spark, fit, tmp_path):
+    one_day = fit.filter("day_index = 2")
+    receipt = writers.replace_days(one_day, str(tmp_path / "days"), gather=False)
+    assert receipt.stored == one_day.count()
+
+
 def test_a_hot_instant_is_split_over_ranges(spark, medium, tmp_path):
     df = skewed(spark, medium)
     receipt = layout.write_by_time(df, str(tmp_path / "t"), ranges=12)
