@@ -1,7 +1,8 @@
-"""Load a whole telemetry table, read it back, and sum it up per day.
+"""Load a whole telemetry table, read it back, and sum it up.
 
-Each plan writes below the shared checkpoint folder and returns what its own
-reader finds there: a load that lost, doubled or shifted anything shows.
+Each plan writes below the shared checkpoint folder and sums up what its own
+reader finds there: a load that lost, doubled or shifted anything shows. Only
+the sums are kept; the copy of the readings is emptied again.
 """
 
 from __future__ import annotations
@@ -21,76 +22,87 @@ def _fields(df: DataFrame) -> DataFrame:
 
 
 def _per_day(df: DataFrame) -> DataFrame:
-    return (
-        df.groupBy("day_index")
-        .agg(
-            F.count(F.lit(1)).alias("record_count"),
-            F.sum("rssi").alias("rssi_sum"),
-            F.min("timestamp").cast("string").alias("first_timestamp"),
-            F.max("timestamp").cast("string").alias("last_timestamp"),
-            F.count("downtime_category").alias("categorised"),
-        )
-        .orderBy("day_index")
+    return df.groupBy("day_index").agg(
+        F.count(F.lit(1)).alias("record_count"),
+        F.sum("rssi").alias("rssi_sum"),
+        F.min("timestamp").cast("string").alias("first_timestamp"),
+        F.max("timestamp").cast("string").alias("last_timestamp"),
+        F.count("downtime_category").alias("categorised"),
     )
 
 
+def _kept(sums: DataFrame, folder: str, *scratch: str) -> DataFrame:
+    """The sums as a table of their own, with the scratch tables emptied."""
+    spark = sums.sparkSession
+    writers.replace_table(sums, f"{folder}/sums")
+    for path in scratch:
+        writers.empty_table(spark, path)
+    key = sums.columns[0]
+    return readers.read_parquet(spark, f"{folder}/sums", sums.schema).orderBy(key)
+
+
+def _scanned(df: DataFrame, fmt: str, reader) -> DataFrame:
+    folder = writers.shared_folder(df.sparkSession)
+    path = f"{folder}/telemetry"
+    writers.replace_table(df, path, fmt)
+    return _kept(_per_day(reader(df.sparkSession, path)), folder, path)
+
+
 def csv_scan(df: DataFrame) -> DataFrame:
-    path = writers.shared_folder(df.sparkSession)
-    writers.replace_table(_fields(df), path, "csv")
-    return _per_day(readers.read_csv(df.sparkSession, path))
+    return _scanned(_fields(df), "csv", readers.read_csv)
 
 
 def parquet_scan(df: DataFrame) -> DataFrame:
     """CSV converted to Parquet, then read."""
-    folder = writers.shared_folder(df.sparkSession)
-    writers.replace_table(_fields(df), f"{folder}/csv", "csv")
-    converted = readers.read_csv(df.sparkSession, f"{folder}/csv")
-    writers.replace_table(converted, f"{folder}/parquet")
-    return _per_day(readers.read_parquet(df.sparkSession, f"{folder}/parquet"))
+    spark, folder = df.sparkSession, writers.shared_folder(df.sparkSession)
+    text, columnar = f"{folder}/csv", f"{folder}/parquet"
+    writers.replace_table(_fields(df), text, "csv")
+    writers.replace_table(readers.read_csv(spark, text), columnar)
+    return _kept(_per_day(readers.read_parquet(spark, columnar)), folder, text, columnar)
 
 
 def document_scan(df: DataFrame) -> DataFrame:
-    path = writers.shared_folder(df.sparkSession)
-    writers.replace_table(writers.keyed(_fields(df)), path, "json")
-    return _per_day(readers.read_documents(df.sparkSession, path))
+    return _scanned(writers.keyed(_fields(df)), "json", readers.read_documents)
+
+
+def _loaded_twice(df: DataFrame, load) -> DataFrame:
+    spark, folder = df.sparkSession, writers.shared_folder(df.sparkSession)
+    path = f"{folder}/telemetry"
+    for _ in range(2):
+        load(_fields(df), path)
+    return _kept(_per_day(readers.read_parquet(spark, path)), folder, path)
 
 
 def full_replace_load(df: DataFrame) -> DataFrame:
     """Loaded twice: the second load takes the place of the first."""
-    path = writers.shared_folder(df.sparkSession)
-    for _ in range(2):
-        writers.replace_table(_fields(df), path)
-    return _per_day(readers.read_parquet(df.sparkSession, path))
+    return _loaded_twice(df, writers.replace_table)
 
 
 def append_load(df: DataFrame) -> DataFrame:
     """Loaded twice: every row is stored twice."""
-    path = writers.shared_folder(df.sparkSession)
-    for _ in range(2):
-        writers.append_table(_fields(df), path)
-    return _per_day(readers.read_parquet(df.sparkSession, path))
+    return _loaded_twice(df, writers.append_table)
 
 
 def slice_replace_load(df: DataFrame) -> DataFrame:
     """Loaded twice by day: the days are replaced. Repeated keys are let in,
     so that the sums of the whole table can be compared."""
-    path = writers.shared_folder(df.sparkSession)
-    for _ in range(2):
-        writers.replace_days(_fields(df), path, unique=False)
-    return _per_day(readers.read_parquet(df.sparkSession, path))
+    return _loaded_twice(df, lambda rows, path: writers.replace_days(rows, path, unique=False))
 
 
 def vehicle_layout(df: DataFrame) -> DataFrame:
-    path = writers.shared_folder(df.sparkSession)
+    spark, folder = df.sparkSession, writers.shared_folder(df.sparkSession)
+    path = f"{folder}/telemetry"
     layout.write_by_vehicle(_fields(df), path)
-    stored = readers.read_parquet(df.sparkSession, path, None)
-    return count_by(stored, "shard", name="record_count", by_size=False)
+    stored = readers.read_parquet(spark, path, None)
+    per_shard = count_by(stored, "shard", name="record_count", by_size=False)
+    return _kept(per_shard, folder, path)
 
 
 def time_layout(df: DataFrame) -> DataFrame:
-    path = writers.shared_folder(df.sparkSession)
+    spark, folder = df.sparkSession, writers.shared_folder(df.sparkSession)
+    path = f"{folder}/telemetry"
     layout.write_by_time(_fields(df), path)
-    return _per_day(readers.read_parquet(df.sparkSession, path))
+    return _kept(_per_day(readers.read_parquet(spark, path)), folder, path)
 
 
 def result_tables(df: DataFrame) -> DataFrame:

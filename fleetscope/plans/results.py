@@ -49,7 +49,7 @@ HISTORY = (
     "predict_composite_risk_zone_shift",
     "predict_shift_risk",
 )
-_WRITERS = 4
+_WRITERS = 8
 REVIEWED = tuple(name for name in COLLECTIONS if not name.startswith("predict_"))
 
 
@@ -62,21 +62,27 @@ def stored_rollup(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def write_results(
-    df: DataFrame, target: str, names: Iterable[str] = tuple(COLLECTIONS), fmt: str = "parquet"
+def write_from_rollup(
+    base: DataFrame, target: str, names: Iterable[str] = tuple(COLLECTIONS), fmt: str = "parquet"
 ) -> dict[str, Receipt]:
-    """Replace the result collections below ``target``."""
-    base = stored_rollup(df, f"{target}/rollup")
+    """Replace the result collections below ``target``, given a stored rollup."""
+    names = tuple(names)
 
     def write(name: str) -> Receipt:
         return replace_table(RESULTS[name](base), result_path(target, name), fmt)
 
     # small independent jobs: run a few at a time to fill the cluster
     with ThreadPoolExecutor(_WRITERS) as pool:
-        names = tuple(names)
         return dict(zip(names, pool.map(write, names)))
 
 
+def write_results(
+    df: DataFrame, target: str, names: Iterable[str] = tuple(COLLECTIONS), fmt: str = "parquet"
+) -> dict[str, Receipt]:
+    """Replace the result collections below ``target``, in one scan of ``df``."""
+    return write_from_rollup(stored_rollup(df, f"{target}/rollup"), target, names, fmt)
+
+
 def append_history(df: DataFrame, target: str, fmt: str = "parquet") -> dict[str, Receipt]:
     """Append three results, repeated runs included."""
     base = stored_rollup(df, f"{target}/rollup")

@@ -91,6 +91,8 @@ def _load(
         writer = writer.option("timestampNTZFormat", _MICROSECONDS)
     writer.options(**options).partitionBy(*partition_by).save(path)
     receipt = Receipt(path, written.get["rows"], stored_rows(df.sparkSession, path, fmt, df.schema))
+    if receipt.stored < receipt.written:
+        raise RuntimeError(f"{path}: wrote {receipt.written} rows, but holds {receipt.stored}")
     log.info("%s: wrote %d rows, holds %d", path, receipt.written, receipt.stored)
     return receipt
 
@@ -106,6 +108,11 @@ def append_table(df: DataFrame, path: str, fmt: str = "parquet", **options: obje
     return _load(df, path, fmt, "append", options=options)
 
 
+def empty_table(spark: SparkSession, path: str) -> None:
+    """Free what a scratch table holds; an empty table stays behind."""
+    spark.range(0).write.mode("overwrite").parquet(path)
+
+
 def write_result_csv(df: DataFrame, path: str) -> Receipt:
     """A sorted result as CSV with a header. Part files follow the sort order;
     small results end up in a single file because small partitions are merged."""

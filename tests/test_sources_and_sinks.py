@@ -194,6 +194,22 @@ def test_shared_folder_follows_the_session(spark):
     assert first.startswith(root) and first != second
 
 
+def test_scratch_tables_are_emptied(spark, small, tmp_path, monkeypatch):
+    from fleetscope.plans import loads
+
+    monkeypatch.setattr(writers, "shared_folder", lambda _: str(tmp_path))
+    assert loads.slice_replace_load(events.telemetry(spark, small)).count() == 30
+    assert spark.read.parquet(str(tmp_path / "telemetry")).count() == 0
+    assert len(files(tmp_path / "sums")) == 1
+
+
+def test_days_as_documents(spark, fit, tmp_path):
+    path = str(tmp_path / "days")
+    for _ in range(2):
+        writers.replace_days(fit, path, "json")
+    same(readers.read_documents(spark, path), fit)
+
+
 # --- skew and layout --------------------------------------------------------
 @pytest.fixture
 def tiny_partitions(spark):
