@@ -81,7 +81,7 @@ DAMAGED = """
         CASE WHEN event_id % 23 = 0 THEN NULL
              WHEN event_id % 17 = 0 OR (off = 1 AND event_id % 3 = 0)
              THEN 'unauthorized_operation' ELSE downtime_category END AS downtime_category,
-        event_id
+        event_id, off
     FROM telemetry
 )"""
 
@@ -308,9 +308,10 @@ CLEAN = {
     + " ORDER BY downtime_rate DESC, forklift_id LIMIT 3",
     "top10_downtime": _rate("forklift_id", DOWN, "downtime_count", "downtime_rate")
     + " ORDER BY downtime_rate DESC, forklift_id LIMIT 10",
-    "profile_enriched_counts": f"""SELECT usage_level, risk_level,
+    "profile_enriched_counts": f"""SELECT COALESCE(usage_level, 'unknown') AS usage_level,
+        COALESCE(risk_level, 'unknown') AS risk_level,
         COUNT(DISTINCT forklift_id) AS vehicles, COUNT(*) AS total_records
-        FROM telemetry JOIN {PROFILES} USING (forklift_id) GROUP BY usage_level, risk_level""",
+        FROM telemetry LEFT JOIN {PROFILES} USING (forklift_id) GROUP BY 1, 2""",
     "preferred_zone_share": f"""SELECT *,
         ROUND(preferred_records / total_records, 4) AS preferred_share,
         ROUND(candidate_records / NULLIF(eligible_records, 0), 4) AS candidate_share
@@ -323,7 +324,7 @@ CLEAN = {
                 WHEN mov = 0 AND occ = 1 THEN ['WIP', 'Packing', 'Storage']
                 WHEN mov = 0 AND occ = 0 THEN ['Charging', 'Maintenance', 'Storage']
                 ELSE ['Storage', 'Packing', 'WIP', 'Maintenance'] END) AS candidates
-                FROM telemetry JOIN {PROFILES} USING (forklift_id))
+                FROM telemetry LEFT JOIN {PROFILES} USING (forklift_id))
             GROUP BY forklift_id)""",
     "state_mix_drift": """SELECT o.forklift_id, o.shift, o.total_records,
         ROUND(o.active / total_records - e.active, 6) AS active_drift,
