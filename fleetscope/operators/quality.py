@@ -4,6 +4,9 @@ returns a row per check, zero included; ``validate`` raises on violations.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,6 +25,14 @@ _LOGIC = {
 }
 
 
+def _domain_checks() -> dict[str, Column]:
+    return {
+        "shift": ~F.col("shift").isin(*fixed.SHIFTS),
+        "status": ~F.col("status").isin(*fixed.STATUSES),
+        "forklift_id": ~derive.has_vehicle_prefix(F.col("forklift_id")),
+    }
+
+
 def _as_rows(df: DataFrame, checks: dict[str, Column], label: str, value: str) -> DataFrame:
     """All checks in one global aggregate, turned into one row each."""
     counted = df.agg(*[F.count_if(condition).alias(name) for name, condition in checks.items()])
@@ -56,12 +67,13 @@ def logic_checks(df: DataFrame) -> DataFrame:
 
 def domain_violations(df: DataFrame) -> DataFrame:
     """Labels outside the allowed sets. Nulls are the business of null_counts."""
-    checks = {
-        "shift": ~F.col("shift").isin(*fixed.SHIFTS),
-        "status": ~F.col("status").isin(*fixed.STATUSES),
-        "forklift_id": ~derive.has_vehicle_prefix(F.col("forklift_id")),
-    }
-    return _as_rows(df, checks, "check", "violations")
+    return _as_rows(df, _domain_checks(), "check", "violations")
+
+
+def _per_key(df: DataFrame, *measures: Column) -> DataFrame:
+    """Readings per vehicle and second, the columns behind the record key."""
+    second = derive.second_of(F.col("timestamp")).alias("second")
+    return df.groupBy("forklift_id", second).agg(F.count(F.lit(1)).alias("count"), *measures)
 
 
 def duplicate_keys(df: DataFrame) -> DataFrame:
@@ -69,11 +81,10 @@ def duplicate_keys(df: DataFrame) -> DataFrame:
 
     What is shuffled is vehicle, second and count; the key text is made for
     duplicates only."""
-    second = derive.second_of(F.col("timestamp")).alias("second")
-    counted = df.groupBy("forklift_id", second).agg(F.count(F.lit(1)).alias("count"))
     key = derive.record_key(F.col("forklift_id"), derive.time_of_second(F.col("second")))
     return (
-        counted.filter(F.col("count") > 1)
+        _per_key(df)
+        .filter(F.col("count") > 1)
         .select(key.alias("_id"), "count")
         .orderBy(F.desc("count"), "_id")
     )
@@ -185,21 +196,33 @@ def validate(df: DataFrame, unique: bool = False) -> DataFrame:
     """``df`` itself if it is fit to be loaded, else ValueError.
 
     Missing columns, no rows, nulls and labels outside their domains fail, and
-    with ``unique`` so do repeated record keys. One aggregate row reaches the
-    driver."""
+    with ``unique`` so do repeated record keys. Telemetry that passes is scanned
+    once, and one row reaches the driver; what exactly is wrong is counted only
+    where something is."""
     require_columns(df)
-    nulls = [F.count_if(F.col(c).isNull()).alias(f"null {c}") for c in TELEMETRY.fieldNames()]
-    outside = [
-        F.count_if(~F.col("shift").isin(*fixed.SHIFTS)).alias("invalid shift"),
-        F.count_if(~F.col("status").isin(*fixed.STATUSES)).alias("invalid status"),
-        F.count_if(~derive.has_vehicle_prefix(F.col("forklift_id"))).alias("invalid forklift_id"),
-    ]
-    found = df.agg(F.count(F.lit(1)).alias("rows"), *nulls, *outside).first().asDict()
-    if found.pop("rows") == 0:
+    problems = {f"null {c}": F.col(c).isNull() for c in TELEMETRY.fieldNames()}
+    problems |= {f"invalid {c}": condition for c, condition in _domain_checks().items()}
+    unfit = reduce(or_, [F.coalesce(condition, F.lit(False)) for condition in problems.values()])
+
+    if unique:
+        found = _per_key(df, F.count_if(unfit).alias("unfit")).agg(
+            F.sum("count").alias("rows"),
+            F.sum("unfit").alias("unfit"),
+            F.count_if(F.col("count") > 1).alias("repeated"),
+        )
+    else:
+        found = df.agg(
+            F.count(F.lit(1)).alias("rows"),
+            F.count_if(unfit).alias("unfit"),
+            F.lit(0).alias("repeated"),
+        )
+    seen = found.first()
+    if not seen["rows"]:
         raise ValueError("Telemetry is empty")
-    problems = {name: number for name, number in found.items() if number}
-    if problems:
-        raise ValueError(f"Invalid telemetry: {problems}")
-    if unique and not duplicate_keys(df).isEmpty():
-        raise ValueError("Invalid telemetry: repeated record keys")
+    if seen["unfit"]:
+        each = [F.count_if(condition).alias(name) for name, condition in problems.items()]
+        counted = df.agg(*each).first().asDict()
+        raise ValueError(f"Invalid telemetry: {({k: n for k, n in counted.items() if n})}")
+    if seen["repeated"]:
+        raise ValueError(f"Invalid telemetry: {seen['repeated']} repeated record keys")
     return df

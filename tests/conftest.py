@@ -13,7 +13,7 @@ DATA = Path("/root/testdata")
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     session = (
-        SparkSession.builder.master("local[8]")
+        SparkSession.builder.master("local[8,3]")  # a task may fail twice
         .appName("fleetscope-tests")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", "8")

@@ -3,6 +3,7 @@
 import json
 
 import pytest
+from pyspark import TaskContext
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
@@ -210,6 +211,34 @@ def test_days_as_documents(spark, fit, tmp_path):
     same(readers.read_documents(spark, path), fit)
 
 
+def failing_once(df):
+    """The same rows, but every task dies at its end on the first attempt."""
+
+    def rows_then_death(batches):
+        yield from batches
+        if TaskContext.get().attemptNumber() == 0:
+            raise RuntimeError("executor lost")
+
+    return df.mapInArrow(rows_then_death, df.schema)
+
+
+@pytest.mark.parametrize(
+    "load",
+    [
+        writers.replace_table,
+        writers.append_table,
+        lambda df, path: writers.replace_days(df, path, unique=False),
+        layout.write_by_vehicle,
+        layout.write_by_time,
+    ],
+)
+def test_lost_tasks_neither_lose_nor_double_rows(spark, small, tmp_path, load):
+    df = events.telemetry(spark, small).select(*COLUMNS).repartition(3)
+    receipt = load(failing_once(df), str(tmp_path / "t"))
+    assert receipt.written == receipt.stored == 1000
+    same(df, spark.read.schema(TELEMETRY).parquet(str(tmp_path / "t")).select(*COLUMNS))
+
+
 # --- skew and layout --------------------------------------------------------
 @pytest.fixture
 def tiny_partitions(spark):
