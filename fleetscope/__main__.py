@@ -1,4 +1,4 @@
-"""Command line: ``python -m fleetscope load|analyse|review|validate|query``.
+"""Command line: ``python -m fleetscope --help`` lists the commands.
 
 Runs in whatever session spark-submit or the Spark defaults describe.
 """
@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from fleetscope.operators import quality
 from fleetscope.plans import catalog, results, runs
 from fleetscope.schema import TELEMETRY, TELEMETRY_V1
+from fleetscope.sinks.writers import Receipt
 from fleetscope.sources import readers
 
 NAMED = {
@@ -43,6 +44,12 @@ def parser() -> argparse.ArgumentParser:
     load.add_argument("--full", action="store_true", help="replace the whole table")
     analyse = command("analyse", "write all result tables and a report")
     analyse.add_argument("--target", required=True)
+    export = command("export", "write every result as CSV")
+    export.add_argument("--target", required=True)
+    publish = command("publish", "load CSV results into their collections", reads=False)
+    publish.add_argument("--input", required=True, help="folder written by export")
+    publish.add_argument("--target", required=True)
+    publish.add_argument("--append", action="store_true", help="keep what is there")
     review = command("review", "report on stored result tables", reads=False)
     review.add_argument("--target", required=True)
     command("validate", "fail on telemetry that is not fit to be loaded")
@@ -62,18 +69,27 @@ def read(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     return runs.prepare(df, args.start)
 
 
+def show(receipts: dict[str, Receipt]) -> None:
+    for name, receipt in receipts.items():
+        print(f"{name}: {receipt.stored} rows at {receipt.path}")
+
+
 def main(arguments: list[str] | None = None) -> None:
     args = parser().parse_args(arguments)
     spark = SparkSession.builder.appName("fleetscope").getOrCreate()
     if args.command == "review":
         runs.review(spark, args.target)
         return
+    if args.command == "publish":
+        show(results.publish_csv_results(spark, args.input, args.target, append=args.append))
+        return
     df = read(spark, args)
     if args.command == "load":
         print(runs.load(df, args.target, by_day=not args.full))
     elif args.command == "analyse":
-        for name, receipt in runs.analyse(df, args.target).items():
-            print(f"{name}: {receipt.stored} rows at {receipt.path}")
+        show(runs.analyse(df, args.target))
+    elif args.command == "export":
+        show(results.write_csv_results(df, args.target))
     elif args.command == "validate":
         quality.validate(df, unique=True)
         print("Validation passed")

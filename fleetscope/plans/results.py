@@ -17,7 +17,8 @@ from fleetscope.operators import counts, rates
 from fleetscope.operators.rollup import rollup
 from fleetscope.operators.topk import preview
 from fleetscope.schema import TELEMETRY
-from fleetscope.sinks.writers import Receipt, append_table, replace_table
+from fleetscope.sinks.writers import Receipt, append_table, replace_table, write_result_csv
+from fleetscope.sources.readers import in_stored_order, read_csv, read_if_present
 
 RESULTS: dict[str, Callable[[DataFrame], DataFrame]] = {
     "category_counts": counts.category_counts,
@@ -62,18 +63,21 @@ def stored_rollup(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def _for_each(names: Iterable[str], load: Callable[[str], Receipt | None]) -> dict[str, Receipt]:
+    """Small independent loads, a few at a time so that they fill the cluster."""
+    names = tuple(names)
+    with ThreadPoolExecutor(_WRITERS) as pool:
+        receipts = zip(names, pool.map(load, names))
+    return {name: receipt for name, receipt in receipts if receipt is not None}
+
+
 def write_from_rollup(
     base: DataFrame, target: str, names: Iterable[str] = tuple(COLLECTIONS), fmt: str = "parquet"
 ) -> dict[str, Receipt]:
     """Replace the result collections below ``target``, given a stored rollup."""
-    names = tuple(names)
-
-    def write(name: str) -> Receipt:
-        return replace_table(RESULTS[name](base), result_path(target, name), fmt)
-
-    # small independent jobs: run a few at a time to fill the cluster
-    with ThreadPoolExecutor(_WRITERS) as pool:
-        return dict(zip(names, pool.map(write, names)))
+    return _for_each(
+        names, lambda name: replace_table(RESULTS[name](base), result_path(target, name), fmt)
+    )
 
 
 def write_results(
@@ -86,14 +90,43 @@ def write_results(
 def append_history(df: DataFrame, target: str, fmt: str = "parquet") -> dict[str, Receipt]:
     """Append three results, repeated runs included."""
     base = stored_rollup(df, f"{target}/rollup")
-    return {
-        name: append_table(RESULTS[name](base), result_path(target, name), fmt)
-        for name in HISTORY
-    }
+    return _for_each(
+        HISTORY, lambda name: append_table(RESULTS[name](base), result_path(target, name), fmt)
+    )
+
+
+def write_csv_results(
+    df: DataFrame, folder: str, names: Iterable[str] = tuple(RESULTS)
+) -> dict[str, Receipt]:
+    """Every result as sorted CSV with a header, ``<name>.csv`` below ``folder``."""
+    base = stored_rollup(df, f"{folder}/rollup")
+    return _for_each(
+        names, lambda name: write_result_csv(RESULTS[name](base), f"{folder}/{name}.csv")
+    )
+
+
+def publish_csv_results(
+    spark: SparkSession,
+    folder: str,
+    target: str,
+    names: Iterable[str] = tuple(COLLECTIONS),
+    fmt: str = "parquet",
+    append: bool = False,
+) -> dict[str, Receipt]:
+    """Load CSV results into their collections, in full or appended. A result
+    that is not there is skipped with a log line."""
+    load = append_table if append else replace_table
+
+    def publish(name: str) -> Receipt | None:
+        schema = result_schema(spark, name)
+        stored = read_if_present(read_csv, spark, f"{folder}/{name}.csv", schema=schema)
+        return None if stored is None else load(stored, result_path(target, name), fmt)
+
+    return _for_each(names, publish)
 
 
 def read_result(spark: SparkSession, target: str, name: str, fmt: str = "parquet") -> DataFrame:
-    """A stored result, in stored order; text formats get the result's schema."""
+    """A stored result; text formats get the result's schema."""
     reader = spark.read
     if fmt != "parquet":
         reader = reader.schema(result_schema(spark, name))
@@ -128,4 +161,5 @@ def review_results(
 
 
 def preview_result(spark: SparkSession, target: str, name: str, fmt: str = "parquet") -> DataFrame:
-    return preview(read_result(spark, target, name, fmt))
+    """The first rows of a stored result, in the order it was written in."""
+    return preview(in_stored_order(read_result(spark, target, name, fmt)))

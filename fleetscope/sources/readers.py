@@ -7,6 +7,7 @@ from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fleetscope import fixed_values as fixed
@@ -42,6 +43,17 @@ def sample_document(df: DataFrame) -> tuple[DataFrame, list[str]]:
     return df.limit(1), df.columns
 
 
+def in_stored_order(df: DataFrame) -> DataFrame:
+    """A table straight from files, sorted the way it was written: by file, then
+    by block, then by row. With a limit this runs as a top k."""
+    place = F.struct(
+        F.col("_metadata.file_name"),
+        F.col("_metadata.file_block_start"),
+        F.monotonically_increasing_id().alias("row"),
+    )
+    return df.withColumn("place", place).orderBy("place").drop("place")
+
+
 def sample_rows(df: DataFrame, rows: int = 5) -> DataFrame:
     return df.limit(rows)
 

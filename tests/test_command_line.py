@@ -23,6 +23,9 @@ def test_load_analyse_review_query(csv, tmp_path, capsys):
     assert "written=4, stored=4" in capsys.readouterr().out
     main(["analyse", "--input", f"{target}/telemetry", "--target", target])
     assert "zone_counts: 2 rows" in capsys.readouterr().out
+    main(["export", "--input", f"{target}/telemetry", "--target", f"{target}/csv"])
+    main(["publish", "--input", f"{target}/csv", "--target", target])
+    assert capsys.readouterr().out.count("analysis_zone_counts") == 1
     main(["review", "--target", target])
     assert (tmp_path / "out" / "review_report").is_dir()
     main(["query", *csv, "--name", "zone_risk"])

@@ -372,6 +372,20 @@ def test_history_grows(spark, fit, tmp_path):
     assert len(results.HISTORY) == 3
 
 
+def test_csv_results_are_published(spark, df, tmp_path, caplog):
+    folder, target = str(tmp_path / "csv"), str(tmp_path / "collections")
+    names = ("zone_counts", "predict_shift_risk")
+    results.write_csv_results(df, folder, names)
+    with caplog.at_level("WARNING"):
+        receipts = results.publish_csv_results(spark, folder, target)
+    assert set(receipts) == set(names)
+    assert caplog.text.count("skipped") == len(results.COLLECTIONS) - len(names)
+    for name in names:
+        same(results.RESULTS[name](df), results.read_result(spark, target, name))
+    again = results.publish_csv_results(spark, folder, target, names, append=True)
+    assert all(r.stored == 2 * r.written for r in again.values())
+
+
 def test_review(spark, fit, tmp_path):
     results.write_results(fit, str(tmp_path))
     review = {row["result"]: tuple(row)[1:] for row in results.review_results(spark, str(tmp_path)).collect()}
@@ -381,6 +395,19 @@ def test_review(spark, fit, tmp_path):
     assert set(json.loads(first)) == {"zone", "count"}
 
 
+@pytest.mark.parametrize("fmt", writers.FORMATS)
+def test_preview_follows_the_written_order(spark, tmp_path, fmt, monkeypatch):
+    monkeypatch.setitem(results.RESULTS, "numbers", lambda df: spark.range(0).withColumn("n", F.lit("")))
+    # later files are larger, so that a plain read would start with them
+    sorted_rows = spark.range(0, 4000, 1, 1).withColumn("n", F.repeat(F.lit("x"), (F.col("id") / 100).cast("int")))
+    sorted_rows.repartitionByRange(5, "id").sortWithinPartitions("id").write.format(fmt).option(
+        "header", True
+    ).save(str(tmp_path / "numbers"))
+    assert len(files(tmp_path / "numbers", "part-*")) == 5
+    shown = results.preview_result(spark, str(tmp_path), "numbers", fmt).collect()
+    assert [json.loads(row["row"])["id"] for row in shown] == list(range(10))
+
+
 def test_runs_end_to_end(spark, fit, tmp_path):
     target = str(tmp_path)
     receipt = runs.load(fit, target)
