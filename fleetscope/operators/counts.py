@@ -60,9 +60,10 @@ def flag_counts(df: DataFrame) -> DataFrame:
 def distinct_values(df: DataFrame) -> DataFrame:
     """Distinct non-null values of the label columns and the day index."""
     labels = ["status", "downtime_category", "shift", "day_index"]
-    joint = df.select(*[F.col(c).cast("string").alias(c) for c in labels]).distinct()
+    joint = df.select(*labels).distinct()
+    as_text = joint.select(*[F.col(c).cast("string").alias(c) for c in labels])
     return (
-        joint.unpivot([], labels, "column", "value")
+        as_text.unpivot([], labels, "column", "value")
         .filter(F.col("value").isNotNull())
         .distinct()
         .orderBy("column", F.length("value"), "value")

@@ -57,17 +57,24 @@ def state_mix_drift(df: DataFrame) -> DataFrame:
     vehicle and shift.
 
     A zone's bonus b lifts the base offline probability p to p + (1 - p) * b.
-    The bonuses are summed as exact decimals, so the result does not depend on
-    the order in which tasks finish."""
+    Readings are counted per zone before a bonus is applied, and the bonuses are
+    added up as exact decimals: the result does not depend on the order in which
+    tasks finish."""
     total = F.col("total_records")
-    observed = df.groupBy("forklift_id", "shift").agg(
-        F.count(F.lit(1)).alias("total_records"),
-        *[
-            F.count_if(derive.in_state(F.col("mov"), F.col("occ"), state)).alias(f"seen_{name}")
+    seen = {
+        "total_records": rows(df),
+        **{
+            f"seen_{name}": rows(df, derive.in_state(F.col("mov"), F.col("occ"), state))
             for name, state in fixed.STATES
-        ],
-        F.count_if(is_.offline()).alias("seen_offline"),
-        F.sum(derive.offline_bonus(F.col("zone"))).alias("bonus"),
+        },
+        "seen_offline": rows(df, is_.offline()),
+    }
+    per_zone = df.groupBy("forklift_id", "shift", "zone").agg(
+        *[count.alias(name) for name, count in seen.items()]
+    )
+    observed = per_zone.groupBy("forklift_id", "shift").agg(
+        *[F.sum(name).alias(name) for name in seen],
+        F.sum(derive.offline_bonus(F.col("zone")) * total).alias("bonus"),
     )
     compared = lookup(observed, expected_mix(df.sparkSession), ["forklift_id", "shift"])
     base = F.col("expected_offline")

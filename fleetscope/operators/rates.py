@@ -36,13 +36,17 @@ def _composite(counted: DataFrame) -> DataFrame:
     ).withColumn("risk_score", rate(F.col("total_risk_events"), F.col("total_records")))
 
 
-def composite_risk_zone_shift(df: DataFrame) -> DataFrame:
+def composite_scores(df: DataFrame) -> DataFrame:
     counted = df.groupBy("zone", "shift").agg(
         rows(df).alias("total_records"),
         rows(df, is_.offline()).alias("offline_count"),
         rows(df, is_.unauthorized()).alias("unauthorized_count"),
     )
-    return _composite(counted).orderBy(F.desc("risk_score"), "zone", "shift")
+    return _composite(counted)
+
+
+def composite_risk_zone_shift(df: DataFrame) -> DataFrame:
+    return composite_scores(df).orderBy(F.desc("risk_score"), "zone", "shift")
 
 
 def offline_risk_by_forklift_shift(df: DataFrame) -> DataFrame:

@@ -8,8 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetscope import fixed_values as fixed
-from fleetscope.functions.predicates import offline, unauthorized
-from fleetscope.functions.derive import rate
+from fleetscope.operators.rates import composite_scores
 from fleetscope.operators.rollup import rows
 
 
@@ -34,11 +33,10 @@ def shift_status_crosstab_normalized(
 
 
 def composite_risk_matrix(df: DataFrame, shifts: Sequence[str] = fixed.SHIFTS) -> DataFrame:
-    """Composite risk score as zone by shift; NULL where a pair has no readings."""
+    """Composite risk score as zone by shift; NULL where a pair has no readings.
 
-    def score(shift: str):
-        during = F.col("shift") == shift
-        events = rows(df, during & offline()) + rows(df, during & unauthorized())
-        return rate(events, rows(df, during)).alias(shift)
-
-    return df.groupBy("zone").agg(*[score(shift) for shift in shifts]).orderBy("zone")
+    Zone and shift are the keys of the scores, so a cell is a single score."""
+    cells = [
+        F.max(F.when(F.col("shift") == shift, F.col("risk_score"))).alias(shift) for shift in shifts
+    ]
+    return composite_scores(df).groupBy("zone").agg(*cells).orderBy("zone")
