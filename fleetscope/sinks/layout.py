@@ -26,6 +26,12 @@ ACCESS_PATHS = (
 )
 
 
+def bloom_filters(*columns: str) -> dict[str, object]:
+    """Write options for lookups of single values, such as a record's ``_id``:
+    readers skip row groups whose filter rules the value out."""
+    return {f"parquet.bloom.filter.enabled#{column}": True for column in columns}
+
+
 def write_by_vehicle(
     df: DataFrame,
     path: str,

@@ -2,6 +2,7 @@
 
 import json
 
+import duckdb
 import pytest
 from pyspark import TaskContext
 from pyspark.errors import AnalysisException
@@ -350,6 +351,14 @@ def test_layouts_prune(spark, medium, tmp_path, capsys):
         layout.write_sorted(df, str(tmp_path / "s"), "rssi")
 
 
+def test_bloom_filters_are_written(fit, tmp_path):
+    writers.replace_days(fit, str(tmp_path / "days"), **layout.bloom_filters("_id"))
+    found = duckdb.sql(
+        f"SELECT path_in_schema, bloom_filter_offset FROM parquet_metadata('{tmp_path}/days/*/*.parquet')"
+    ).fetchall()
+    assert {column for column, offset in found if offset is not None} == {"_id"}
+
+
 # --- batches and reports ----------------------------------------------------
 def lines(path):
     return [line for part in files(path, "part-*.txt") for line in part.read_text().splitlines()]
