@@ -14,7 +14,9 @@ from pyspark.sql import functions as F
 from fleetscope import fixed_values as fixed
 
 
-def lookup_value(key: Column, pairs: Iterable[tuple[object, object]], default: object = None) -> Column:
+def lookup_value(
+    key: Column, pairs: Iterable[tuple[object, object]], default: object = None
+) -> Column:
     """``key`` looked up in a small fixed table, ``default`` where it is absent."""
     entries = [F.lit(part) for pair in pairs for part in pair]
     found = F.create_map(*entries)[key]

@@ -15,7 +15,11 @@ from fleetscope.operators.rollup import mean_rssi, rows
 
 
 def count_by(
-    df: DataFrame, *keys: str, where: Column | None = None, name: str = "count", by_size: bool = True
+    df: DataFrame,
+    *keys: str,
+    where: Column | None = None,
+    name: str = "count",
+    by_size: bool = True,
 ) -> DataFrame:
     """Readings per key, the largest group first (or in key order)."""
     kept = df if where is None else df.filter(where)

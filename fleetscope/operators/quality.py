@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from fleetscope import fixed_values as fixed
 from fleetscope.functions import derive
 from fleetscope.functions import predicates as is_
+from fleetscope.operators.rollup import hidden_signals, nulls, rows
 from fleetscope.schema import TELEMETRY, require_columns
 from fleetscope.sources.dimensions import anchors, lookup, values_frame
 
@@ -150,19 +151,21 @@ def cadence_completeness(df: DataFrame, expected: int = fixed.READINGS_PER_DAY)
 
 
 def validation_report(df: DataFrame) -> DataFrame:
-    """Shape, nulls, distributions and logic checks as (section, metric, value).
+    """Shape, nulls, distributions and logic checks as (section, metric, value),
+    of readings or of their rollup with quality.
 
     One scan: the facts shrink to joint counts, whose few rows are then spread
     over the report lines. Lines that must show a zero are seeded."""
     columns = TELEMETRY.fieldNames()
     spread = set(DISTRIBUTION_COLUMNS)
-    measured = [c for c in columns if c not in spread]
     n = F.col("n")
 
     joint = df.groupBy(*DISTRIBUTION_COLUMNS).agg(
-        F.count(F.lit(1)).alias("n"),
-        *[F.count_if(F.col(c).isNull()).alias(f"nulls_{c}") for c in measured],
-        *[F.count_if(check()).alias(name) for name, check in _LOGIC.items()],
+        rows(df).alias("n"),
+        *[nulls(df, c).alias(f"nulls_{c}") for c in columns if c not in spread],
+        rows(df, is_.offline_but_visible()).alias("offline_but_visible"),
+        hidden_signals(df).alias("hidden_with_signal"),
+        rows(df, is_.flagged_unauthorized()).alias("moving_unoccupied"),
     )
 
     def line(section: str, metric: str | Column, amount: Column) -> Column:

@@ -18,7 +18,9 @@ RATE_KEYS = (
 )
 
 
-def rate_by(df: DataFrame, keys: tuple[str, ...], event: Column, count: str, share: str) -> DataFrame:
+def rate_by(
+    df: DataFrame, keys: tuple[str, ...], event: Column, count: str, share: str
+) -> DataFrame:
     """Readings, events and their rate per key, the highest rate first. An event
     that is NULL is no event, but the reading still counts below the line."""
     counted = df.groupBy(*keys).agg(

@@ -13,6 +13,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fleetscope.functions.predicates import hidden_with_signal
+from fleetscope.schema import TELEMETRY
+
 ROLLUP_KEYS = (
     "forklift_id",
     "zone",
@@ -24,13 +27,22 @@ ROLLUP_KEYS = (
     "occ",
 )
 _ROWS, _RSSI_SUM, _RSSI_ROWS = "rollup_rows", "rollup_rssi_sum", "rollup_rssi_rows"
+_NULLS, _HIDDEN_SIGNALS = "rollup_nulls_", "rollup_hidden_signals"
 
 
-def rollup(df: DataFrame) -> DataFrame:
+def rollup(df: DataFrame, quality: bool = False) -> DataFrame:
+    """The rollup; with ``quality`` also what a validation report needs, for
+    which the remaining columns are scanned too."""
+    checks = []
+    if quality:
+        unkeyed = [name for name in TELEMETRY.fieldNames() if name not in ROLLUP_KEYS]
+        checks = [nulls(df, name).alias(_NULLS + name) for name in unkeyed]
+        checks.append(hidden_signals(df).alias(_HIDDEN_SIGNALS))
     return df.groupBy(*ROLLUP_KEYS).agg(
         F.count(F.lit(1)).alias(_ROWS),
         F.sum(F.col("rssi").cast("bigint")).alias(_RSSI_SUM),
         F.count("rssi").alias(_RSSI_ROWS),
+        *checks,
     )
 
 
@@ -46,6 +58,20 @@ def rows(df: DataFrame, where: Column | None = None) -> Column:
     return F.coalesce(F.sum(weight), F.lit(0))
 
 
+def nulls(df: DataFrame, name: str) -> Column:
+    """How many readings of ``df`` lack a value of this column."""
+    if is_rollup(df) and name not in ROLLUP_KEYS:
+        return F.coalesce(F.sum(_NULLS + name), F.lit(0))
+    return rows(df, F.col(name).isNull())
+
+
+def hidden_signals(df: DataFrame) -> Column:
+    """How many readings of ``df`` have a signal without being visible."""
+    if is_rollup(df):
+        return F.coalesce(F.sum(_HIDDEN_SIGNALS), F.lit(0))
+    return rows(df, hidden_with_signal())
+
+
 def mean_rssi(df: DataFrame) -> Column:
     if not is_rollup(df):
         return F.avg("rssi")

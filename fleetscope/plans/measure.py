@@ -39,7 +39,10 @@ def compare_formats(
     def scan(df: DataFrame) -> None:
         run(df.agg(F.avg("rssi")))
 
-    readers = {"csv": lambda: read_csv(spark, csv_path), "parquet": lambda: read_parquet(spark, parquet_path)}
+    readers = {
+        "csv": lambda: read_csv(spark, csv_path),
+        "parquet": lambda: read_parquet(spark, parquet_path),
+    }
     times = {}
     for name, reader in readers.items():
         times[f"{name}_read_count"] = seconds(lambda: reader().count(), repeats)

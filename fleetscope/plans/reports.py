@@ -60,7 +60,8 @@ def load_report(document: DataFrame, receipt: Receipt) -> DataFrame:
         *[line("access_path", F.lit(i + 1), F.lit(path)) for i, path in enumerate(paths)],
         *[
             line("result", F.lit(name), F.col(name))
-            for name in ("total_records", "active_work_count", "unauthorized_count", "offline_count")
+            for name in document.columns
+            if name.endswith(("_records", "_count"))
         ],
     ]
 
@@ -78,20 +79,22 @@ def review_report(
     names = tuple(names)
     shapes = results.review_results(spark, target, names, fmt)
     shape = F.format_string("%d x %d", "rows", "columns")
-    report = shapes.select(F.col("result").alias("section"), F.lit("shape").alias("metric"), shape.alias("value"))
+
+    def lines(df: DataFrame, section: Column, metric: str, value: Column) -> DataFrame:
+        columns = (section.alias("section"), F.lit(metric).alias("metric"), value.alias("value"))
+        return df.select(*columns)
+
+    report = lines(shapes, F.col("result"), "shape", shape)
     for name in names:
         first = results.preview_result(spark, target, name, fmt)
-        report = report.unionByName(
-            first.select(
-                F.lit(name).alias("section"), F.lit("preview").alias("metric"), F.col("row").alias("value")
-            )
-        )
+        report = report.unionByName(lines(first, F.lit(name), "preview", F.col("row")))
     return report
 
 
 def write_report(report: DataFrame, path: str, title: str, generated_at: str) -> None:
-    """Replace the report at ``path``. The title heads every line's file."""
-    body = report.select(F.concat_ws(" | ", "section", F.coalesce("metric", F.lit("null")), "value").alias("value"))
+    """Replace the report at ``path``: a heading, then a line per row."""
+    line = F.concat_ws(" | ", "section", F.coalesce("metric", F.lit("null")), "value")
+    body = report.select(line.alias("value"))
     heading = report.sparkSession.createDataFrame(
         [(f"=== {title} ===",), (f"Generated at: {generated_at}",)], "value string"
     )

@@ -58,8 +58,8 @@ def result_path(target: str, name: str) -> str:
     return f"{target}/{COLLECTIONS.get(name, name)}"
 
 
-def stored_rollup(df: DataFrame, path: str) -> DataFrame:
-    replace_table(rollup(df), path)
+def stored_rollup(df: DataFrame, path: str, quality: bool = False) -> DataFrame:
+    replace_table(rollup(df, quality), path)
     return df.sparkSession.read.parquet(path)
 
 

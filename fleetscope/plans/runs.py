@@ -60,7 +60,7 @@ def analyse(df: DataFrame, target: str, fmt: str = "parquet") -> dict[str, write
 
 def load(df: DataFrame, target: str, by_day: bool = True, **options: object) -> writers.Receipt:
     """Load telemetry below ``target``, by day or as full replace, and store the
-    summary document and reports on what is now there."""
+    summary document and reports on what is now there, in one scan of it."""
     spark = df.sparkSession
     path = f"{target}/telemetry"
     load_rows = writers.replace_days if by_day else writers.replace_table
@@ -68,13 +68,17 @@ def load(df: DataFrame, target: str, by_day: bool = True, **options: object) ->
     # the shape of what was written, not of what is found
     stored = spark.read.schema(writers.keyed(df).schema if by_day else df.schema).parquet(path)
 
+    base = results.stored_rollup(stored, f"{target}/load_rollup", quality=True)
+
     generated_at = _now()
-    document = summary_document(stored).withColumn("generated_at", F.lit(generated_at))
+    document = summary_document(base).withColumn("generated_at", F.lit(generated_at))
     writers.replace_table(document, f"{target}/summary", "json")
-    report = reports.load_report(spark.read.schema(document.schema).json(f"{target}/summary"), receipt)
-    reports.write_report(report, f"{target}/load_report", "LOAD REPORT", generated_at)
+    summary = spark.read.schema(document.schema).json(f"{target}/summary")
+    reports.write_report(
+        reports.load_report(summary, receipt), f"{target}/load_report", "LOAD REPORT", generated_at
+    )
     reports.write_report(
-        reports.validation_report(stored),
+        reports.validation_report(base),
         f"{target}/validation_report",
         "DATA VALIDATION REPORT",
         generated_at,

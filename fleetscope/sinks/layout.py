@@ -64,7 +64,8 @@ def write_by_time(
         gathered = by_hour.hint("rebalance", "date", "hour").drop("hour")
     else:
         by_split = df.withColumn("input_split", F.spark_partition_id())
-        gathered = by_split.repartitionByRange(ranges, "timestamp", "input_split").drop("input_split")
+        ranged = by_split.repartitionByRange(ranges, "timestamp", "input_split")
+        gathered = ranged.drop("input_split")
     arranged = gathered.sortWithinPartitions("date", "timestamp")
     return _load(arranged, path, "parquet", "overwrite", ("date",), options)
 

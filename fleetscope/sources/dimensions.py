@@ -33,7 +33,8 @@ def anchors(spark: SparkSession) -> DataFrame:
 
 def profiles(spark: SparkSession) -> DataFrame:
     """forklift_id, usage_level, risk_level, preferred_zones"""
-    return values_frame(spark, "forklift_id, usage_level, risk_level, preferred_zones", fixed.PROFILES)
+    columns = "forklift_id, usage_level, risk_level, preferred_zones"
+    return values_frame(spark, columns, fixed.PROFILES)
 
 
 def expected_mix(spark: SparkSession) -> DataFrame:
@@ -54,13 +55,10 @@ def expected_mix(spark: SparkSession) -> DataFrame:
     rows = profiles(spark).select("forklift_id", "usage_level", "risk_level", F.inline(shifts))
 
     def adjusted(name: str, pick) -> Column:
-        usage = lookup_value(
-            F.col("usage_level"), [(level, pick(row)) for level, *row in fixed.USAGE_ADJUSTMENT], 0.0
-        )
-        risk = lookup_value(
-            F.col("risk_level"), [(level, pick(row)) for level, *row in fixed.RISK_ADJUSTMENT], 0.0
-        )
-        return F.col(name) + usage + risk
+        usage = [(level, pick(row)) for level, *row in fixed.USAGE_ADJUSTMENT]
+        risk = [(level, pick(row)) for level, *row in fixed.RISK_ADJUSTMENT]
+        by_usage = lookup_value(F.col("usage_level"), usage, 0.0)
+        return F.col(name) + by_usage + lookup_value(F.col("risk_level"), risk, 0.0)
 
     weights = {name: adjusted(name, lambda row, i=i: row[0][i]) for i, name in enumerate(names)}
     return rows.select(
@@ -72,7 +70,10 @@ def expected_mix(spark: SparkSession) -> DataFrame:
 
 
 def lookup(
-    df: DataFrame, dimension: DataFrame, key: str | list[str], defaults: dict[str, object] | None = None
+    df: DataFrame,
+    dimension: DataFrame,
+    key: str | list[str],
+    defaults: dict[str, object] | None = None,
 ) -> DataFrame:
     """Left join to a dimension; unmatched rows keep NULL or the given default."""
     joined = df.join(dimension, key, "left")

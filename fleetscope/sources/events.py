@@ -80,7 +80,8 @@ def telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
     category = derive.downtime_category(
         F.col("status"), F.col("visible"), F.col("mov"), F.col("occ"), zone
     )
-    return rows.withColumn("downtime_category", category).select(*TELEMETRY.fieldNames(), "event_id")
+    complete = rows.withColumn("downtime_category", category)
+    return complete.select(*TELEMETRY.fieldNames(), "event_id")
 
 
 def damaged_telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -97,6 +98,7 @@ def damaged_telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
             column = F.when(condition, value).otherwise(column)
         return column.alias(name)
 
+    foreign = F.concat(F.lit("TRK_"), F.right(F.col("forklift_id"), F.lit(2)))
     broken = {
         "visible": damaged("visible", (hidden & every(7), 1)),
         "rssi": damaged("rssi", (hidden & every(5), -60), (~hidden & every(19), -95)),
@@ -107,9 +109,7 @@ def damaged_telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
             (every(23), F.lit(None)),
             (every(17) | (hidden & every(3)), fixed.UNAUTHORIZED),
         ),
-        "forklift_id": damaged(
-            "forklift_id", (every(31), F.concat(F.lit("TRK_"), F.right(F.col("forklift_id"), F.lit(2))))
-        ),
+        "forklift_id": damaged("forklift_id", (every(31), foreign)),
     }
     clean = telemetry(spark, sf_dir)
     return clean.select(*[broken.get(name, F.col(name)) for name in clean.columns])

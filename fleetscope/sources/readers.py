@@ -27,7 +27,9 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType = TELEMETRY) -
     )
 
 
-def read_parquet(spark: SparkSession, path: str, schema: T.StructType | None = TELEMETRY) -> DataFrame:
+def read_parquet(
+    spark: SparkSession, path: str, schema: T.StructType | None = TELEMETRY
+) -> DataFrame:
     reader = spark.read if schema is None else spark.read.schema(schema)
     return reader.parquet(path)
 

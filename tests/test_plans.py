@@ -213,6 +213,13 @@ def test_rollup_gives_what_the_facts_give(any_telemetry):
     base.unpersist()
 
 
+def test_validation_report_from_the_rollup(any_telemetry):
+    df = any_telemetry
+    base = rollup(df, quality=True)
+    assert listed(quality.validation_report(base)) == listed(quality.validation_report(df))
+    assert listed(summary.summary_document(base)) == listed(summary.summary_document(df))
+
+
 def test_damage_is_what_was_probed(spark, medium):
     df = events.damaged_telemetry(spark, medium)
     logic = dict(listed(quality.logic_checks(df)))
