@@ -6,7 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
-import oracle
+import fleetscope_oracle as oracle
 from fleetscope.plans import catalog
 from fleetscope.sources import events
 from tests.conftest import DATA
