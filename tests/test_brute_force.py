@@ -1,0 +1,166 @@
+"""Operators against plain Python over random readings full of nulls and ties."""
+
+import hashlib
+from collections import Counter, defaultdict
+from datetime import date, datetime, timedelta
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from fleetscope import fixed_values as fixed
+from fleetscope.operators import counts, fleet, quality, rates, reshape, summary, topk
+from tests.fixture import listed, rows
+
+START = datetime(2026, 4, 1, 23, 59, 57)
+
+
+def maybe(values):
+    return st.sampled_from([*values, None])
+
+
+@st.composite
+def readings(draw):
+    at = START + timedelta(seconds=draw(st.integers(0, 5)), microseconds=draw(st.integers(0, 2)))
+    return (
+        at,
+        at.date(),
+        (at.date() - date(2026, 4, 1)).days + 1,
+        draw(maybe(["FL_01", "FL_02", "FL_08", "TRK_1"])),
+        draw(maybe(["A1", "A6", "A9"])),
+        draw(maybe(["Production", "Charging", "Elsewhere"])),
+        draw(maybe(["morning", "night", "evening"])),
+        draw(maybe([0, -60, -95])),
+        draw(maybe([0, 1])),
+        draw(maybe([0, 1])),
+        draw(maybe([0, 1])),
+        draw(maybe(["online", "offline"])),
+        draw(maybe(["active_work", "unauthorized_operation", "idle_waiting"])),
+    )
+
+
+several = settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+NAMES = (
+    "timestamp", "date", "day_index", "forklift_id", "anchor", "zone", "shift", "rssi",
+    "visible", "mov", "occ", "status", "downtime_category",
+)
+
+
+def as_dicts(sample):
+    return [dict(zip(NAMES, reading)) for reading in sample]
+
+
+def by_size(counter):
+    """Most frequent first, then by key with null in front."""
+    return sorted(counter.items(), key=lambda kv: (-kv[1], kv[0] is not None, kv[0] or ""))
+
+
+@several
+@given(st.lists(readings(), min_size=1, max_size=60))
+def test_counts_and_rankings(spark, sample):
+    df, facts = rows(spark, sample).cache(), as_dicts(sample)
+
+    assert listed(counts.category_counts(df)) == by_size(
+        Counter(r["downtime_category"] for r in facts)
+    )
+    unauthorized = Counter(
+        r["forklift_id"] for r in facts if r["downtime_category"] == "unauthorized_operation"
+    )
+    assert listed(topk.top_unauthorized_forklifts(df, 2)) == by_size(unauthorized)[:2]
+
+    document = summary.summary_document(df, 2).first()
+    assert document["total_records"] == len(facts)
+    assert document["offline_count"] == sum(r["status"] == "offline" for r in facts)
+    top = [(e["_id"], e["count"]) for e in document["top_unauthorized_forklifts"]]
+    assert top == by_size(unauthorized)[:2]
+    zones = [(e["_id"], e["count"]) for e in document["zone_counts"]]
+    assert zones == by_size(Counter(r["zone"] for r in facts))
+
+    keys = Counter(
+        (r["forklift_id"], r["timestamp"].replace(microsecond=0))
+        for r in facts
+        if r["forklift_id"] is not None
+    )
+    repeated = {f"{v}_{t:%Y-%m-%d %H:%M:%S}": n for (v, t), n in keys.items() if n > 1}
+    found = dict(listed(quality.duplicate_keys(df)))
+    assert {k: n for k, n in found.items() if k.count("_") == 2} == repeated
+
+    shards = Counter()
+    for r in facts:
+        vehicle = r["forklift_id"]
+        digest = vehicle and hashlib.md5(vehicle.encode()).hexdigest()[:8]
+        shards[digest and int(digest, 16) % 3] += 1
+    assert {row[0]: row[1] for row in listed(counts.shard_balance(df, 3))} == shards
+    df.unpersist()
+
+
+@several
+@given(st.lists(readings(), min_size=1, max_size=60))
+def test_rates_and_tables(spark, sample):
+    df, facts = rows(spark, sample).cache(), as_dicts(sample)
+    groups = defaultdict(list)
+    for r in facts:
+        for keys in rates.RATE_KEYS:
+            groups["+".join(keys), tuple(r[k] for k in keys)].append(r)
+
+    found = rates.all_rates(df).collect()
+    assert len(found) == len(groups)
+    for row in found:
+        keys = row["grouping"].split("+")
+        group = groups[row["grouping"], tuple(row[k] for k in keys)]
+        offline = sum(r["status"] == "offline" for r in group)
+        unauthorized = sum(r["downtime_category"] == "unauthorized_operation" for r in group)
+        down = sum(r["downtime_category"] not in ("active_work", None) for r in group)
+        assert row["total_records"] == len(group)
+        assert (row["offline_count"], row["unauthorized_count"]) == (offline, unauthorized)
+        assert row["downtime_count"] == down
+        score = (offline + unauthorized) / len(group)
+        assert row["risk_score"] == pytest.approx(score, abs=5.1e-5)
+
+    for shift, offline, online in listed(reshape.shift_status_crosstab(df)):
+        during = [r["status"] for r in facts if r["shift"] == shift]
+        assert (offline, online) == (during.count("offline"), during.count("online"))
+    for shift, *shares in listed(reshape.shift_status_crosstab_normalized(df)):
+        known = [r["status"] for r in facts if r["shift"] == shift and r["status"]]
+        expected = [known.count(s) / len(known) for s in fixed.STATUSES] if known else [None, None]
+        assert shares == pytest.approx(expected)
+    df.unpersist()
+
+
+@several
+@given(st.lists(readings(), min_size=1, max_size=60))
+def test_places_and_checks(spark, sample):
+    df, facts = rows(spark, sample).cache(), as_dicts(sample)
+
+    distribution = Counter(
+        (c, str(r[c])) for r in facts for c in quality.DISTRIBUTION_COLUMNS if r[c] is not None
+    )
+    assert {row[:2]: row[2] for row in listed(quality.value_distributions(df))} == distribution
+
+    home = dict(fixed.ANCHOR_ZONES)
+    wrong = Counter(r["zone"] for r in facts if home.get(r["anchor"]) != r["zone"])
+    for zone, _, mismatches in listed(quality.zone_anchor_mismatch(df)):
+        assert mismatches == wrong[zone]
+
+    ranges = {zone: (low, high) for zone, low, high in fixed.RSSI_RANGES}
+    outside = Counter()
+    for r in facts:
+        low, high = ranges.get(r["zone"], fixed.RSSI_RANGE_ELSEWHERE)
+        if r["visible"] == 1 and r["rssi"] is not None and not low <= r["rssi"] <= high:
+            outside[r["zone"]] += 1
+    for zone, _, bad in listed(quality.rssi_out_of_range(df)):
+        assert bad == outside[zone]
+
+    preferred = {vehicle: zones for vehicle, _, _, zones in fixed.PROFILES}
+    allowed = dict(fixed.STATE_ZONES)
+    for vehicle, total, liked, eligible, chosen, *_ in listed(fleet.preferred_zone_share(df)):
+        mine = [r for r in facts if r["forklift_id"] == vehicle]
+        zones = preferred.get(vehicle, ())
+        candidates = [
+            (r, [z for z in zones if z in allowed.get((r["mov"], r["occ"]), ())]) for r in mine
+        ]
+        assert total == len(mine)
+        assert liked == sum(r["zone"] in zones for r in mine)
+        assert eligible == sum(bool(c) for _, c in candidates)
+        assert chosen == sum(r["zone"] in c for r, c in candidates)
+    df.unpersist()
