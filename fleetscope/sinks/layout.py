@@ -7,6 +7,8 @@ groups. No vehicle, day or instant is assumed to fit one task.
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -70,6 +72,21 @@ def write_by_time(
     return _load(arranged, path, "parquet", "overwrite", ("date",), options)
 
 
+def of_vehicle(stored: DataFrame, vehicle: str, shards: int = 2) -> DataFrame:
+    """One vehicle's readings from a table written by vehicle: only its shard's
+    directory is read."""
+    shard = derive.shard_of(F.lit(vehicle), shards)
+    return stored.filter((F.col("shard") == shard) & (F.col("forklift_id") == vehicle))
+
+
+def within(stored: DataFrame, start: datetime, end: datetime) -> DataFrame:
+    """Readings in [start, end) from a table written by time: only the dates in
+    question are read."""
+    dates = F.col("date").between(F.lit(start.date()), F.lit(end.date()))
+    first, last = (F.lit(at.isoformat(" ")).cast("timestamp_ntz") for at in (start, end))
+    return stored.filter(dates & (F.col("timestamp") >= first) & (F.col("timestamp") < last))
+
+
 def write_sorted(df: DataFrame, path: str, *access_path: str, **options: object) -> Receipt:
     """Sort each file by an access path, so that its filters skip row groups."""
     if access_path not in ACCESS_PATHS:

@@ -1,6 +1,7 @@
 """Readers, loads and layouts on real files."""
 
 import json
+from datetime import datetime
 
 import duckdb
 import pytest
@@ -338,15 +339,39 @@ def test_time_ranges_do_not_overlap(spark, medium, tmp_path):
     assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
 
 
-def test_layouts_prune(spark, medium, tmp_path, capsys):
+def test_a_vehicle_is_found_in_its_shard(spark, medium, tmp_path, capsys):
     df = events.telemetry(spark, medium).select(*COLUMNS)
-    layout.write_by_vehicle(df, str(tmp_path / "v"))
-    shard = spark.read.parquet(str(tmp_path / "v")).filter("shard = 1 AND forklift_id = 'FL_01'")
-    plan = explained(shard, capsys)
-    assert "PartitionFilters: [isnotnull(shard" in plan
-    assert "EqualTo(forklift_id,FL_01)" in plan
+    layout.write_by_vehicle(df, str(tmp_path / "v"), shards=4)
+    stored = spark.read.parquet(str(tmp_path / "v"))
+    for vehicle in ("FL_01", "FL_07"):
+        found = layout.of_vehicle(stored, vehicle, 4)
+        same(found.drop("shard"), df.filter(F.col("forklift_id") == vehicle))
+        plan = explained(found, capsys)
+        (shard,) = {row["shard"] for row in found.select("shard").distinct().collect()}
+        assert "PartitionFilters: [isnotnull(shard" in plan and f"= {shard})]" in plan
+        assert f"EqualTo(forklift_id,{vehicle})" in plan
+
 
+def test_a_period_is_found_in_its_dates(spark, medium, tmp_path, capsys):
+    df = events.telemetry(spark, medium).select(*COLUMNS)
+    layout.write_by_time(df, str(tmp_path / "t"))
+    stored = spark.read.schema(TELEMETRY).parquet(str(tmp_path / "t"))
+    start, end = datetime(2024, 1, 5, 22, 30), datetime(2024, 1, 7, 6, 0)
+    found = layout.within(stored, start, end)
+    wanted = df.filter("timestamp >= '2024-01-05 22:30:00' AND timestamp < '2024-01-07 06:00:00'")
+    same(found, wanted)
+    assert wanted.count() > 100
+    plan = explained(found, capsys)
+    assert "(date#" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "GreaterThanOrEqual(timestamp,2024-01-05T22:30" in plan
+
+
+def test_sorted_files(spark, medium, tmp_path):
+    df = events.telemetry(spark, medium).select(*COLUMNS)
     layout.write_sorted(df, str(tmp_path / "s"), "zone", "shift")
+    stored = readers.in_stored_order(spark.read.parquet(str(tmp_path / "s")))
+    order = [tuple(row) for row in stored.select("zone", "shift").collect()]
+    assert order == sorted(order)
     with pytest.raises(ValueError, match="access path"):
         layout.write_sorted(df, str(tmp_path / "s"), "rssi")
 
