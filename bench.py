@@ -12,9 +12,10 @@ import os
 import re
 
 from fleetscope.plans import catalog, measure
-from fleetscope.plans.sql_queries import run_sql
+from fleetscope.plans.sql_queries import run_sql_on_view
 from fleetscope.session import local_session
 from fleetscope.sinks.writers import replace_table, shared_folder
+from fleetscope.sources.readers import register_view
 from fleetscope.sources.events import damaged_telemetry, telemetry
 from fleetscope.schema import TELEMETRY
 
@@ -23,7 +24,7 @@ CPUS = int(os.environ.get("BENCH_CPUS", "8"))
 REPEATS = int(os.environ.get("BENCH_REPEATS", "3"))
 
 PUBLISHED = {
-    "top_unauthorized_cached": 0.74,
+    "top_unauthorized_cached": {"spark_sql": 0.74, "document_store": 0.0874},
     "csv_read_count": 1.3908,
     "parquet_read_count": 1.3116,
 }
@@ -53,8 +54,9 @@ def main() -> None:
 
     cached = spark.read.schema(TELEMETRY).parquet(f"{folder}/parquet").persist()
     rows = cached.count()
+    register_view(cached)
     times["top_unauthorized_cached"] = measure.seconds(
-        lambda: measure.run(run_sql("top_unauthorized_forklifts", cached)), REPEATS
+        lambda: run_sql_on_view(spark, "top_unauthorized_forklifts").collect(), 3 * REPEATS, 5
     )
     cached.unpersist()
 

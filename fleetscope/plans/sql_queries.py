@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+from fleetscope.fixed_values import DEFAULT_VIEW
 
 SQL = {
     "zone_shift_summary": """
@@ -50,3 +52,8 @@ SQL = {
 def run_sql(name: str, df: DataFrame) -> DataFrame:
     """A named query over ``df``, which needs no registered view."""
     return df.sparkSession.sql(SQL[name], telemetry=df)
+
+
+def run_sql_on_view(spark: SparkSession, name: str, view: str = DEFAULT_VIEW) -> DataFrame:
+    """A named query over a registered view."""
+    return spark.sql(SQL[name].format(telemetry=view))

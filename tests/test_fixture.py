@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from fleetscope.operators import counts, fleet, quality, rates, reshape, summary, topk
-from fleetscope.plans.sql_queries import SQL, run_sql
+from fleetscope.plans.sql_queries import SQL, run_sql, run_sql_on_view
+from fleetscope.sources.readers import register_view
 from tests.fixture import READINGS, listed, reading, rows
 
 
@@ -287,6 +288,8 @@ def test_sql_and_dataframe_queries_agree(df):
     assert set(twins) == set(SQL)
     for name, twin in twins.items():
         assert listed(run_sql(name, df)) == listed(twin(df)), name
+        register_view(df, "readings")
+        assert listed(run_sql_on_view(df.sparkSession, name, "readings")) == listed(twin(df)), name
 
 
 def test_shards_cover_all_rows(df):
