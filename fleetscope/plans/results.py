@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -63,11 +64,14 @@ def stored_rollup(df: DataFrame, path: str, quality: bool = False) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def _for_each(names: Iterable[str], load: Callable[[str], Receipt | None]) -> dict[str, Receipt]:
-    """Small independent loads, a few at a time so that they fill the cluster."""
+def _for_each(
+    spark: SparkSession, names: Iterable[str], load: Callable[[str], Receipt | None]
+) -> dict[str, Receipt]:
+    """Small independent loads, a few at a time so that they fill the cluster.
+    The caller's job group and scheduler pool hold in the threads as well."""
     names = tuple(names)
     with ThreadPoolExecutor(_WRITERS) as pool:
-        receipts = zip(names, pool.map(load, names))
+        receipts = zip(names, pool.map(inheritable_thread_target(spark)(load), names))
     return {name: receipt for name, receipt in receipts if receipt is not None}
 
 
@@ -75,9 +79,10 @@ def write_from_rollup(
     base: DataFrame, target: str, names: Iterable[str] = tuple(COLLECTIONS), fmt: str = "parquet"
 ) -> dict[str, Receipt]:
     """Replace the result collections below ``target``, given a stored rollup."""
-    return _for_each(
-        names, lambda name: replace_table(RESULTS[name](base), result_path(target, name), fmt)
-    )
+    def write(name: str) -> Receipt:
+        return replace_table(RESULTS[name](base), result_path(target, name), fmt)
+
+    return _for_each(base.sparkSession, names, write)
 
 
 def write_results(
@@ -90,9 +95,11 @@ def write_results(
 def append_history(df: DataFrame, target: str, fmt: str = "parquet") -> dict[str, Receipt]:
     """Append three results, repeated runs included."""
     base = stored_rollup(df, f"{target}/rollup")
-    return _for_each(
-        HISTORY, lambda name: append_table(RESULTS[name](base), result_path(target, name), fmt)
-    )
+
+    def write(name: str) -> Receipt:
+        return append_table(RESULTS[name](base), result_path(target, name), fmt)
+
+    return _for_each(base.sparkSession, HISTORY, write)
 
 
 def write_csv_results(
@@ -100,9 +107,11 @@ def write_csv_results(
 ) -> dict[str, Receipt]:
     """Every result as sorted CSV with a header, ``<name>.csv`` below ``folder``."""
     base = stored_rollup(df, f"{folder}/rollup")
-    return _for_each(
-        names, lambda name: write_result_csv(RESULTS[name](base), f"{folder}/{name}.csv")
-    )
+
+    def write(name: str) -> Receipt:
+        return write_result_csv(RESULTS[name](base), f"{folder}/{name}.csv")
+
+    return _for_each(base.sparkSession, names, write)
 
 
 def publish_csv_results(
@@ -122,7 +131,7 @@ def publish_csv_results(
         stored = read_if_present(read_csv, spark, f"{folder}/{name}.csv", schema=schema)
         return None if stored is None else load(stored, result_path(target, name), fmt)
 
-    return _for_each(names, publish)
+    return _for_each(spark, names, publish)
 
 
 def read_result(spark: SparkSession, target: str, name: str, fmt: str = "parquet") -> DataFrame:

@@ -2,6 +2,7 @@
 
 import json
 from datetime import datetime
+from types import SimpleNamespace
 
 import duckdb
 import pytest
@@ -9,6 +10,7 @@ from pyspark import TaskContext
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from fleetscope.operators.rollup import rollup
 from fleetscope.plans import reports, results, runs
 from fleetscope.plans.measure import compare_formats
 from fleetscope.schema import DOCUMENT, TELEMETRY, TELEMETRY_V1, require_columns, schema_tree
@@ -213,6 +215,29 @@ def test_days_as_documents(spark, fit, tmp_path):
     same(readers.read_documents(spark, path), fit)
 
 
+def test_a_cluster_must_name_its_shared_folder():
+    def session(master):
+        conf = SimpleNamespace(get=lambda name, default: default)
+        return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master))
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        writers.shared_folder(session("yarn"))
+    assert "fleetscope-" in writers.shared_folder(session("local[2]"))
+
+
+def test_result_threads_keep_the_job_group(spark, fit, tmp_path, monkeypatch):
+    def noted(df, *_):
+        return spark.sparkContext.getLocalProperty("spark.jobGroup.id")
+
+    monkeypatch.setattr(results, "replace_table", noted)
+    spark.sparkContext.setJobGroup("nightly", "all results")
+    try:
+        seen = results.write_from_rollup(rollup(fit), str(tmp_path), ("zone_counts", "shift_counts"))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert seen == {"zone_counts": "nightly", "shift_counts": "nightly"}
+
+
 def failing_once(df):
     """The same rows, but every task dies at its end on the first attempt."""
 
