@@ -34,14 +34,19 @@ def test_shift_bounds(spark, clock, shift):
 
 
 def test_classification_over_every_combination(spark):
+    by_state = {
+        (1, 1): fixed.ACTIVE,
+        (0, 1): fixed.IDLE,
+        (1, 0): fixed.UNAUTHORIZED,
+        (0, 0): fixed.AVAILABLE,
+    }
+
     def by_hand(status, visible, mov, occ, zone):
-        if status == "offline" or visible == 0:
-            return "signal_loss_or_offline"
-        names = {(1, 1): "active_work", (0, 1): "idle_waiting", (1, 0): "unauthorized_operation"}
-        if (mov, occ) == (0, 0):
-            parked = zone in ("Charging", "Maintenance")
-            return "parked_or_charging_candidate" if parked else "available"
-        return names.get((mov, occ), "unknown")
+        category = by_state.get((mov, occ), fixed.UNKNOWN)
+        if category == fixed.AVAILABLE and zone in fixed.PARKING_ZONES:
+            category = fixed.PARKED
+        lost = visible == 0 or status == fixed.OFFLINE
+        return fixed.SIGNAL_LOSS if lost else category
 
     cases = list(
         itertools.product(
