@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from fleetscope.operators import quality
 from fleetscope.plans import results
 from fleetscope.schema import REPORT, schema_tree
-from fleetscope.sinks.layout import ACCESS_PATHS
 from fleetscope.sinks.writers import Receipt
 
 
@@ -42,8 +41,10 @@ def validation_report(df: DataFrame) -> DataFrame:
     return report.withColumn("value", F.col("value").cast("string"))
 
 
-def load_report(document: DataFrame, receipt: Receipt) -> DataFrame:
-    """What was loaded, its access paths and the summary document's content."""
+def load_report(
+    document: DataFrame, receipt: Receipt, access_paths: Iterable[str] = ()
+) -> DataFrame:
+    """What was loaded, the columns its layout serves, and the summary document."""
 
     def line(section: str, metric: Column, value: Column) -> Column:
         return F.struct(
@@ -52,12 +53,11 @@ def load_report(document: DataFrame, receipt: Receipt) -> DataFrame:
             value.cast("string").alias("value"),
         )
 
-    paths = ["+".join(path) for path in ACCESS_PATHS]
     head = [
         line("load", F.lit("path"), F.lit(receipt.path)),
         line("load", F.lit("written"), F.lit(receipt.written)),
         line("load", F.lit("stored"), F.lit(receipt.stored)),
-        *[line("access_path", F.lit(i + 1), F.lit(path)) for i, path in enumerate(paths)],
+        *[line("access_path", F.lit(i + 1), F.lit(p)) for i, p in enumerate(access_paths)],
         *[
             line("result", F.lit(name), F.col(name))
             for name in document.columns

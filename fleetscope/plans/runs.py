@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from fleetscope.functions.derive import with_day
 from fleetscope.operators.summary import summary_document
 from fleetscope.plans import reports, results
-from fleetscope.schema import require_columns
+from fleetscope.schema import TELEMETRY, require_columns
 from fleetscope.sinks import writers
 from fleetscope.sources.readers import register_view
 
@@ -36,8 +36,10 @@ def cached(df: DataFrame):
 
 def prepare(df: DataFrame, start: date | None = None) -> DataFrame:
     """Telemetry of either version with all columns; a view for ad-hoc SQL."""
-    complete = df if start is None else with_day(df, start)
-    return register_view(require_columns(complete))
+    complete = require_columns(df if start is None else with_day(df, start))
+    names = TELEMETRY.fieldNames()
+    others = [name for name in complete.columns if name not in names]
+    return register_view(complete.select(*names, *others))
 
 
 def analyse(df: DataFrame, target: str, fmt: str = "parquet") -> dict[str, writers.Receipt]:
@@ -63,8 +65,11 @@ def load(df: DataFrame, target: str, by_day: bool = True, **options: object) ->
     summary document and reports on what is now there, in one scan of it."""
     spark = df.sparkSession
     path = f"{target}/telemetry"
-    load_rows = writers.replace_days if by_day else writers.replace_table
-    receipt = load_rows(df, path, **options)
+    if by_day:
+        sort_by = options.setdefault("sort_by", ("timestamp",))
+        receipt, access_paths = writers.replace_days(df, path, **options), ("day_index", *sort_by)
+    else:
+        receipt, access_paths = writers.replace_table(df, path, **options), ()
     # the shape of what was written, not of what is found
     stored = spark.read.schema(writers.keyed(df).schema if by_day else df.schema).parquet(path)
 
@@ -74,9 +79,8 @@ def load(df: DataFrame, target: str, by_day: bool = True, **options: object) ->
     document = summary_document(base).withColumn("generated_at", F.lit(generated_at))
     writers.replace_table(document, f"{target}/summary", "json")
     summary = spark.read.schema(document.schema).json(f"{target}/summary")
-    reports.write_report(
-        reports.load_report(summary, receipt), f"{target}/load_report", "LOAD REPORT", generated_at
-    )
+    report = reports.load_report(summary, receipt, access_paths)
+    reports.write_report(report, f"{target}/load_report", "LOAD REPORT", generated_at)
     reports.write_report(
         reports.validation_report(base),
         f"{target}/validation_report",
