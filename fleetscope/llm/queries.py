@@ -7,7 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetscope.llm import ngram_join, token_counts
+from fleetscope.llm import (
+    decontamination,
+    host_rules,
+    line_dedup,
+    mixing,
+    ngram_join,
+    substring_dedup,
+    token_counts,
+)
 from fleetscope.sinks.storage import Scratch
 
 
@@ -15,6 +23,35 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return decontamination.contaminated(_documents(spark, sf_dir), benchmark, Scratch(spark, "op1"))
+
+
+def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir).select("doc_id", "text", "source")
+    mixed, _ = mixing.mix(docs, Scratch(spark, "op2"))
+    shards = F.transform("copies", lambda copy: copy["shard"])
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", shards.alias("shards"))
+
+
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return host_rules.quality_report(_documents(spark, sf_dir), Scratch(spark, "op4"))
+
+
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.without_repeated_spans(_documents(spark, sf_dir), Scratch(spark, "op6"))
+
+
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir).select("doc_id", "text")
+    cut, lines, lost = line_dedup.without_repeated_lines(docs, Scratch(spark, "op7"))
+    return cut.select(
+        "doc_id", F.col(lines).alias("n_lines"), F.col(lost).alias("n_removed"),
+        F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"),
+    )
+
+
 def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = ngram_join.component_ids(_documents(spark, sf_dir), Scratch(spark, "op9"))
     return found.select("doc_id", "n_shingles", "component_id")
@@ -28,6 +65,11 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_benchmark_decontamination": op1_benchmark_decontamination,
+    "op2_source_mixing": op2_source_mixing,
+    "op4_quality_rules": op4_quality_rules,
+    "op6_substring_dedup": op6_substring_dedup,
+    "op7_line_dedup": op7_line_dedup,
     "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
     "op10_token_counts": op10_token_counts,
 }
