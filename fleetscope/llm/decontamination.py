@@ -49,8 +49,6 @@ UNITS = (
 ).split()
 
 _NUMBER, _NAME, _UNIT = (np.uint64(x) for x in (0x1F83D9ABFB41BD6B, 0x5BE0CD19137E2179, 0x9B05688C2B3E6C1F))
-_LETTERS = np.zeros(256, dtype=bool)  # what stays of a word
-_LETTERS[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
 _DIGITS = np.zeros(256, dtype=bool)
 _DIGITS[48:58] = True
 _CAPITALS = np.zeros(256, dtype=bool)
@@ -64,16 +62,10 @@ class Template:
     word, the hash with placeholders, and whether it is one."""
 
     def __init__(self, texts: pa.Array) -> None:
-        found = words.split_words(texts)
-        kept = np.append(0, np.cumsum(_LETTERS[found.data]))
-        bare = found.data[_LETTERS[found.data]]
-        starts, ends = kept[found.starts], kept[found.ends]
-        some = ends > starts  # words of punctuation alone don't count
-        before = np.append(0, np.cumsum(some))
-        first = before[found.first]
-        starts, ends = starts[some], ends[some]
+        found = words.bare_words(words.split_words(texts))
+        bare, starts, ends, first = found.data, found.starts, found.ends, found.first
         # capitals of Latin-1 take two bytes
-        wide = np.append(False, bare[:-1] == 0xC3)[: len(bare)] & (bare >= 0x80) & (bare <= 0x9E)
+        wide = words.latin_capitals(bare)
         bare = np.where(wide, bare + 0x20, bare).astype(np.uint8)
         plain = words._range_hash(words._LOWERED[bare], starts, ends, words._BASE, words._INVERSE)
         digits = np.append(0, np.cumsum(_DIGITS[bare]))

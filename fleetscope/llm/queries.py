@@ -13,8 +13,11 @@ from fleetscope.llm import (
     line_dedup,
     mixing,
     ngram_join,
+    pii,
     substring_dedup,
+    suffix_model,
     token_counts,
+    toxicity,
 )
 from fleetscope.sinks.storage import Scratch
 
@@ -35,10 +38,19 @@ def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", shards.alias("shards"))
 
 
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_model.score_texts(_documents(spark, sf_dir), Scratch(spark, "op3"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return host_rules.quality_report(_documents(spark, sf_dir), Scratch(spark, "op4"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return toxicity.toxicity(_documents(spark, sf_dir), labels, Scratch(spark, "op5"))
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.without_repeated_spans(_documents(spark, sf_dir), Scratch(spark, "op6"))
 
@@ -52,6 +64,10 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(_documents(spark, sf_dir), Scratch(spark, "op8"))
+
+
 def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = ngram_join.component_ids(_documents(spark, sf_dir), Scratch(spark, "op9"))
     return found.select("doc_id", "n_shingles", "component_id")
@@ -67,9 +83,12 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op2_source_mixing": op2_source_mixing,
+    "op3_lm_scoring": op3_lm_scoring,
     "op4_quality_rules": op4_quality_rules,
+    "op5_toxicity": op5_toxicity,
     "op6_substring_dedup": op6_substring_dedup,
     "op7_line_dedup": op7_line_dedup,
+    "op8_pii": op8_pii,
     "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
     "op10_token_counts": op10_token_counts,
 }

@@ -119,6 +119,28 @@ def split_words(texts: pa.Array) -> Words:
     return Words(data, starts, ends, np.searchsorted(starts, bounds), bounds)
 
 
+_LETTERS = np.zeros(256, dtype=bool)
+_LETTERS[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
+
+
+def bare_words(found: Words) -> Words:
+    """The words without ASCII punctuation and signs; what has nothing else is
+    no word here."""
+    letters = _LETTERS[found.data]
+    kept = np.append(0, np.cumsum(letters))
+    starts, ends = kept[found.starts], kept[found.ends]
+    some = ends > starts
+    before = np.append(0, np.cumsum(some))
+    return Words(
+        found.data[letters], starts[some], ends[some], before[found.first], kept[found.text_starts]
+    )
+
+
+def latin_capitals(data: np.ndarray) -> np.ndarray:
+    """Second bytes of the capitals of Latin-1; adding 0x20 makes them small."""
+    return np.append(False, data[:-1] == 0xC3)[: len(data)] & (data >= 0x80) & (data <= 0x9E)
+
+
 def window_hashes(hashes: np.ndarray, size: int) -> np.ndarray:
     """Hashes of every ``size`` consecutive values, over text bounds as well:
     the caller keeps those that lie inside one text."""
