@@ -11,11 +11,12 @@ equal blocks meet in an equi-join. Enough blocks are cut that, for all but a few
 documents, one that isn't empty must agree; those few match by empty blocks too.
 
 Equal sets are one node, represented once. In the group of a block, every node
-is verified against the group's smallest, not against each other. A node that
-turns out not to be connected with it (a stray) is then verified against those
-members of its groups that the triangle inequality leaves possible, so the
-components are exact although groups are never multiplied out. Verification
-intersects whole sets; nothing is collected.
+is verified against the most central one, which shares most blocks with others,
+not against each other. Nodes that turn out not to be connected with it (strays)
+are verified against the most central stray of their groups, for some rounds,
+and what is left against those members of its groups that the triangle inequality
+leaves possible. So the components are exact, although the groups of copies are
+never multiplied out. Verification intersects whole sets; nothing is collected.
 
 A null or empty text has an empty set, which is linked with nothing. Repeated
 rows are nodes like other copies. A null id is larger than any other. An empty
@@ -39,6 +40,7 @@ SHINGLE = 5
 NEAR, WHOLE = 80, 100  # linked if WHOLE * intersection >= NEAR * union
 _BAND_RATIO = 1.5
 _SLACK = 0.12
+ROUNDS = 4  # in which strays are verified against one of each group
 _KEPT_BYTES = 5  # of each shingle's hash, when sets are compared
 
 
@@ -202,7 +204,6 @@ def _verify(pairs: DataFrame, sets: DataFrame, near: int, whole: int) -> DataFra
         F.col("node").alias("a"), F.col("n").alias("a_n"), F.col("members").alias("a_members")
     )
     joined = pairs.join(of_b, "b").join(of_a, "a")
-    joined = joined.filter(whole * F.least("a_n", "b_n") >= near * F.greatest("a_n", "b_n"))
     checked = joined.mapInArrow(intersect, "a bigint, b bigint, a_n bigint, b_n bigint, common bigint")
     union = F.col("a_n") + F.col("b_n") - F.col("common")
     return checked.select(
@@ -234,8 +235,9 @@ def similar_components(
         .filter("node != first AND node != last")
     )
     stars = scratch.save(groups.select("key", "first", "node"))
+    members = scratch.save(_with_centre(stars))
     pairs = scratch.save(
-        stars.select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
+        members.filter("centre != node").select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
     )
     # whole sets, of one document for each node that has a partner
     active = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
@@ -247,52 +249,67 @@ def similar_components(
     )
     sets = scratch.save(_sets(chosen.select("node", "text"), size).dropDuplicates(["node"]))
     checked = scratch.save(_verify(pairs, sets, near, whole))
-    links = checked.filter("linked").select("a", "b")
+    links = scratch.save(checked.filter("linked").select("a", "b"))
     labels = scratch.save(connected_components(links, scratch))
-    more = _stray_pairs(stars, checked, labels, near, whole)
-    if more is not None:
-        more = scratch.save(more)
+    apart = checked.select(F.col("a").alias("centre"), F.col("b").alias("node"), F.col("b_n").alias("n"), "apart")
+    itself = checked.select(F.col("a").alias("centre"), F.col("a").alias("node"), F.col("a_n").alias("n"), F.lit(0).alias("apart"))
+    members = scratch.save(members.join(apart.union(itself.distinct()), ["centre", "node"]))
+    done = pairs
+    for turn in range(ROUNDS + 1):
+        more = scratch.save(_stray_pairs(members, labels, done, turn == ROUNDS, near, whole))
+        if not more.limit(1).count():
+            break
         found = _verify(more, sets, near, whole).filter("linked").select("a", "b")
-        found = scratch.save(found)
-        if found.limit(1).count():
-            joined = labels.select(F.col("node").alias("a"), F.col("label").alias("b"))
-            labels = scratch.save(connected_components(joined.union(found), scratch))
-    scratch.drop(stars, pairs, sets, checked)
+        merged = labels.select(F.col("node").alias("a"), F.col("label").alias("b")).union(found)
+        labels = scratch.save(connected_components(merged, scratch))
+        done = done.union(more)
     labelled = nodes.join(labels, "node", "left")
     return labelled.select("id", "text_hash", "n_shingles", F.coalesce("label", "node").alias("label"))
 
 
-def _stray_pairs(stars, checked, labels, near, whole) -> DataFrame | None:
-    """Pairs still to verify: members of a group that aren't connected with its
-    first one, with any others of the group that may be similar. The distances
-    to the first member differ by no more than the distance between the two."""
+def _with_centre(stars: DataFrame) -> DataFrame:
+    """stars (key, first, node) -> key, node, centre, score: the members of every
+    group, how central they are, and the most central of the group."""
+    members = stars.select("key", "node").union(stars.select("key", "first")).distinct()
+    sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("size"))
+    scores = members.join(sizes, "key").groupBy("node").agg(F.sum("size").alias("score"))
+    scored = members.join(scores, "node")
+    centres = scored.groupBy("key").agg(F.max_by("node", F.struct("score", "node")).alias("centre"))
+    return scored.join(centres, "key").select("key", "node", "centre", "score")
+
+
+def _stray_pairs(members, labels, done, every: bool, near: int, whole: int) -> DataFrame:
+    """Pairs still to verify: of a group's strays the most central, or ``every``
+    one, with any members that may be similar. Two members' distances to the
+    centre differ by no more than the distance between the two."""
     label_of = lambda name: labels.select(
         F.col("node").alias(name), F.col("label").alias(f"{name}_label")
     )
-    known = (
-        checked.join(label_of("a"), "a", "left")
-        .join(label_of("b"), "b", "left")
-        .withColumn("stray", F.coalesce("a_label", "a") != F.coalesce("b_label", "b"))
-        .select("a", "b", "b_n", "apart", "stray", F.coalesce("b_label", "b").alias("b_label"))
-    )
-    if not known.filter("stray").limit(1).count():
-        return None
-    members = stars.withColumnsRenamed({"first": "a", "node": "b"}).join(known, ["a", "b"])
-    strays = members.filter("stray")
-    of_strays = members.join(strays.select("key").distinct(), "key", "left_semi")
-    other = of_strays.select(
-        "key", F.col("b").alias("c"), F.col("b_n").alias("c_n"),
-        F.col("apart").alias("c_apart"), F.col("b_label").alias("c_label"), F.col("stray").alias("c_stray"),
+    known = members.join(label_of("node"), "node", "left").join(label_of("centre"), "centre", "left")
+    known = known.select(
+        "key", "node", "n", "apart", "score", F.coalesce("node_label", "node").alias("label"),
+        (F.coalesce("node_label", "node") != F.coalesce("centre_label", "centre")).alias("stray"),
+    )
+    strays = known.filter("stray")
+    if not every:
+        first = strays.groupBy("key").agg(
+            F.max_by(F.struct("node", "n", "apart", "label"), F.struct("score", "node")).alias("s")
+        )
+        strays = first.select("key", "s.*")
+    left = strays.select(
+        "key", F.col("node").alias("x"), F.col("n").alias("x_n"), F.col("apart").alias("x_apart"),
+        F.col("label").alias("x_label"),
     )
     over, under = _limits(near, whole)
     possible = (
-        (F.col("b_label") != F.col("c_label"))
-        & (~F.col("c_stray") | (F.col("b") < F.col("c")))
-        & (whole * F.least("b_n", "c_n") >= near * F.greatest("b_n", "c_n"))
-        & (under * F.abs(F.col("apart") - F.col("c_apart")) <= over * (F.col("b_n") + F.col("c_n")))
+        (F.col("x_label") != F.col("label"))
+        & (whole * F.least("x_n", "n") >= near * F.greatest("x_n", "n"))
+        & (under * F.abs(F.col("x_apart") - F.col("apart")) <= over * (F.col("x_n") + F.col("n")))
     )
-    found = strays.join(other, "key").filter(possible)
-    return found.select(F.col("b").alias("a"), F.col("c").alias("b")).distinct()
+    found = left.join(known, "key").filter(possible)
+    found = found.select(F.greatest("x", "node").alias("a"), F.least("x", "node").alias("b")).distinct()
+    before = done.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    return found.join(before, ["a", "b"], "left_anti")
 
 
 def component_ids(docs: DataFrame, scratch: Scratch, id: str = "doc_id", **options) -> DataFrame:
