@@ -14,9 +14,9 @@ key needs only its earliest line, by an aggregate with map-side combine, so the
 lines of a group are never multiplied out. The edit distance to the earliest
 line is then verified on the words.
 
-Most lines have no neighbour. Lines within one edit share the first or the last
-half of their words, so only lines that share a half with a different line emit
-variants; the halves are two keys a line for each of two lengths.
+Most lines have no neighbour. The edit lies in one third of the line and leaves
+the others as they are, so only lines that share two of their thirds with a
+different line emit variants: three keys a line for each of two lengths.
 
 A null text stays null and has no lines. Rows that repeat id and text are one
 document, and are cut alike. A null id is later than any other. An empty table
@@ -37,40 +37,41 @@ NEAR_WORDS = 10
 _PLACE = ("late", "id", "text_hash", "at")  # where a line stands; smallest is earliest
 
 
-def _half(words: Column, length: Column, last: bool) -> Column:
-    """A key of the words that a line of this length shares with one of the same
-    length or one less, if the edit lies in the other half."""
-    size = F.floor((length - 1) / 2).cast("int")
-    part = F.slice(words, F.size(words) - size + 1, size) if last else F.slice(words, F.lit(1), size)
-    return F.xxhash64(F.lit(last), length, part)
+def _parts(words: Column, length: Column) -> list[Column]:
+    """Keys of the words that a line shares with one within an edit, if the
+    longer of the two has this length: all but the last third, all but the first,
+    or both of these."""
+    third = F.floor((length - 1) / 3).cast("int")
+    long, short = length - 1 - third, third + 1
+    last = lambda n: F.slice(words, F.size(words) - n + 1, n)
+    parts = (F.slice(words, F.lit(1), long), last(long), F.concat(F.slice(words, F.lit(1), short), last(short)))
+    return [F.xxhash64(F.lit(k), length, part) for k, part in enumerate(parts)]
 
 
 def _line_table(docs: DataFrame, id: str, text: str) -> DataFrame:
     """A row for every line of at least MIN_WORDS words: its place, two hashes
-    of its words, its length, and the keys of its halves."""
+    of its words, its length, and the keys of its parts."""
     lines = docs.select(
         docs[id].isNull().alias("late"), docs[id].alias("id"),
         F.xxhash64(docs[text]).alias("text_hash"),
         F.posexplode(F.split(docs[text], "\n")).alias("at", "line"),
     ).select(*_PLACE, F.regexp_extract_all("line", F.lit(WORD), F.lit(0)).alias("words"))
     length = F.size("words")
-    halves = [
-        _half(F.col("words"), length + longer, last) for longer in (0, 1) for last in (False, True)
-    ]
+    parts = [*_parts(F.col("words"), length), *_parts(F.col("words"), length + 1)]
     return lines.filter(length >= MIN_WORDS).select(
         *_PLACE,
         F.xxhash64("words").alias("h1"),
         F.xxhash64(F.lit(1), "words").alias("h2"),
-        F.when(length >= NEAR_WORDS, F.array(*halves)).alias("halves"),
+        F.when(length >= NEAR_WORDS, F.array(*parts)).alias("parts"),
     )
 
 
-def _active(lines: DataFrame) -> DataFrame:
-    """Different lines that share a half with another, by their hashes."""
-    shared = lines.filter(F.col("halves").isNotNull()).select("h1", "h2", F.explode("halves").alias("half"))
-    bounds = shared.groupBy("half").agg(F.min("h1").alias("low"), F.max("h1").alias("high"))
-    several = bounds.filter("low != high").select("half")
-    return shared.join(several, "half", "left_semi").select("h1", "h2").distinct()
+def _active(firsts: DataFrame) -> DataFrame:
+    """Of the distinct lines those that share parts with another, by their hashes."""
+    shared = firsts.filter("parts IS NOT NULL").select("h1", "h2", F.explode("parts").alias("part"))
+    bounds = shared.groupBy("part").agg(F.min("h1").alias("low"), F.max("h1").alias("high"))
+    several = bounds.filter("low != high").select("part")
+    return shared.join(several, "part", "left_semi").select("h1", "h2").distinct()
 
 
 def _variants(active: DataFrame) -> DataFrame:
@@ -156,11 +157,14 @@ def dropped_lines(docs: DataFrame, scratch: Scratch, id: str = "doc_id", text: s
     """of, of_hash, dropped: the places of the lines that go, one row for every
     document that loses any."""
     lines = scratch.save(_line_table(docs, id, text))
-    firsts = lines.groupBy("h1", "h2").agg(F.min(F.struct(*_PLACE)).alias("first"))
-    active = scratch.save(_active(lines))
+    firsts = scratch.save(
+        lines.groupBy("h1", "h2").agg(F.min(F.struct(*_PLACE)).alias("first"), F.max("parts").alias("parts"))
+    )
+    active = scratch.save(_active(firsts))
+    firsts = firsts.drop("parts")
     near = _near_lines(docs, firsts, active, scratch, id, text)
     marked = firsts.join(near.withColumn("near", F.lit(True)), ["h1", "h2"], "left")
-    known = lines.drop("halves").join(marked, ["h1", "h2"])
+    known = lines.drop("parts").join(marked, ["h1", "h2"])
     gone = known.filter((F.struct(*_PLACE) != F.col("first")) | F.col("near"))
     found = gone.groupBy("id", "text_hash").agg(F.array_sort(F.collect_set("at")).alias("dropped"))
     found = scratch.save(found.withColumnsRenamed({"id": "of", "text_hash": "of_hash"}))
