@@ -11,9 +11,9 @@ Suffixes of these are partitioned by prefix into groups; a prefix with more than
 ``GROUP`` occurrences is lengthened to the whole span, which splits its group into
 single nodes. A group's suffixes are sorted to depth SPAN, in which order the
 suffixes below one deep node follow each other, the earliest document first;
-those of later documents are repeats. Nodes of frequent prefixes find their
-earliest document by an aggregate with map-side combine instead of a sort.
-Neighbouring repeats of a document add up to its maximal ones.
+those of later documents are repeats. The order is made by an external sort and
+read as a stream, so no group has to fit into memory. Neighbouring repeats of a
+document add up to its maximal ones.
 
 Of documents with the same words only the earliest takes part; the others go
 whole if they are at least SPAN words long. A null or empty text has no words. Rows
@@ -168,17 +168,15 @@ def _cut(active: DataFrame, span: int) -> DataFrame:
 
 def repeats(suffixes: DataFrame) -> DataFrame:
     """The suffixes that begin in an earlier document as well."""
-    rare, often = suffixes.filter("NOT often"), suffixes.filter("often")
-    in_group = Window.partitionBy("prefix").orderBy("node", "id")
+    group = F.when(F.col("often"), F.xxhash64("prefix", "node")).otherwise(F.col("prefix"))
+    in_group = Window.partitionBy("group").orderBy("node", "id")
     # below one node the earliest comes first: it is carried on while the node stays
     new_node = F.coalesce(F.lag("node").over(in_group) != F.col("node"), F.lit(True))
-    marked = rare.withColumn("head", F.when(new_node, F.col("id")))
+    marked = suffixes.withColumn("group", group).withColumn("head", F.when(new_node, F.col("id")))
     until_here = in_group.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     earliest = F.last("head", ignorenulls=True).over(until_here)
     late = marked.withColumn("earliest", earliest).filter("earliest < id")
-    heads = often.groupBy("prefix", "node").agg(F.min("id").alias("earliest"))
-    late_often = often.join(heads, ["prefix", "node"]).filter("earliest < id")
-    return late.select("id", "text_hash", "start").unionByName(late_often.select("id", "text_hash", "start"))
+    return late.select("id", "text_hash", "start")
 
 
 def without_repeated_spans(
