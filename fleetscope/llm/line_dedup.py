@@ -51,19 +51,27 @@ def _parts(words: Column, length: Column) -> list[Column]:
 def _line_table(docs: DataFrame, id: str, text: str) -> DataFrame:
     """A row for every line of at least MIN_WORDS words: its place, two hashes
     of its words, its length, and the keys of its parts."""
-    lines = docs.select(
-        docs[id].isNull().alias("late"), docs[id].alias("id"),
-        F.xxhash64(docs[text]).alias("text_hash"),
-        F.posexplode(F.split(docs[text], "\n")).alias("at", "line"),
-    ).select(*_PLACE, F.regexp_extract_all("line", F.lit(WORD), F.lit(0)).alias("words"))
-    length = F.size("words")
-    parts = [*_parts(F.col("words"), length), *_parts(F.col("words"), length + 1)]
-    return lines.filter(length >= MIN_WORDS).select(
-        *_PLACE,
-        F.xxhash64("words").alias("h1"),
-        F.xxhash64(F.lit(1), "words").alias("h2"),
-        F.when(length >= NEAR_WORDS, F.array(*parts)).alias("parts"),
+
+    def describe(words: Column, at: Column) -> Column:
+        length = F.size(words)
+        parts = [*_parts(words, length), *_parts(words, length + 1)]
+        return F.struct(
+            at.alias("at"), length.alias("length"),
+            F.xxhash64(words).alias("h1"), F.xxhash64(F.lit(1), words).alias("h2"),
+            F.when(length >= NEAR_WORDS, F.array(*parts)).alias("parts"),
+        )
+
+    # before the rows are made: a filter on them would split every line twice
+    lines = F.transform(
+        F.split(docs[text], "\n"),
+        lambda line, at: let(F.regexp_extract_all(line, F.lit(WORD), F.lit(0)), lambda words: describe(words, at)),
     )
+    long = F.filter(lines, lambda line: line["length"] >= MIN_WORDS)
+    rows = docs.select(
+        docs[id].isNull().alias("late"), docs[id].alias("id"),
+        F.xxhash64(docs[text]).alias("text_hash"), F.explode(long).alias("line"),
+    )
+    return rows.select("late", "id", "text_hash", *[f"line.{c}" for c in ("at", "h1", "h2", "parts")])
 
 
 def _active(firsts: DataFrame) -> DataFrame:
