@@ -44,7 +44,8 @@ PATTERNS = {
 }
 _PART = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[0-9]{1,2})"
 # what can be an identifier at all: a token with a digit or an @
-TOKEN = r"[^\x20\x09-\x0D,;:\"'<>()\[\]{}|=]+"
+_APART = r"\x20\x09-\x0D,;:\"'<>()\[\]{}|="
+TOKEN = rf"(?<![^{_APART}])[^{_APART}0-9@]*+[0-9@][^{_APART}]*+"
 # forms that are possible for a kind, if context says so
 FORMS = {
     "email": r"^[^@]+@[^@]+$",
@@ -196,7 +197,7 @@ def personal_data(docs: DataFrame, scratch: Scratch, id: str = "doc_id", text: s
     found = _matches(marked, PATTERNS)
     base = scratch.save(found.filter(_valid(F.col("kind"), F.col("match"))))
     tokens = _matches(marked, {"token": TOKEN}).filter(
-        F.col("match").rlike("[0-9@]") & F.length("match").between(5, LONGEST)
+        F.length("match").between(5, LONGEST)
     )
     tokens = tokens.withColumn("pattern", _pattern_of(F.col("left")))
     tokens = scratch.save(_uncovered(tokens.drop("pattern"), base).withColumn("pattern", _pattern_of(F.col("left"))))
