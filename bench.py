@@ -11,8 +11,9 @@ import json
 import os
 import re
 
+from fleetscope.fixed_values import DEFAULT_VIEW
+from fleetscope.operators import topk
 from fleetscope.plans import catalog, measure
-from fleetscope.plans.sql_queries import run_sql_on_view
 from fleetscope.schema import TELEMETRY
 from fleetscope.session import local_session
 from fleetscope.sinks.writers import replace_table, shared_folder
@@ -56,7 +57,7 @@ def main() -> None:
     rows = cached.count()
     register_view(cached)
     times["top_unauthorized_cached"] = measure.seconds(
-        lambda: run_sql_on_view(spark, "top_unauthorized_forklifts").collect(), 3 * REPEATS, 5
+        lambda: topk.top_unauthorized_forklifts(spark.table(DEFAULT_VIEW)).collect(), 3 * REPEATS, 5
     )
     cached.unpersist()
 

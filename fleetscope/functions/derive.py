@@ -89,7 +89,7 @@ def has_vehicle_prefix(vehicle: Column) -> Column:
     return vehicle.startswith(fixed.VEHICLE_PREFIX)
 
 
-def shard_of(vehicle: Column, shards: int) -> Column:
+def shard_of(vehicle: Column, shards: int | Column) -> Column:
     """Hash bucket of a vehicle; the rule is reproducible outside Spark."""
     head = F.substring(F.md5(vehicle), 1, 8)
     return (F.conv(head, 16, 10).cast("bigint") % shards).cast("int")

@@ -42,13 +42,15 @@ def write_by_vehicle(
     **options: object,
 ) -> Receipt:
     """One directory per hash shard of the vehicle, and few vehicles per file.
+    The number of shards is stored with the table, as a directory above them.
 
     Rebalancing splits a vehicle that is too large for one task, which a
     bucketed table could not: its readers take a whole bucket per task."""
     sharded = df.withColumn("shard", derive.shard_of(F.col("forklift_id"), shards))
+    sharded = sharded.withColumn("shards", F.lit(shards))
     gathered = sharded.hint("rebalance", "shard", "forklift_id")
     arranged = gathered.sortWithinPartitions("shard", *sort_by)
-    return _load(arranged, path, "parquet", "overwrite", ("shard",), options)
+    return _load(arranged, path, "parquet", "overwrite", ("shards", "shard"), options)
 
 
 def write_by_time(
@@ -72,10 +74,10 @@ def write_by_time(
     return _load(arranged, path, "parquet", "overwrite", ("date",), options)
 
 
-def of_vehicle(stored: DataFrame, vehicle: str, shards: int = 2) -> DataFrame:
+def of_vehicle(stored: DataFrame, vehicle: str) -> DataFrame:
     """One vehicle's readings from a table written by vehicle: only its shard's
-    directory is read."""
-    shard = derive.shard_of(F.lit(vehicle), shards)
+    directory is read. How many shards there are is read from the table."""
+    shard = derive.shard_of(F.lit(vehicle), F.col("shards"))
     return stored.filter((F.col("shard") == shard) & (F.col("forklift_id") == vehicle))
 
 
