@@ -35,6 +35,17 @@ def delete(spark: SparkSession, path: str) -> None:
     system.delete(found, True)
 
 
+def replace(spark: SparkSession, staged: str, path: str) -> None:
+    """Put a finished folder in the place of another one."""
+    source, system = hadoop_path(spark, staged)
+    target, _ = hadoop_path(spark, path)
+    system.delete(target, True)
+    system.mkdirs(target.getParent())
+    if not system.rename(source, target):
+        raise RuntimeError(f"{staged} could not take the place of {path}")
+    spark.catalog.refreshByPath(path)
+
+
 class Scratch:
     """Tables of one run, in a folder of their own.
 

@@ -12,7 +12,6 @@ import logging
 import tempfile
 import uuid
 from dataclasses import dataclass
-from urllib.parse import unquote, urlsplit
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +19,7 @@ from pyspark.sql import types as T
 
 from fleetscope.functions import derive
 from fleetscope.operators.quality import validate
+from fleetscope.sinks import storage
 
 log = logging.getLogger(__name__)
 
@@ -55,21 +55,6 @@ def stored_rows(spark: SparkSession, path: str, fmt: str, schema: T.StructType)
     return reader.format(fmt).load(path).count()
 
 
-def _location(uri: str) -> str:
-    return unquote(urlsplit(uri).path).rstrip("/") + "/"
-
-
-def _refuse_own_input(df: DataFrame, path: str) -> None:
-    """A plain overwrite deletes its target first: reading from there would lose
-    the data. (A cached DataFrame hides its files; do not overwrite those.)"""
-    target = _location(path)
-    own = f"/{target}" if not target.startswith("/") else target
-    for file in df.inputFiles():
-        found = _location(file)
-        if found.startswith(target) or (own != target and own in found):
-            raise ValueError(f"{path} is read by its own replacement: load it elsewhere first")
-
-
 def _load(
     df: DataFrame,
     path: str,
@@ -81,25 +66,34 @@ def _load(
     if fmt not in FORMATS:
         raise ValueError(f"Unknown format: {fmt}")
     options = options or {}
-    if mode == "overwrite" and options.get("partitionOverwriteMode") != "dynamic":
-        _refuse_own_input(df, path)
+    # a full replace is written beside its target and takes its place when whole:
+    # a failing one leaves the old table as it was, and may read it
+    whole = mode == "overwrite" and options.get("partitionOverwriteMode") != "dynamic"
+    spark = df.sparkSession
+    place = f"{path.rstrip('/')}-staging-{uuid.uuid4().hex}" if whole else path
     written = Observation()
     writer = df.observe(written, F.count(F.lit(1)).alias("rows")).write.mode(mode).format(fmt)
     if fmt == "csv":
         writer = writer.option("header", True)
     if fmt in ("csv", "json"):
         writer = writer.option("timestampNTZFormat", _MICROSECONDS)
-    writer.options(**options).partitionBy(*partition_by).save(path)
-    receipt = Receipt(path, written.get["rows"], stored_rows(df.sparkSession, path, fmt, df.schema))
-    if receipt.stored < receipt.written:
-        raise RuntimeError(f"{path}: wrote {receipt.written} rows, but holds {receipt.stored}")
+    try:
+        writer.options(**options).partitionBy(*partition_by).save(place)
+        receipt = Receipt(path, written.get["rows"], stored_rows(spark, place, fmt, df.schema))
+        if receipt.stored < receipt.written or (whole and receipt.stored != receipt.written):
+            raise RuntimeError(f"{path}: wrote {receipt.written} rows, but holds {receipt.stored}")
+        if whole:
+            storage.replace(spark, place, path)
+    finally:
+        if whole:
+            storage.delete(spark, place)
     log.info("%s: wrote %d rows, holds %d", path, receipt.written, receipt.stored)
     return receipt
 
 
 def replace_table(df: DataFrame, path: str, fmt: str = "parquet", **options: object) -> Receipt:
-    """Full replace. No rows leave an empty table behind, not an error. A target
-    that ``df`` itself reads is refused before anything is deleted."""
+    """Full replace. No rows leave an empty table behind, not an error. ``df``
+    may read the target: the old table goes when the new one is whole."""
     return _load(df, path, fmt, "overwrite", options=options)
 
 

@@ -132,13 +132,22 @@ def test_unknown_format(df, tmp_path):
         writers.replace_table(df, str(tmp_path), "xml")
 
 
-def test_replacing_the_table_being_read_is_refused(spark, df, tmp_path):
-    path = str(tmp_path / "t")
-    writers.replace_table(df, path)
-    for spelled in (path, f"file://{path}/"):
-        with pytest.raises(ValueError, match="its own replacement"):
-            writers.replace_table(readers.read_parquet(spark, path), spelled)
-    assert readers.read_parquet(spark, path).count() == 12
+def test_a_table_may_be_replaced_from_itself(spark, df, tmp_path):
+    for spelled in ("t", "./t", "/t"):
+        writers.replace_table(df, str(tmp_path / "t"))
+        stored = spark.read.parquet(str(tmp_path / "t"))
+        writers.replace_table(stored.limit(7), f"{tmp_path}/{spelled}")
+        assert spark.read.parquet(str(tmp_path / "t")).count() == 7
+        assert [p.name for p in tmp_path.iterdir()] == ["t"]
+
+
+def test_a_failing_replacement_leaves_the_old_table(spark, df, tmp_path):
+    writers.replace_table(df, str(tmp_path / "t"))
+    broken = df.withColumn("zone", F.raise_error(F.lit("broken row")).cast("string"))
+    with pytest.raises(Exception, match="broken row"):
+        writers.replace_table(broken, str(tmp_path / "t"))
+    same(spark.read.parquet(str(tmp_path / "t")).select(*df.columns), df)
+    assert [p.name for p in tmp_path.iterdir()] == ["t"]
 
 
 def test_days_are_replaced_and_others_stay(spark, fit, tmp_path):
