@@ -324,7 +324,7 @@ def test_a_hot_shard_is_split_over_files(spark, medium, tmp_path, tiny_partition
     receipt = layout.write_by_vehicle(df, str(tmp_path / "v"))
     assert receipt.stored == df.count()
     for shard in (0, 1):
-        assert len(files(tmp_path / "v" / f"shard={shard}")) > 1
+        assert len(files(tmp_path / "v" / "shards=2" / f"shard={shard}")) > 1
 
 
 def test_a_hot_hour_is_split_over_files(spark, medium, tmp_path, tiny_partitions):
