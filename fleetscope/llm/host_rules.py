@@ -59,16 +59,20 @@ def _windows(hashes: Column) -> Column:
     return F.transform(places, lambda at: F.xxhash64(*[F.get(hashes, at + k) for k in range(WINDOW)]))
 
 
+def _repeat_words(words: Column) -> Column:
+    hashes = F.transform(words, lambda word: F.xxhash64(word))
+    repeated = let(hashes, lambda h: let(_windows(h), _repeated))
+    return F.when(F.size(words) < WINDOW, F.lit(0)).otherwise(repeated).cast("bigint")
+
+
 def measures(text: Column) -> Column:
     """The base measures of a text, as one struct."""
 
     def of(words: Column) -> Column:
-        hashes = F.transform(words, lambda word: F.xxhash64(word))
-        repeated = let(hashes, lambda h: let(_windows(h), _repeated))
         return F.struct(
             F.size(words).cast("bigint").alias("n_words"),
             F.aggregate(words, F.lit(0).cast("bigint"), lambda n, word: n + F.length(word)).alias("word_chars"),
-            F.when(F.size(words) < WINDOW, F.lit(0)).otherwise(repeated).cast("bigint").alias("n_repeat_words"),
+            _repeat_words(words).alias("n_repeat_words"),
         )
 
     text = F.coalesce(text, F.lit(""))
@@ -92,6 +96,15 @@ def base_failed(measured: Column) -> Column:
     )
 
 
+def fails(text: Column) -> Column:
+    """Whether a text fails the base rules, by the two measures they need."""
+
+    def of(words: Column) -> Column:
+        return F.struct(F.size(words).cast("bigint").alias("n_words"), _repeat_words(words).alias("n_repeat_words"))
+
+    return let(let(words_of(F.coalesce(text, F.lit(""))), of), base_failed)
+
+
 def rejected_hosts(measured: DataFrame, host: str, failed: str, max_rate: float = MAX_RATE) -> DataFrame:
     """One row per host whose shrunk failure rate is too high."""
     hosts = measured.groupBy(F.col(host).alias("host")).agg(
@@ -133,8 +146,8 @@ def quality_report(docs: DataFrame, scratch: Scratch, id: str = "doc_id", text:
 
 
 def keep_good(docs: DataFrame, scratch: Scratch, text: str = "text", host: str = "source") -> DataFrame:
-    """The documents that pass, with their columns."""
+    """The documents that pass, with their columns. They are measured twice, for
+    their hosts and for themselves: stored verdicts would need a copy of all texts."""
     failed, kept = fresh(docs, "base_failed", "kept")
-    measured = scratch.save(docs.withColumn(failed, base_failed(measures(docs[text]))))
-    judged = judge(measured, scratch, host, failed, kept)
+    judged = judge(docs.withColumn(failed, fails(docs[text])), scratch, host, failed, kept)
     return judged.filter(F.col(kept)).select(*[F.col(f"`{c}`") for c in docs.columns])
