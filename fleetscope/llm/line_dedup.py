@@ -16,7 +16,8 @@ line is then verified on the words.
 
 Most lines have no neighbour. The edit lies in one third of the line and leaves
 the others as they are, so only lines that share two of their thirds with a
-different line emit variants: three keys a line for each of two lengths.
+different line emit variants: three keys a line for its class of lengths, and
+for the next class where a line one word longer falls into that.
 
 A null text stays null and has no lines. Rows that repeat id and text are one
 document, and are cut alike. A null id is later than any other. An empty table
@@ -33,14 +34,17 @@ from fleetscope.sinks.storage import Scratch
 
 MIN_WORDS = 5
 NEAR_WORDS = 10
+CLASS = 3  # lengths for which thirds are cut alike
 
 _PLACE = ("late", "id", "text_hash", "at")  # where a line stands; smallest is earliest
 
 
-def _parts(words: Column, length: Column) -> list[Column]:
+def _parts(words: Column, longer: Column) -> list[Column]:
     """Keys of the words that a line shares with one within an edit, if the
-    longer of the two has this length: all but the last third, all but the first,
-    or both of these."""
+    longer of the two is this long: all but the last third, all but the first,
+    or both of these. Thirds are those of the smallest length of the class, so
+    that they cover the edits of every longer one."""
+    length = longer - longer % CLASS
     third = F.floor((length - 1) / 3).cast("int")
     long, short = length - 1 - third, third + 1
     last = lambda n: F.slice(words, F.size(words) - n + 1, n)
@@ -54,11 +58,13 @@ def _line_table(docs: DataFrame, id: str, text: str) -> DataFrame:
 
     def describe(words: Column, at: Column) -> Column:
         length = F.size(words)
-        parts = [*_parts(words, length), *_parts(words, length + 1)]
+        parts = _parts(words, length)
+        at_end = (length + 1) % CLASS == 0  # a line one word longer is of the next class
+        keys = F.when(at_end, F.array(*parts, *_parts(words, length + 1))).otherwise(F.array(*parts))
         return F.struct(
             at.alias("at"), length.alias("length"),
             F.xxhash64(words).alias("h1"), F.xxhash64(F.lit(1), words).alias("h2"),
-            F.when(length >= NEAR_WORDS, F.array(*parts)).alias("parts"),
+            F.when(length >= NEAR_WORDS, keys).alias("parts"),
         )
 
     # before the rows are made: a filter on them would split every line twice
@@ -75,11 +81,12 @@ def _line_table(docs: DataFrame, id: str, text: str) -> DataFrame:
 
 
 def _active(firsts: DataFrame) -> DataFrame:
-    """Of the distinct lines those that share parts with another, by their hashes."""
-    shared = firsts.filter("parts IS NOT NULL").select("h1", "h2", F.explode("parts").alias("part"))
+    """Of the distinct lines those that share parts with another, by one hash; a
+    line that has the same by chance is one candidate more."""
+    shared = firsts.filter("parts IS NOT NULL").select("h1", F.explode("parts").alias("part"))
     bounds = shared.groupBy("part").agg(F.min("h1").alias("low"), F.max("h1").alias("high"))
     several = bounds.filter("low != high").select("part")
-    return shared.join(several, "part", "left_semi").select("h1", "h2").distinct()
+    return shared.join(several, "part", "left_semi").select("h1").distinct()
 
 
 def _variants(active: DataFrame) -> DataFrame:
@@ -129,7 +136,7 @@ def within_one_edit(a: Column, b: Column) -> Column:
 
 def _near_lines(docs: DataFrame, firsts: DataFrame, active: DataFrame, scratch: Scratch, id: str, text: str) -> DataFrame:
     """(h1, h2) of the lines that have an earlier one within one edit."""
-    chosen = scratch.save(firsts.join(active, ["h1", "h2"], "left_semi"))
+    chosen = scratch.save(firsts.join(active, "h1", "left_semi"))
     by_doc = scratch.save(
         chosen.groupBy("first.late", "first.id", "first.text_hash")
         .agg(F.collect_list(F.struct("h1", "h2", F.col("first.at").alias("at"))).alias("lines"))
@@ -142,6 +149,7 @@ def _near_lines(docs: DataFrame, firsts: DataFrame, active: DataFrame, scratch:
     )
     words = F.regexp_extract_all(F.get("all_lines", "line.at"), F.lit(WORD), F.lit(0))
     found = found.select("late", "id", "text_hash", "line.*", words.alias("words"))
+    found = found.filter(F.size("words") >= NEAR_WORDS)
     found = found.select(F.struct(*_PLACE).alias("place"), "h1", "h2", "words").dropDuplicates(["h1", "h2"])
     found = scratch.save(found)
     variants = scratch.save(_variants(found))
@@ -169,14 +177,13 @@ def dropped_lines(docs: DataFrame, scratch: Scratch, id: str = "doc_id", text: s
         lines.groupBy("h1", "h2").agg(F.min(F.struct(*_PLACE)).alias("first"), F.max("parts").alias("parts"))
     )
     active = scratch.save(_active(firsts))
-    firsts = firsts.drop("parts")
-    near = _near_lines(docs, firsts, active, scratch, id, text)
-    marked = firsts.join(near.withColumn("near", F.lit(True)), ["h1", "h2"], "left")
+    near = _near_lines(docs, firsts.drop("parts"), active, scratch, id, text)
+    marked = firsts.drop("parts").join(near.withColumn("near", F.lit(True)), ["h1", "h2"], "left")
     known = lines.drop("parts").join(marked, ["h1", "h2"])
     gone = known.filter((F.struct(*_PLACE) != F.col("first")) | F.col("near"))
     found = gone.groupBy("id", "text_hash").agg(F.array_sort(F.collect_set("at")).alias("dropped"))
     found = scratch.save(found.withColumnsRenamed({"id": "of", "text_hash": "of_hash"}))
-    scratch.drop(lines, active, near)
+    scratch.drop(lines, firsts, active, near)
     return found
 
 
