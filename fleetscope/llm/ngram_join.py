@@ -235,7 +235,8 @@ def similar_components(
         .filter("node != first AND node != last")
     )
     stars = scratch.save(groups.select("key", "first", "node"))
-    members = scratch.save(_with_centre(stars))
+    members = grouped = scratch.save(_with_centre(stars))
+    scratch.drop(stars)
     pairs = scratch.save(
         members.filter("centre != node").select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
     )
@@ -254,6 +255,7 @@ def similar_components(
     apart = checked.select(F.col("a").alias("centre"), F.col("b").alias("node"), F.col("b_n").alias("n"), "apart")
     itself = checked.select(F.col("a").alias("centre"), F.col("a").alias("node"), F.col("a_n").alias("n"), F.lit(0).alias("apart"))
     members = scratch.save(members.join(apart.union(itself.distinct()), ["centre", "node"]))
+    scratch.drop(grouped, checked, links)
     done = pairs
     for turn in range(ROUNDS + 1):
         more = scratch.save(_stray_pairs(members, labels, done, turn == ROUNDS, near, whole))
@@ -263,6 +265,7 @@ def similar_components(
         merged = labels.select(F.col("node").alias("a"), F.col("label").alias("b")).union(found)
         labels = scratch.save(connected_components(merged, scratch))
         done = done.union(more)
+    scratch.drop(members, sets, pairs)
     labelled = nodes.join(labels, "node", "left")
     return labelled.select("id", "text_hash", "n_shingles", F.coalesce("label", "node").alias("label"))
 
