@@ -331,11 +331,13 @@ def keep_one_of_each(docs: DataFrame, scratch: Scratch, id: str = "doc_id", text
     """The rows of ``docs`` whose id is the smallest of their component. Rows
     that repeat both id and text are one document, of which one row stays."""
     found = component_ids(docs, scratch, id=id, text=text)
-    kept = scratch.save(
-        found.filter(F.col(id).eqNullSafe(F.col("component_id")))
-        .select(F.col(id).alias("kept_id"), F.col("text_hash").alias("kept_hash"))
-        .distinct()
+    each = found.groupBy(F.col(id).alias("of"), F.col("text_hash").alias("of_hash")).agg(
+        F.min("component_id").alias("component"), F.count(F.lit(1)).alias("n")
     )
-    same = docs[id].eqNullSafe(kept["kept_id"]) & (F.xxhash64(docs[text]) == kept["kept_hash"])
-    joined = docs.join(kept, same)
-    return joined.dropDuplicates(["kept_id", "kept_hash"]).select(*[docs[c] for c in docs.columns])
+    smallest = F.col("of").eqNullSafe(F.col("component"))
+    # few among all documents: the texts of the others are not shuffled for them
+    apart = scratch.save(each.filter(~smallest | (F.col("n") > 1)).select("of", "of_hash", smallest.alias("stays")))
+    same = docs[id].eqNullSafe(apart["of"]) & (F.xxhash64(docs[text]) == apart["of_hash"])
+    once = docs.join(apart, same, "left_anti")
+    repeated = docs.join(apart.filter("stays"), same, "left_semi")
+    return once.union(repeated.dropDuplicates([id, text]))
