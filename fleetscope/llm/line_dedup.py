@@ -90,7 +90,7 @@ def _active(firsts: DataFrame) -> DataFrame:
 
 
 def _variants(active: DataFrame) -> DataFrame:
-    """active (place, h1, h2, words) -> (key, side, place, h1, h2): side 0 for a
+    """active (place, h1, h2, words) -> (key, side, place): side 0 for a
     word left out at a known place, 1 for the whole line, 2 for any word left
     out. The hash of a sequence is the XOR of its words' hashes with places, so
     that leaving one out takes running XORs, not time that grows squared."""
@@ -112,8 +112,8 @@ def _variants(active: DataFrame) -> DataFrame:
         F.struct(F.xxhash64(F.lit(1), rest, length - 1).alias("key"), F.lit(2).alias("side")),
         F.when(F.col("k") == 0, F.struct(F.xxhash64(F.lit(1), "whole", length).alias("key"), F.lit(1).alias("side"))),
     )
-    keyed = words.select("place", "h1", "h2", F.explode(F.array_compact(keys)).alias("of"))
-    return keyed.select("of.key", "of.side", "place", "h1", "h2").distinct()
+    keyed = words.select("place", F.explode(F.array_compact(keys)).alias("of"))
+    return keyed.select("of.key", "of.side", "place").distinct()
 
 
 def within_one_edit(a: Column, b: Column) -> Column:
@@ -153,16 +153,15 @@ def _near_lines(docs: DataFrame, firsts: DataFrame, active: DataFrame, scratch:
     found = found.select(F.struct(*_PLACE).alias("place"), "h1", "h2", "words").dropDuplicates(["h1", "h2"])
     found = scratch.save(found)
     variants = scratch.save(_variants(found))
-    line = F.struct("place", "h1", "h2")
     earliest = variants.groupBy("key").agg(
-        *[F.min(F.when(F.col("side") == side, line)).alias(f"on_{side}") for side in (0, 1, 2)]
+        *[F.min(F.when(F.col("side") == side, F.col("place"))).alias(f"on_{side}") for side in (0, 1, 2)]
     )
     other = F.when(F.col("side") == 0, F.col("on_0")).when(F.col("side") == 1, F.col("on_2")).otherwise(F.col("on_1"))
-    pairs = variants.join(earliest, "key").withColumn("other", other).filter("other.place < place")
-    pairs = pairs.select("h1", "h2", F.col("other.h1").alias("o1"), F.col("other.h2").alias("o2")).distinct()
-    mine = found.select("h1", "h2", "words")
-    theirs = found.select(F.col("h1").alias("o1"), F.col("h2").alias("o2"), F.col("words").alias("other_words"))
-    checked = pairs.join(mine, ["h1", "h2"]).join(theirs, ["o1", "o2"])
+    pairs = variants.join(earliest, "key").withColumn("other", other).filter("other < place")
+    pairs = pairs.select("place", "other").distinct()
+    mine = found.select("place", "h1", "h2", "words")
+    theirs = found.select(F.col("place").alias("other"), F.col("words").alias("other_words"))
+    checked = pairs.join(mine, "place").join(theirs, "other")
     near = checked.filter(within_one_edit(F.col("words"), F.col("other_words")))
     near = scratch.save(near.select("h1", "h2").distinct())
     scratch.drop(chosen, by_doc, found, variants)
