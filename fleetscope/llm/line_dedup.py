@@ -142,10 +142,11 @@ def _near_lines(docs: DataFrame, firsts: DataFrame, active: DataFrame, scratch:
         .agg(F.collect_list(F.struct("h1", "h2", F.col("first.at").alias("at"))).alias("lines"))
         .withColumnsRenamed({"id": "of", "text_hash": "of_hash"})
     )
-    same = docs[id].eqNullSafe(by_doc["of"]) & (F.xxhash64(docs[text]) == by_doc["of_hash"])
+    docs = docs.select(docs[id].alias("doc"), docs[text].alias("text"))
+    same = docs["doc"].eqNullSafe(by_doc["of"]) & (F.xxhash64(docs["text"]) == by_doc["of_hash"])
     found = docs.join(by_doc, same).select(
         "late", F.col("of").alias("id"), F.col("of_hash").alias("text_hash"),
-        F.split(docs[text], "\n").alias("all_lines"), F.explode("lines").alias("line"),
+        F.split(docs["text"], "\n").alias("all_lines"), F.explode("lines").alias("line"),
     )
     words = F.regexp_extract_all(F.get("all_lines", "line.at"), F.lit(WORD), F.lit(0))
     found = found.select("late", "id", "text_hash", "line.*", words.alias("words"))

@@ -268,6 +268,17 @@ def test_odd_rows_come_through(spark, odd, scratch):
     assert decontamination.contaminated(odd, benchmark, scratch).count() == 0
 
 
+def test_one_of_each_stays_and_null_ids_come_last(spark, odd, scratch):
+    near = "the same line of ten words stands here once again"
+    first = near.replace("again", "more")
+    rows = [(None, near, "a"), (1, first, "b"), (1, first, "b"), (2, None, "a"), (2, None, "a"), (3, first, "c")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, of string")
+    kept = ngram_join.keep_one_of_each(docs, scratch)
+    assert sorted(r["doc_id"] or 0 for r in kept.collect()) == [0, 1, 2] and kept.columns == docs.columns
+    cut, _, lost = line_dedup.without_repeated_lines(docs, scratch)
+    assert {(r["doc_id"], r["text"]) for r in cut.collect()} == {(None, ""), (1, first), (2, None), (3, "")}
+
+
 @pytest.mark.parametrize("which", ["odd", "empty"])
 def test_stages_keep_their_columns(spark, odd, small, which):
     docs = odd if which == "odd" else odd.limit(0)
