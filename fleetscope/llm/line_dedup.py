@@ -112,8 +112,9 @@ def _variants(active: DataFrame) -> DataFrame:
         F.struct(F.xxhash64(F.lit(1), rest, length - 1).alias("key"), F.lit(2).alias("side")),
         F.when(F.col("k") == 0, F.struct(F.xxhash64(F.lit(1), "whole", length).alias("key"), F.lit(1).alias("side"))),
     )
-    keyed = words.select("place", F.explode(F.array_compact(keys)).alias("of"))
-    return keyed.select("of.key", "of.side", "place").distinct()
+    keyed = words.select("place", "h1", "h2", F.explode(F.array_compact(keys)).alias("of"))
+    # the variants of a line are together already: no shuffle to make them distinct
+    return keyed.select("of.key", "of.side", "place", "h1", "h2").distinct().select("key", "side", "place")
 
 
 def within_one_edit(a: Column, b: Column) -> Column:
