@@ -13,8 +13,9 @@ documents, one that isn't empty must agree; those few match by empty blocks too.
 Equal sets are one node, represented once. In the group of a block, every node
 is verified against the most central one, which shares most blocks with others,
 not against each other. Nodes that turn out not to be connected with it (strays)
-are verified against the most central stray of their groups, for some rounds,
-and what is left against those members of its groups that the triangle inequality
+are verified against the most central stray of their groups, in each round the
+next one that was not compared yet; after some rounds all that are left are
+verified against those members of their groups that the triangle inequality
 leaves possible. So the components are exact, although the groups of copies are
 never multiplied out. Verification intersects whole sets; nothing is collected.
 
@@ -40,7 +41,7 @@ SHINGLE = 5
 NEAR, WHOLE = 80, 100  # linked if WHOLE * intersection >= NEAR * union
 _BAND_RATIO = 1.5
 _SLACK = 0.12
-ROUNDS = 4  # in which strays are verified against one of each group
+ROUNDS = 4  # in which strays are verified against one of each group, before all are
 _KEPT_BYTES = 5  # of each shingle's hash, when sets are compared
 
 
@@ -256,15 +257,19 @@ def similar_components(
     itself = checked.select(F.col("a").alias("centre"), F.col("a").alias("node"), F.col("a_n").alias("n"), F.lit(0).alias("apart"))
     members = scratch.save(members.join(apart.union(itself.distinct()), ["centre", "node"]))
     scratch.drop(grouped, checked, links)
-    done = pairs
+    done, compared = pairs, None
     for turn in range(ROUNDS + 1):
-        more = scratch.save(_stray_pairs(members, labels, done, turn == ROUNDS, near, whole))
-        if not more.limit(1).count():
+        strays = scratch.save(_next_strays(members, labels, compared, turn == ROUNDS))
+        if not strays.limit(1).count():
             break
-        found = _verify(more, sets, near, whole).filter("linked").select("a", "b")
-        merged = labels.select(F.col("node").alias("a"), F.col("label").alias("b")).union(found)
-        labels = scratch.save(connected_components(merged, scratch))
-        done = done.union(more)
+        more = scratch.save(_stray_pairs(members, labels, strays, done, near, whole))
+        if more.limit(1).count():
+            found = _verify(more, sets, near, whole).filter("linked").select("a", "b")
+            merged = labels.select(F.col("node").alias("a"), F.col("label").alias("b")).union(found)
+            labels = scratch.save(connected_components(merged, scratch))
+            done = done.union(more)
+        mine = strays.select("key", F.col("x").alias("node"))
+        compared = mine if compared is None else compared.union(mine)
     scratch.drop(members, sets, pairs)
     labelled = nodes.join(labels, "node", "left")
     return labelled.select("id", "text_hash", "n_shingles", F.coalesce("label", "node").alias("label"))
@@ -281,35 +286,46 @@ def _with_centre(stars: DataFrame) -> DataFrame:
     return scored.join(centres, "key").select("key", "node", "centre", "score")
 
 
-def _stray_pairs(members, labels, done, every: bool, near: int, whole: int) -> DataFrame:
-    """Pairs still to verify: of a group's strays the most central, or ``every``
-    one, with any members that may be similar. Two members' distances to the
-    centre differ by no more than the distance between the two."""
+def _labelled(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """members with their labels, and whether that is not their centre's."""
     label_of = lambda name: labels.select(
         F.col("node").alias(name), F.col("label").alias(f"{name}_label")
     )
     known = members.join(label_of("node"), "node", "left").join(label_of("centre"), "centre", "left")
-    known = known.select(
+    return known.select(
         "key", "node", "n", "apart", "score", F.coalesce("node_label", "node").alias("label"),
         (F.coalesce("node_label", "node") != F.coalesce("centre_label", "centre")).alias("stray"),
     )
-    strays = known.filter("stray")
+
+
+def _next_strays(members: DataFrame, labels: DataFrame, compared: DataFrame | None, every: bool) -> DataFrame:
+    """Of a group's strays that weren't ``compared`` with the others of the
+    group, the most central, or ``every`` one."""
+    strays = _labelled(members, labels).filter("stray")
+    if compared is not None:
+        strays = strays.join(compared, ["key", "node"], "left_anti")
     if not every:
         first = strays.groupBy("key").agg(
             F.max_by(F.struct("node", "n", "apart", "label"), F.struct("score", "node")).alias("s")
         )
         strays = first.select("key", "s.*")
-    left = strays.select(
+    return strays.select(
         "key", F.col("node").alias("x"), F.col("n").alias("x_n"), F.col("apart").alias("x_apart"),
         F.col("label").alias("x_label"),
     )
+
+
+def _stray_pairs(members, labels, strays, done, near: int, whole: int) -> DataFrame:
+    """Pairs still to verify: the strays with any members of their groups that
+    may be similar. Two members' distances to the centre differ by no more than
+    the distance between the two."""
     over, under = _limits(near, whole)
     possible = (
         (F.col("x_label") != F.col("label"))
         & (whole * F.least("x_n", "n") >= near * F.greatest("x_n", "n"))
         & (under * F.abs(F.col("x_apart") - F.col("apart")) <= over * (F.col("x_n") + F.col("n")))
     )
-    found = left.join(known, "key").filter(possible)
+    found = strays.join(_labelled(members, labels), "key").filter(possible)
     found = found.select(F.greatest("x", "node").alias("a"), F.least("x", "node").alias("b")).distinct()
     before = done.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     return found.join(before, ["a", "b"], "left_anti")

@@ -93,6 +93,33 @@ def test_components_are_those_of_all_pairs(spark, small, scratch):
         assert row["component_id"] == root(row["doc_id"])
 
 
+def test_components_of_a_template_family_are_those_of_all_pairs(spark, scratch, monkeypatch):
+    import random
+
+    # all in one group, so that no other group makes up for a pair it leaves out
+    keys = ngram_join._keys
+    monkeypatch.setattr(ngram_join, "_keys", lambda *args: keys(*args).select(F.lit(1).cast("long").alias("key"), "node").distinct())
+    chance = random.Random(5)
+    base = [f"t{k}" for k in range(60)]
+    rows = []
+    for i in range(240):
+        w = list(base)
+        for k in chance.sample(range(0, 60, 4), chance.choice((2, 3, 4, 5))):
+            w[k] = f"e{k}"  # an edit that other members may have as well
+        rows.append((i, " ".join(w)))
+    sets = [shingles(t) for _, t in rows]
+    label = list(range(len(sets)))
+    for i in range(len(sets)):
+        for j in range(i):
+            if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]) and label[i] != label[j]:
+                low, high = sorted((label[i], label[j]))
+                label = [low if x == high else x for x in label]
+    assert len(set(label)) > 20
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r["doc_id"]: r["component_id"] for r in ngram_join.component_ids(docs, scratch).collect()}
+    assert found == dict(enumerate(label))
+
+
 def test_blocks_of_similar_sets_meet():
     import numpy as np
 
