@@ -2,11 +2,14 @@
 
 Words are lower-cased and stripped of ASCII punctuation. In a template, numbers,
 names (words with a capital) and units (after a number) become placeholders of
-their type; runs of names are one name. Windows of ``WINDOW`` template words are
-hash-joined with those of the benchmark, and the words that fill the slots must
-be consistent over all windows that one document and one item share: the same
-slot value of the item always stands for the same word of the document, and the
-reverse. Windows of plain words, without placeholders, are joined as well, so
+their type; runs of names are one name, and end at punctuation. Windows of
+``WINDOW`` template words are hash-joined with those of the benchmark, and the
+words that fill the slots must be consistent over the windows of one occurrence
+of the item in the document: the same slot value of the item always stands for
+the same word of the document. A document may hold several versions of an item:
+its best occurrence counts, whether windows are told apart by how far they are
+shifted against the item, by where the item starts anew, or not at all.
+Windows of plain words, without placeholders, are joined as well, so
 that a change of case alone hides nothing. Items shorter than a window are one
 window of their own length.
 
@@ -27,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetscope.llm import words
@@ -53,6 +56,9 @@ _DIGITS = np.zeros(256, dtype=bool)
 _DIGITS[48:58] = True
 _CAPITALS = np.zeros(256, dtype=bool)
 _CAPITALS[65:91] = True
+_STOPS = np.zeros(256, dtype=bool)
+_STOPS[list(b':;,!?)"')] = True
+_ABBREVIATION = 3  # letters before a point that ends no run of names, as in Mr. or J.
 
 
 class Template:
@@ -62,7 +68,8 @@ class Template:
     word, the hash with placeholders, and whether it is one."""
 
     def __init__(self, texts: pa.Array) -> None:
-        found = words.bare_words(words.split_words(texts))
+        whole = words.split_words(texts)
+        found = words.bare_words(whole)
         bare, starts, ends, first = found.data, found.starts, found.ends, found.first
         # capitals of Latin-1 take two bytes
         wide = words.latin_capitals(bare)
@@ -80,7 +87,7 @@ class Template:
         unit &= ~at_first
         shape = np.where(number, _NUMBER, np.where(unit, _UNIT, np.where(name, _NAME, plain)))
         again = np.zeros(len(starts), dtype=bool)  # names that continue a name
-        again[1:] = name[1:] & name[:-1] & ~at_first[1:]
+        again[1:] = name[1:] & name[:-1] & ~at_first[1:] & ~_after_stop(whole)[1:]
         stays = ~again
         self.plain, self.plain_first = plain, first
         self.word = np.flatnonzero(stays)  # the word a template word stands at
@@ -93,6 +100,16 @@ class Template:
         self.value = summed[run_end] - summed[self.word]
 
 
+def _after_stop(whole: words.Words) -> np.ndarray:
+    """For every bare word, whether punctuation parts it from the word before."""
+    letters = np.append(0, np.cumsum(words._LETTERS[whole.data]))
+    n_letters = letters[whole.ends] - letters[whole.starts]
+    last, first = whole.data[whole.ends - 1], whole.data[whole.starts]
+    stop = _STOPS[last] | ((last == ord(".")) & (n_letters > _ABBREVIATION))
+    parted = np.append(False, stop[:-1])[: len(stop)] | (first == ord("("))
+    return parted[n_letters > 0]
+
+
 def _unit_hashes() -> np.ndarray:
     return words.split_words(pa.array([" ".join(UNITS)])).hashes(lower=True)
 
@@ -170,12 +187,40 @@ def _bitmap(windows: DataFrame) -> np.ndarray:
     return np.packbits(bits, bitorder="little")
 
 
+def _best_occurrences(shared: DataFrame) -> DataFrame:
+    """For id and item the occurrence that covers most of the item, consistent
+    ones first. Of the three ways to tell occurrences apart none loses what
+    another finds: a word more or less shifts the windows behind it, and windows
+    that the item repeats seem to start it anew."""
+    in_order = Window.partitionBy("id", "item").orderBy("place", "item_place")
+    step = F.col("item_place") - F.lag("item_place").over(in_order)
+    ahead = F.col("place") - F.lag("place").over(in_order)
+    anew = F.coalesce((step <= 0) | (ahead > step + 2 * WINDOW), F.lit(False))
+    told = shared.filter("NOT exact").withColumn("anew", anew.cast("bigint"))
+    told = told.withColumn("start", F.sum("anew").over(in_order))
+    ways = [(0, F.lit(0)), (1, F.col("place") - F.col("item_place")), (2, F.col("start"))]
+    ways = F.array(*[F.struct(F.lit(k).alias("way"), n.cast("bigint").alias("n")) for k, n in ways])
+    told = told.withColumn("occurrence", F.explode(ways))
+    slots = F.explode(F.arrays_zip(F.col("item_slots").alias("of_item"), F.col("slots").alias("of_doc")))
+    filled = told.select("id", "item", "occurrence", "size", "item_place", slots.alias("slot"))
+    distinct = lambda column: F.size(F.collect_set(column)).cast("bigint")
+    each = filled.groupBy("id", "item", "occurrence").agg(
+        distinct(F.struct("size", "item_place")).alias("n_template"),
+        (distinct("slot") == distinct("slot.of_item")).alias("consistent"),
+        distinct(F.when(F.col("slot.of_item") != F.col("slot.of_doc"), F.col("slot"))).alias("n_refilled"),
+    )
+    best = F.max(F.struct("consistent", "n_template", (-F.col("n_refilled")).alias("unchanged"))).alias("best")
+    return each.groupBy("id", "item").agg(best).select(
+        "id", "item", "best.consistent", "best.n_template", (-F.col("best.unchanged")).alias("n_refilled")
+    )
+
+
 def contaminated(
     docs: DataFrame, benchmark: DataFrame, scratch: Scratch,
     id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text",
 ) -> DataFrame:
-    """doc id, item id, shared windows, the part of the item's windows they are,
-    and whether slots were filled otherwise: a row for every contaminated
+    """doc id, item id, shared windows (templates: of the best occurrence), the
+    part of the item's windows they are, and whether slots were filled otherwise: a row for every contaminated
     document and item."""
     items = benchmark.select(benchmark[item_id].alias("id"), benchmark[item_text].alias("text"))
     sizes = list(range(SHORTEST, WINDOW + 1))
@@ -189,18 +234,9 @@ def contaminated(
         F.col("slots").alias("item_slots"),
     )
     shared = scratch.save(ours.join(of_item, ["hash", "size", "exact"]))
-    slots = F.explode(F.arrays_zip(F.col("item_slots").alias("of_item"), F.col("slots").alias("of_doc")))
-    filled = shared.filter("NOT exact").select("id", "item", slots.alias("slot")).distinct()
-    consistent = filled.groupBy("id", "item").agg(
-        (
-            (F.count(F.lit(1)) == F.countDistinct("slot.of_item"))
-            & (F.count(F.lit(1)) == F.countDistinct("slot.of_doc"))
-        ).alias("consistent"),
-        F.count_if(F.col("slot.of_item") != F.col("slot.of_doc")).alias("n_refilled"),
-    )
+    occurrences = _best_occurrences(shared)
     matched = shared.groupBy("id", "item").agg(
         F.countDistinct(F.when(F.col("exact"), F.struct("size", "item_place"))).alias("n_exact"),
-        F.countDistinct(F.when(~F.col("exact"), F.struct("size", "item_place"))).alias("n_template"),
     )
     of_items = windows.groupBy(F.col("id").alias("item")).agg(
         F.count_if("exact").alias("all_exact"), F.count_if(~F.col("exact")).alias("all_template")
@@ -208,9 +244,10 @@ def contaminated(
     keys = lambda other: (
         matched["id"].eqNullSafe(other["id"]) & matched["item"].eqNullSafe(other["item"])
     )
-    found = matched.join(consistent, keys(consistent), "left").join(
+    found = matched.join(occurrences, keys(occurrences), "left").join(
         of_items, matched["item"].eqNullSafe(of_items["item"]), "left"
     )
+    found = found.withColumn("n_template", F.coalesce("n_template", F.lit(0)))
     covered = F.greatest(
         F.coalesce(F.try_divide("n_exact", "all_exact"), F.lit(0.0)),
         F.coalesce(F.try_divide("n_template", "all_template"), F.lit(0.0)),

@@ -235,6 +235,33 @@ def test_benchmark_passages_are_found_whatever_their_numbers(spark, scratch):
     assert found[2]["reworded"] and found[2]["n_refilled"] >= 2
 
 
+def test_every_version_of_a_benchmark_passage_counts_alone(spark, scratch):
+    item = "Alice bought 3 big red apples for her 5 small children and then Alice gave 3 red apples back to Bob the old grocer"
+    version = lambda name, n, other: (
+        item.replace("Alice", name).replace("3", n).replace("5", other).replace("Bob", "Ed")
+    )
+    carol = version("Carol", "77", "45")
+    rows = [
+        (1, f"{carol}. {version('Carol', '80', '46')}"),
+        (2, f"{carol} {'and so on ' * 30} {version('Dora', '80', '46')}"),
+        (3, f"Question: {carol}"),
+        (4, version("Alice", "4", "4")),
+        (5, carol.replace("then", "then, later,") + " " + version("Dora", "80", "46").replace("then", "then, later,")),
+        (6, "Alice bought 3 big red apples"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    benchmark = spark.createDataFrame([(0, item)], "item_id long, text string")
+    found = decontamination.contaminated(docs, benchmark, scratch).collect()
+    assert {r["doc_id"]: r["n_exact"] for r in found} == dict.fromkeys((1, 2, 3, 4, 5), 0)
+
+
+def test_names_end_at_punctuation():
+    import pyarrow as pa
+
+    shapes = [decontamination.Template(pa.array([t])).shape.tolist() for t in ("Question: Carol ran", "Carol Jones ran", "Dr. Jones ran")]
+    assert [len(x) for x in shapes] == [3, 2, 2]
+
+
 def test_base_spans_by_definition(spark, odd, scratch):
     rows = {r["doc_id"]: r for r in pii.personal_data(odd, scratch).collect()}
     text = ODD[8][1]
