@@ -4,8 +4,8 @@ A logistic regression on the presence of words and beginnings of words. It takes
 differs between the classes of the training rows beyond chance, the clearest
 first, and the identity terms. For every
 training text that names a group, the term is swapped for each other of its
-list; the squared change of the score's logit is added to the loss, so that
-terms naming groups come to weigh alike, and a small ridge draws what the labels
+list, with its beginnings; the squared change of the score's logit is added to
+the loss, so that terms naming groups come to weigh alike, and a small ridge draws what the labels
 don't support to zero. The loss is convex and solved by Newton's method.
 
 Labels are learnt from a bounded sample: the ``sample`` labelled rows that come
@@ -59,6 +59,11 @@ def _identity_hashes() -> list[np.ndarray]:
     return [_features(pa.array([terms]), stems=())[1] for terms in IDENTITY_TERMS]
 
 
+def _term_features() -> list[list[np.ndarray]]:
+    """For every term of every list its hash, and those of its beginnings."""
+    return [[_features(pa.array([term]))[1] for term in terms.split()] for terms in IDENTITY_TERMS]
+
+
 def _features(texts: pa.Array, stems: tuple[int, ...] = STEMS) -> tuple[np.ndarray, np.ndarray]:
     """(text, hash) of every word of several texts, and of its beginnings."""
     found = words.bare_words(words.split_words(texts))
@@ -149,13 +154,14 @@ def _fit(rows: list[np.ndarray], toxic: np.ndarray, vocabulary: np.ndarray, ridg
         row[places] = 1
     x[:, size] = 1
     penalty = np.diag(np.append(np.full(size, ridge), 1e-6))
-    for terms in _identity_hashes():
-        places = np.searchsorted(vocabulary, terms)
-        named = x[:, places].sum(axis=0)
-        for place, n in zip(places, named, strict=True):
-            for other in places[places != place]:  # swapping changes the logit by their difference
-                penalty[[place, other], [place, other]] += 2 * fairness * n
-                penalty[[place, other], [other, place]] -= 2 * fairness * n
+    for terms in _term_features():
+        has = np.zeros((len(terms), size + 1))
+        for row, hashes in zip(has, terms, strict=True):
+            row[np.flatnonzero(np.isin(vocabulary, hashes))] = 1
+        named = x[:, np.searchsorted(vocabulary, [hashes[0] for hashes in terms])].sum(axis=0)
+        for own, n in zip(has, named, strict=True):
+            change = has - own  # swapping for each other term changes the logit by this
+            penalty += 2 * fairness * n * change.T @ change
     weights = np.zeros(size + 1)
     for _ in range(30):
         score = 1 / (1 + np.exp(-np.clip(x @ weights, -30, 30)))

@@ -307,6 +307,25 @@ def test_toxicity_on_held_out_rows(spark, medium):
     assert right / len(found) > 0.9 and sum(clean) / len(clean) < 0.05
 
 
+def test_group_terms_weigh_alike_with_their_beginnings():
+    import numpy as np
+    import pyarrow as pa
+
+    rows = [("immigrants bad", 1)] * 80 + [("immigrants fine", 0)] * 20 + [("citizens bad", 1)] * 20 + [("citizens fine", 0)] * 80
+    picked = toxicity._features(pa.array(["immigrants citizens bad fine"]))[1]
+    vocabulary = np.unique(np.concatenate([picked, *toxicity._identity_hashes()]))
+    rows += [("immigrants here", 1)] * 30 + [("citizens here", 0)] * 30
+
+    def present(texts):
+        text, place = toxicity._present(pa.array(texts), vocabulary)
+        return [place[text == k] for k in range(len(texts))]
+
+    toxic = np.array([t for _, t in rows], dtype=float)
+    weights = toxicity._fit(present([t for t, _ in rows]), toxic, vocabulary, toxicity.RIDGE, toxicity.FAIRNESS)
+    one, other = (1 / (1 + np.exp(-weights[p].sum() - weights[-1])) for p in present(["immigrants here", "citizens here"]))
+    assert abs(one - other) < 0.05
+
+
 def test_odd_rows_come_through(spark, odd, scratch):
     n = odd.count()
     labels = spark.createDataFrame([(4, 1), (7, 0), (7, None), (None, 1)], "doc_id long, toxic int")
