@@ -1,10 +1,12 @@
 """Removal of repeated and slightly edited lines by deletion neighbourhoods.
 
 A line is its sequence of words; an edit inserts, deletes or replaces one. A
-line with at least ``MIN_WORDS`` words is dropped if an earlier line has the
-same words, and one with at least ``NEAR_WORDS`` also if an earlier line of that
-length lies within one edit. Earlier means a smaller id, or a smaller place in
-the document; shorter lines always stay.
+line with at least ``least`` words is dropped if an earlier line has the same
+words, and one with at least ``near`` also if an earlier line of that length
+lies within one edit. Earlier means a smaller id, or a smaller place in the
+document; shorter lines always stay. The registered query and the pipeline take
+every line that has a word, and ``SHORTEST_NEAR`` words: of fewer, one edit is
+a fourth of the line or more, and leaves another line.
 
 All variants within the bound are emitted as hashed keys: the line itself, and
 the line without each of its words. Keys carry what was deleted, so that equal
@@ -34,6 +36,7 @@ from fleetscope.sinks.storage import Scratch
 
 MIN_WORDS = 5
 NEAR_WORDS = 10
+SHORTEST, SHORTEST_NEAR = 1, 5  # of the registered query and the pipeline
 CLASS = 3  # lengths for which thirds are cut alike
 
 _PLACE = ("late", "id", "text_hash", "at")  # where a line stands; smallest is earliest
@@ -52,8 +55,8 @@ def _parts(words: Column, longer: Column) -> list[Column]:
     return [F.xxhash64(F.lit(k), length, part) for k, part in enumerate(parts)]
 
 
-def _line_table(docs: DataFrame, id: str, text: str) -> DataFrame:
-    """A row for every line of at least MIN_WORDS words: its place, two hashes
+def _line_table(docs: DataFrame, id: str, text: str, least: int, near: int) -> DataFrame:
+    """A row for every line of at least ``least`` words: its place, two hashes
     of its words, its length, and the keys of its parts."""
 
     def describe(words: Column, at: Column) -> Column:
@@ -64,7 +67,7 @@ def _line_table(docs: DataFrame, id: str, text: str) -> DataFrame:
         return F.struct(
             at.alias("at"), length.alias("length"),
             F.xxhash64(words).alias("h1"), F.xxhash64(F.lit(1), words).alias("h2"),
-            F.when(length >= NEAR_WORDS, keys).alias("parts"),
+            F.when(length >= near, keys).alias("parts"),
         )
 
     # before the rows are made: a filter on them would split every line twice
@@ -72,7 +75,7 @@ def _line_table(docs: DataFrame, id: str, text: str) -> DataFrame:
         F.split(docs[text], "\n"),
         lambda line, at: let(F.regexp_extract_all(line, F.lit(WORD), F.lit(0)), lambda words: describe(words, at)),
     )
-    long = F.filter(lines, lambda line: line["length"] >= MIN_WORDS)
+    long = F.filter(lines, lambda line: line["length"] >= least)
     rows = docs.select(
         docs[id].isNull().alias("late"), docs[id].alias("id"),
         F.xxhash64(docs[text]).alias("text_hash"), F.explode(long).alias("line"),
@@ -135,7 +138,9 @@ def within_one_edit(a: Column, b: Column) -> Column:
     return F.when(F.size(a) >= F.size(b), compare(a, b)).otherwise(compare(b, a))
 
 
-def _near_lines(docs: DataFrame, firsts: DataFrame, active: DataFrame, scratch: Scratch, id: str, text: str) -> DataFrame:
+def _near_lines(
+    docs: DataFrame, firsts: DataFrame, active: DataFrame, scratch: Scratch, id: str, text: str, shortest: int
+) -> DataFrame:
     """(h1, h2) of the lines that have an earlier one within one edit."""
     chosen = scratch.save(firsts.join(active, "h1", "left_semi"))
     by_doc = scratch.save(
@@ -151,7 +156,7 @@ def _near_lines(docs: DataFrame, firsts: DataFrame, active: DataFrame, scratch:
     )
     words = F.regexp_extract_all(F.get("all_lines", "line.at"), F.lit(WORD), F.lit(0))
     found = found.select("late", "id", "text_hash", "line.*", words.alias("words"))
-    found = found.filter(F.size("words") >= NEAR_WORDS)
+    found = found.filter(F.size("words") >= shortest)
     found = found.select(F.struct(*_PLACE).alias("place"), "h1", "h2", "words").dropDuplicates(["h1", "h2"])
     found = scratch.save(found)
     variants = scratch.save(_variants(found))
@@ -170,28 +175,34 @@ def _near_lines(docs: DataFrame, firsts: DataFrame, active: DataFrame, scratch:
     return near
 
 
-def dropped_lines(docs: DataFrame, scratch: Scratch, id: str = "doc_id", text: str = "text") -> DataFrame:
+def dropped_lines(
+    docs: DataFrame, scratch: Scratch, id: str = "doc_id", text: str = "text",
+    least: int = MIN_WORDS, near: int = NEAR_WORDS,
+) -> DataFrame:
     """of, of_hash, dropped: the places of the lines that go, one row for every
     document that loses any."""
-    lines = scratch.save(_line_table(docs, id, text))
+    lines = scratch.save(_line_table(docs, id, text, least, near))
     firsts = scratch.save(
         lines.groupBy("h1", "h2").agg(F.min(F.struct(*_PLACE)).alias("first"), F.max("parts").alias("parts"))
     )
     active = scratch.save(_active(firsts))
-    near = _near_lines(docs, firsts.drop("parts"), active, scratch, id, text)
-    marked = firsts.drop("parts").join(near.withColumn("near", F.lit(True)), ["h1", "h2"], "left")
+    close = _near_lines(docs, firsts.drop("parts"), active, scratch, id, text, near)
+    marked = firsts.drop("parts").join(close.withColumn("near", F.lit(True)), ["h1", "h2"], "left")
     known = lines.drop("parts").join(marked, ["h1", "h2"])
     gone = known.filter((F.struct(*_PLACE) != F.col("first")) | F.col("near"))
     found = gone.groupBy("id", "text_hash").agg(F.array_sort(F.collect_set("at")).alias("dropped"))
     found = scratch.save(found.withColumnsRenamed({"id": "of", "text_hash": "of_hash"}))
-    scratch.drop(lines, firsts, active, near)
+    scratch.drop(lines, firsts, active, close)
     return found
 
 
-def without_repeated_lines(docs: DataFrame, scratch: Scratch, id: str = "doc_id", text: str = "text") -> tuple[DataFrame, str, str]:
+def without_repeated_lines(
+    docs: DataFrame, scratch: Scratch, id: str = "doc_id", text: str = "text",
+    least: int = MIN_WORDS, near: int = NEAR_WORDS,
+) -> tuple[DataFrame, str, str]:
     """``docs`` with each text cut, and the lines it had and lost in two more
     columns, whose names follow."""
-    found = dropped_lines(docs, scratch, id, text)
+    found = dropped_lines(docs, scratch, id, text, least, near)
     of, of_hash, dropped, lines, lost = fresh(docs, "of", "of_hash", "dropped", "n_lines", "n_removed")
     found = found.toDF(of, of_hash, dropped)
     same = docs[id].eqNullSafe(found[of]) & (F.xxhash64(docs[text]) == found[of_hash])

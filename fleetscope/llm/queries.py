@@ -57,7 +57,9 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir).select("doc_id", "text")
-    cut, lines, lost = line_dedup.without_repeated_lines(docs, Scratch(spark, "op7"))
+    cut, lines, lost = line_dedup.without_repeated_lines(
+        docs, Scratch(spark, "op7"), least=line_dedup.SHORTEST, near=line_dedup.SHORTEST_NEAR
+    )
     return cut.select(
         "doc_id", F.col(lines).alias("n_lines"), F.col(lost).alias("n_removed"),
         F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"),

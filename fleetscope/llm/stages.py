@@ -21,7 +21,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines with an equal or nearly equal earlier line go; documents stay."""
-    cut, lines, lost = lines_of.without_repeated_lines(docs, Scratch(spark, "lines"))
+    cut, lines, lost = lines_of.without_repeated_lines(
+        docs, Scratch(spark, "lines"), least=lines_of.SHORTEST, near=lines_of.SHORTEST_NEAR
+    )
     return cut.drop(lines, lost)
 
 

@@ -173,6 +173,22 @@ def test_near_lines_by_all_variants(spark, small, scratch):
     assert {r["doc_id"]: r["text"] for r in cut.collect()} == wanted
 
 
+def test_the_query_and_the_stage_drop_short_lines_as_well(spark, tmp_path):
+    rows = [
+        (1, "All rights reserved.\none two three four five\n\nshort one"),
+        (2, "All rights reserved.\none two three four six\n\nshort two\none two four"),
+        (3, "two three four five\none two three four five six\nshort  one\none two three four"),
+        (4, "one two three four five six seven eight nine\n1 2 3 4 5 6 7"),
+        (5, "one two three four five six seven nine\n1 2 3 X 5 6 7\n1 2 X 4 5 X 7"),
+    ]
+    wanted = {1: rows[0][1], 2: "\nshort two\none two four", 3: "two three four five\none two three four", 4: rows[3][1], 5: "1 2 X 4 5 X 7"}
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    assert dict(stages.line_dedup(spark, docs, str(tmp_path)).collect()) == wanted
+    for row in queries.op7_line_dedup(spark, str(tmp_path)).collect():
+        assert row["kept_sha256"] == hashlib.sha256(wanted[row["doc_id"]].encode()).hexdigest()
+
+
 def test_base_rules_by_definition(spark, small):
     for row in queries.op4_quality_rules(spark, small).join(
         spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text"), "doc_id"
