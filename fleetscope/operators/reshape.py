@@ -1,4 +1,5 @@
-"""Cross tabulations. The columns are given, so no job looks for them."""
+"""Cross tabulations. The columns are given, so no job looks for them here; the
+registered crosstabs give those that ``with_observed`` finds in a job before."""
 
 from __future__ import annotations
 
@@ -12,6 +13,12 @@ from fleetscope.operators.rates import composite_scores
 from fleetscope.operators.rollup import rows
 
 
+def with_observed(df: DataFrame, column: str, labels: Sequence[str]) -> list[str]:
+    """The labels, then in order any others that the column holds."""
+    found = df.filter(df[column].isNotNull() & ~df[column].isin(*labels)).select(column).distinct()
+    return [*labels, *sorted(row[0] for row in found.collect())]
+
+
 def shift_status_crosstab(df: DataFrame, statuses: Sequence[str] = fixed.STATUSES) -> DataFrame:
     """Readings per shift and status; a pair that never occurs counts 0.
 

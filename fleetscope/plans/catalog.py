@@ -7,11 +7,12 @@ places here, because their last bits depend on the order of merging.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fleetscope import fixed_values as fixed
 from fleetscope.functions import derive
 from fleetscope.operators import counts, fleet, quality, rates, reshape, summary, topk
 from fleetscope.plans import loads
@@ -58,6 +59,11 @@ def record_keys(df: DataFrame) -> DataFrame:
     return df.select("event_id", key.alias("_id"))
 
 
+def _crosstab(table: Callable[..., DataFrame], column: str, labels: Sequence[str]) -> Query:
+    """The cross tabulation with a column for every label that the data hold."""
+    return lambda df: table(df, reshape.with_observed(df, column, labels))
+
+
 def zone_anchors(df: DataFrame) -> DataFrame:
     return counts.zone_anchors(df).withColumn("anchors", F.array_join("anchors", ","))
 
@@ -128,9 +134,11 @@ ANALYSES: dict[str, Query] = {
     "shift_risk": rates.shift_risk,
     "all_rates": rates.all_rates,
     # cross tabulations
-    "shift_status_crosstab": reshape.shift_status_crosstab,
-    "shift_status_crosstab_normalized": reshape.shift_status_crosstab_normalized,
-    "composite_risk_matrix": reshape.composite_risk_matrix,
+    "shift_status_crosstab": _crosstab(reshape.shift_status_crosstab, "status", fixed.STATUSES),
+    "shift_status_crosstab_normalized": _crosstab(
+        reshape.shift_status_crosstab_normalized, "status", fixed.STATUSES
+    ),
+    "composite_risk_matrix": reshape.composite_risk_matrix,  # its SQL names three shifts
     # top k
     "top_unauthorized_forklifts": topk.top_unauthorized_forklifts,
     "top_forklifts_by_records": topk.top_forklifts_by_records,

@@ -5,7 +5,9 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
+from fleetscope import fixed_values as fixed
 from fleetscope.operators import counts, fleet, quality, rates, reshape, summary, topk
+from fleetscope.plans import catalog
 from fleetscope.plans.sql_queries import SQL, run_sql, run_sql_on_view
 from fleetscope.sources.readers import register_view
 from tests.fixture import READINGS, listed, reading, rows
@@ -73,6 +75,19 @@ def test_normalized_crosstab_divides_by_all_known_statuses(df):
         assert math.isclose(sum(shares), 1.0)
 
 
+def test_cross_tabulations_keep_every_label(df):
+    table = catalog.CLEAN["shift_status_crosstab"](df)
+    assert table.columns == ["shift", "offline", "online", "unknown"]
+    assert ("evening", 0, 0, 1) in listed(table)
+    for _, *shares in listed(catalog.CLEAN["shift_status_crosstab_normalized"](df)):
+        assert math.isclose(sum(shares), 1.0)
+    matrix = reshape.composite_risk_matrix(df, reshape.with_observed(df, "shift", fixed.SHIFTS))
+    assert matrix.columns == ["zone", "morning", "afternoon", "night", "evening"]
+    scores = {row[:2]: row[-1] for row in listed(rates.composite_risk_zone_shift(df))}
+    packing = matrix.filter("zone = 'Packing'").first()
+    assert packing["evening"] == scores["Packing", "evening"]
+
+
 def test_sentinel_signal_stays_out_of_averages(df):
     table = dict(listed(counts.avg_rssi_by_zone(df)))
     assert table["WIP"] == pytest.approx((-60 - 95 - 60) / 3)
