@@ -9,15 +9,19 @@ from pyspark.sql import functions as F
 
 from fleetscope.llm import (
     decontamination,
+    filter_audit,
     host_rules,
     line_dedup,
     mixing,
     ngram_join,
+    oracles,
     pii,
+    stream_bpe,
     substring_dedup,
     suffix_model,
     token_counts,
     toxicity,
+    va_file,
 )
 from fleetscope.sinks.storage import Scratch
 
@@ -82,6 +86,30 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(_documents(spark, sf_dir), vocabulary, limit=1024)
 
 
+def op11_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text encoded, and its tokens decoded again."""
+    import public_tokenizers
+
+    vocabulary = public_tokenizers.path("byte_bpe_50k.json")
+    encoded = stream_bpe.encode(_documents(spark, sf_dir), vocabulary)
+    hashed = encoded.withColumn("ids_sha256", F.sha2("ids", 256))
+    decoded = stream_bpe.decode(hashed, vocabulary)
+    return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("text", 256).alias("decoded_sha256"))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five filters in all 120 orders, per language."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return filter_audit.audit(_documents(spark, sf_dir), labels, Scratch(spark, "op12"))
+
+
+def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sixteen clusters of the whole-numbered vectors, after three rounds."""
+    embeddings = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    found, _ = va_file.cluster(embeddings, Scratch(spark, "op13"))
+    return found
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op2_source_mixing": op2_source_mixing,
@@ -93,6 +121,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pii": op8_pii,
     "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
     "op10_token_counts": op10_token_counts,
+    "op11_bpe_round_trip": op11_bpe_round_trip,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_centroid_clustering": op13_centroid_clustering,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op12_filter_audit": oracles.FILTER_AUDIT,
+    "op13_centroid_clustering": oracles.CENTROID_CLUSTERING,
+}
