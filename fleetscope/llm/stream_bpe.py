@@ -54,7 +54,8 @@ from fleetscope.llm.token_counts import (
 CACHED_PIECES = 300_000
 CACHED_BYTES = 64
 CACHED_TRANSITIONS = 300_000
-SECTION = 4 * words.SLICE_BYTES
+SECTION = words.SLICE_BYTES  # of texts that are cut at once
+_TEXTS = 4 * words.SLICE_BYTES  # whose pieces are looked up at once
 _UNSURE = 64  # bytes before a section's end in which its cuts may still change
 
 
@@ -111,32 +112,34 @@ class StreamEncoder:
 
     def _forget(self) -> None:
         """No state but the first is known, and the input begins anew."""
-        start = ((0, -1),)
-        self.states = [start]
+        start = (0,)
+        self.states = [start]  # of each, place << 16 | token before + 1
         self.number_of = {start: 0}
-        self.moves: dict[int, tuple[int, int]] = {}
+        self.moves: dict[int, int] = {}  # next state << 16 | last token + 1
         self.state = 0
         self.ends: list[int] = []  # the token each prefix ends with, since the last stable one
 
-    def _move(self, state: int, byte: int) -> tuple[int, int]:
+    def _move(self, state: int, byte: int) -> int:
         """The next state, and the token that the input now ends with."""
         child, token, adjacent = self.table.child, self.table.token, self.table.adjacent
-        longer, last = [], -1
-        for node, before in self.states[state]:
-            to = child.get(node << 8 | byte)
+        longer, last = [], 0
+        for entry in self.states[state]:
+            to = child.get((entry >> 16) << 8 | byte)
             if to is None:
                 continue
-            longer.append((to, before))
+            before = entry & 0xFFFF
+            longer.append(to << 16 | before)
             found = token[to]
-            if found >= 0 and last < 0 and (before < 0 or adjacent(before, found)):
-                last = found
-        after = (*longer, (0, last))
+            if found >= 0 and not last and (not before or adjacent(before - 1, found)):
+                last = found + 1
+        longer.append(last)
+        after = tuple(longer)
         number = self.number_of.get(after)
         if number is None:
             number = self.number_of[after] = len(self.states)
             self.states.append(after)
-        self.moves[state << 8 | byte] = number, last
-        return number, last
+        move = self.moves[state << 8 | byte] = number << 16 | last
+        return move
 
     def feed(self, data: bytes) -> list[int]:
         """Reads on; returns the tokens that have become stable."""
@@ -144,8 +147,9 @@ class StreamEncoder:
         for at in range(0, len(data), self.lookahead + 1):
             state, ends, moves = self.state, self.ends, self.moves
             for byte in data[at : at + self.lookahead + 1]:
-                state, last = moves.get(state << 8 | byte) or self._move(state, byte)
-                ends.append(last)
+                move = moves.get(state << 8 | byte) or self._move(state, byte)
+                state = move >> 16
+                ends.append((move & 0xFFFF) - 1)
             if len(moves) >= CACHED_TRANSITIONS:
                 here = self.states[state]
                 self._forget()
@@ -207,8 +211,8 @@ class Encoder:
         return known
 
     def _cut(self, data: np.ndarray, bounds: np.ndarray, symbol_of: np.ndarray):
-        """Starts and ends of the pieces of texts (data[bounds[i]:bounds[i + 1]]),
-        and the ids of those that are special tokens (-1: none)."""
+        """Starts of the pieces of texts (data[bounds[i]:bounds[i + 1]]), and the
+        ids of those that are special tokens (-1: none)."""
         leads = np.flatnonzero((data & 0xC0) != 0x80)
         symbols = symbol_of[_code_points(data, leads)]
         raw, found = data.tobytes(), {}
@@ -228,11 +232,28 @@ class Encoder:
         begins = (outputs & HERE) > 0
         begins[:-1] |= (outputs[1:] & BEFORE) > 0
         starts = leads[begins]
-        ends = np.append(starts[1:], len(data))
         special = np.full(len(starts), -1)
         if found:
             special[np.searchsorted(starts, sorted(found))] = [found[at] for at in sorted(found)]
-        return raw, starts, ends, special
+        return starts, special
+
+    def _cut_all(self, data: np.ndarray, bounds: np.ndarray, symbol_of: np.ndarray):
+        """The same of more texts than are cut at once, with the pieces' ends, and
+        keys that are equal for equal pieces."""
+        cuts, at = [], 0
+        while at < len(bounds) - 1:
+            to = max(at + 1, int(np.searchsorted(bounds, bounds[at] + SECTION, "right")) - 1)
+            low, high = bounds[at], bounds[to]
+            if low < high:
+                some = data[low:high]
+                starts, special = self._cut(some, bounds[at : to + 1] - low, symbol_of)
+                ends = np.append(starts[1:], len(some))
+                keys = _piece_keys(some, starts, ends)
+                marked = special >= 0
+                keys[marked] = special[marked].astype(np.uint64) + np.uint64(0xFF << 54)
+                cuts.append((starts + low, ends + low, special, keys))
+            at = to
+        return tuple(np.concatenate(part) for part in zip(*cuts, strict=True))
 
     def section(self, data: np.ndarray, bounds: np.ndarray, symbol_of: np.ndarray, whole: bool):
         """The ids of the texts, one after another, and the bounds of each text's
@@ -240,16 +261,15 @@ class Encoder:
         can't change any more; last comes where that ends."""
         if not len(data):
             return np.empty(0, dtype="<u4"), np.zeros(len(bounds), dtype=np.int64), 0
-        raw, starts, ends, special = self._cut(data, bounds, symbol_of)
+        starts, ends, special, keys = self._cut_all(data, bounds, symbol_of)
+        raw = data.tobytes()
         until = len(data)
         if not whole:
             sure = int(np.searchsorted(starts, len(data) - _UNSURE, "right")) - 1
             if sure <= 0:
                 return np.empty(0, dtype="<u4"), np.zeros(len(bounds), dtype=np.int64), 0
             until = int(starts[sure])
-            starts, ends, special = starts[:sure], ends[:sure], special[:sure]
-        keys = _piece_keys(data, starts, ends)
-        keys[special >= 0] = special[special >= 0].astype(np.uint64) + np.uint64(0xFF << 54)
+            starts, ends, special, keys = starts[:sure], ends[:sure], special[:sure], keys[:sure]
         _, where, which = np.unique(keys, return_index=True, return_inverse=True)
         tokens = [
             self.piece(raw[a:b]) if token < 0 else [token]
@@ -359,7 +379,7 @@ def encode(docs: DataFrame, vocabulary: str, id: str = "doc_id", text: str = "te
         if encoder is None:
             _encoders.clear()
             encoder = _encoders[key] = Encoder(content, lookahead)
-        for batch in words.slices(batches, "text", SECTION):
+        for batch in words.slices(batches, "text", _TEXTS):
             ids, first = encoder.encode(batch.column("text"), symbol_of)
             buffers = [None, pa.py_buffer((4 * first).astype(np.int32)), pa.py_buffer(ids.tobytes())]
             column = pa.Array.from_buffers(pa.binary(), batch.num_rows, buffers)
