@@ -42,6 +42,7 @@ def parser() -> argparse.ArgumentParser:
     load = command("load", "validate, load by day (or in full) and report")
     load.add_argument("--target", required=True)
     load.add_argument("--full", action="store_true", help="replace the whole table")
+    load.add_argument("--versioned", action="store_true", help="publish the table's next version")
     analyse = command("analyse", "write all result tables and a report")
     analyse.add_argument("--target", required=True)
     export = command("export", "write every result as CSV")
@@ -85,7 +86,7 @@ def main(arguments: list[str] | None = None) -> None:
         return
     df = read(spark, args)
     if args.command == "load":
-        print(runs.load(df, args.target, by_day=not args.full))
+        print(runs.load(df, args.target, by_day=not args.full, versioned=args.versioned))
     elif args.command == "analyse":
         show(runs.analyse(df, args.target))
     elif args.command == "export":

@@ -162,6 +162,7 @@ LOADS: dict[str, Query] = {
     "parquet_scan": loads.parquet_scan,
     "document_scan": loads.document_scan,
     "full_replace_load": loads.full_replace_load,
+    "snapshot_load": loads.snapshot_load,
     "append_load": loads.append_load,
     "slice_replace_load": loads.slice_replace_load,
     "vehicle_layout": loads.vehicle_layout,

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from fleetscope.operators.counts import count_by
 from fleetscope.plans import results
 from fleetscope.schema import TELEMETRY
-from fleetscope.sinks import layout, writers
+from fleetscope.sinks import layout, snapshots, writers
 from fleetscope.sources import readers
 
 
@@ -78,6 +78,11 @@ def full_replace_load(df: DataFrame) -> DataFrame:
     return _loaded_twice(df, writers.replace_table)
 
 
+def snapshot_load(df: DataFrame) -> DataFrame:
+    """Published twice, and read through the pointer: the second version holds."""
+    return _loaded_twice(df, snapshots.publish)
+
+
 def append_load(df: DataFrame) -> DataFrame:
     """Loaded twice: every row is stored twice."""
     return _loaded_twice(df, writers.append_table)

@@ -13,7 +13,8 @@ from fleetscope.functions.derive import with_day
 from fleetscope.operators.summary import summary_document
 from fleetscope.plans import reports, results
 from fleetscope.schema import TELEMETRY, require_columns
-from fleetscope.sinks import writers
+from fleetscope.sinks import snapshots, writers
+from fleetscope.sinks.pointer import resolve
 from fleetscope.sources.readers import register_view
 
 
@@ -60,18 +61,24 @@ def analyse(df: DataFrame, target: str, fmt: str = "parquet") -> dict[str, write
     return receipts
 
 
-def load(df: DataFrame, target: str, by_day: bool = True, **options: object) -> writers.Receipt:
-    """Load telemetry below ``target``, by day or as full replace, and store the
-    summary document and reports on what is now there, in one scan of it."""
+def load(
+    df: DataFrame, target: str, by_day: bool = True, versioned: bool = False, **options: object
+) -> writers.Receipt:
+    """Load telemetry below ``target``, by day, as full replace or as the next
+    version, and store the summary document and reports on what is now there, in
+    one scan of it."""
     spark = df.sparkSession
     path = f"{target}/telemetry"
-    if by_day:
+    if versioned:
+        by_day = False
+        receipt, access_paths = snapshots.publish(df, path, **options), ()
+    elif by_day:
         sort_by = options.setdefault("sort_by", ("timestamp",))
         receipt, access_paths = writers.replace_days(df, path, **options), ("day_index", *sort_by)
     else:
         receipt, access_paths = writers.replace_table(df, path, **options), ()
     # the shape of what was written, not of what is found
-    stored = spark.read.schema(writers.keyed(df).schema if by_day else df.schema).parquet(path)
+    stored = spark.read.schema(writers.keyed(df).schema if by_day else df.schema).parquet(resolve(spark, path))
 
     base = results.stored_rollup(stored, f"{target}/load_rollup", quality=True)
 

@@ -2,24 +2,22 @@
 
 Writes are ordinary distributed file writes: a task that is lost runs again
 and the commit makes its output count once. Rows written are counted by an
-observation inside the write, so checking a load costs no second pass over its
-input.
+observation inside the write, and compared with the rows that the load's own
+files hold; see ``commits``.
 """
 
 from __future__ import annotations
 
 import logging
-import tempfile
 import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from fleetscope.functions import derive
 from fleetscope.operators.quality import validate
-from fleetscope.sinks import storage
+from fleetscope.sinks import commits, pointer, storage
 
 log = logging.getLogger(__name__)
 
@@ -38,21 +36,8 @@ class Receipt:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A fresh folder below the cluster's shared checkpoint folder. Only a local
-    session may do without one; there the machine's temporary folder serves."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir is not set: name a folder all executors share")
-        root = tempfile.gettempdir()
-    return f"{root.rstrip('/')}/fleetscope-{uuid.uuid4().hex}"
-
-
-def stored_rows(spark: SparkSession, path: str, fmt: str, schema: T.StructType) -> int:
-    reader = spark.read.schema(schema)
-    if fmt == "csv":
-        reader = reader.option("header", True)
-    return reader.format(fmt).load(path).count()
+    """A fresh folder below the cluster's shared checkpoint folder."""
+    return storage.shared_folder(spark)
 
 
 def _load(
@@ -63,30 +48,47 @@ def _load(
     partition_by: tuple[str, ...] = (),
     options: dict[str, object] | None = None,
 ) -> Receipt:
+    """``mode``: overwrite (the whole table), append, or days (whole partitions)."""
     if fmt not in FORMATS:
         raise ValueError(f"Unknown format: {fmt}")
-    options = options or {}
+    spark = df.sparkSession
+    path = path.rstrip("/")
+    if pointer.versions(spark, path):
+        raise ValueError(f"{path} is versioned: publish a snapshot instead")
+    commits.recover(spark, path)
     # a full replace is written beside its target and takes its place when whole:
     # a failing one leaves the old table as it was, and may read it
-    whole = mode == "overwrite" and options.get("partitionOverwriteMode") != "dynamic"
-    spark = df.sparkSession
-    place = f"{path.rstrip('/')}-staging-{uuid.uuid4().hex}" if whole else path
+    whole = mode == "overwrite"
+    place = f"{path}-staging-{uuid.uuid4().hex}" if whole else commits.staging_folder(path)
     written = Observation()
-    writer = df.observe(written, F.count(F.lit(1)).alias("rows")).write.mode(mode).format(fmt)
+    writer = df.observe(written, F.count(F.lit(1)).alias("rows")).write.format(fmt)
     if fmt == "csv":
         writer = writer.option("header", True)
     if fmt in ("csv", "json"):
         writer = writer.option("timestampNTZFormat", _MICROSECONDS)
     try:
-        writer.options(**options).partitionBy(*partition_by).save(place)
-        receipt = Receipt(path, written.get["rows"], stored_rows(spark, place, fmt, df.schema))
-        if receipt.stored < receipt.written or (whole and receipt.stored != receipt.written):
-            raise RuntimeError(f"{path}: wrote {receipt.written} rows, but holds {receipt.stored}")
+        writer.options(**options or {}).partitionBy(*partition_by).save(place)
+        manifest = f"{place}/{commits.COMMITS}/{uuid.uuid4().hex}"
+        added = commits.file_rows(spark, place, fmt, df.schema, manifest)
+        if added.rows != written.get["rows"]:
+            raise RuntimeError(f"{path}: wrote {written.get['rows']} rows, but stored {added.rows}")
         if whole:
+            storage.write_file(spark, f"{place}/{commits.LEDGER}", [added.text()])
+    except BaseException:
+        storage.delete(spark, place)
+        raise
+    # from here on nothing that was staged is deleted but by the swap itself
+    if whole:
+        try:
             storage.replace(spark, place, path)
-    finally:
-        if whole:
-            storage.delete(spark, place)
+        except BaseException:
+            if storage.exists(spark, path):  # the old table is back
+                storage.delete(spark, place)
+            raise
+        stored = added
+    else:
+        stored = commits.commit(spark, path, place, added, fmt, df.schema, mode == "days")
+    receipt = Receipt(path, added.rows, stored.rows)
     log.info("%s: wrote %d rows, holds %d", path, receipt.written, receipt.stored)
     return receipt
 
@@ -147,7 +149,7 @@ def replace_days(
         arranged,
         path,
         fmt,
-        "overwrite",
+        "days",
         ("day_index",),
-        {"partitionOverwriteMode": "dynamic", **options},
+        options,
     )

@@ -1,4 +1,6 @@
-"""Batch readers. Each returns a lazy DataFrame over a distributed scan."""
+"""Batch readers. Each returns a lazy DataFrame over a distributed scan of the
+files that the table has when the reader is called; of versioned tables these
+are the current version's."""
 
 from __future__ import annotations
 
@@ -12,6 +14,7 @@ from pyspark.sql import types as T
 
 from fleetscope import fixed_values as fixed
 from fleetscope.schema import DOCUMENT, TELEMETRY
+from fleetscope.sinks.pointer import resolve
 
 log = logging.getLogger(__name__)
 
@@ -23,7 +26,7 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType = TELEMETRY) -
         spark.read.schema(schema)
         .option("header", True)
         .option("enforceSchema", False)
-        .csv(path)
+        .csv(resolve(spark, path))
     )
 
 
@@ -31,12 +34,12 @@ def read_parquet(
     spark: SparkSession, path: str, schema: T.StructType | None = TELEMETRY
 ) -> DataFrame:
     reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.parquet(path)
+    return reader.parquet(resolve(spark, path))
 
 
 def read_documents(spark: SparkSession, path: str, keep_key: bool = False) -> DataFrame:
     """A document collection stored as JSON lines; ``_id`` is dropped by default."""
-    documents = spark.read.schema(DOCUMENT).json(path)
+    documents = spark.read.schema(DOCUMENT).json(resolve(spark, path))
     return documents if keep_key else documents.drop("_id")
 
 

@@ -371,6 +371,7 @@ CLEAN = {
     "parquet_scan": PER_DAY.format(n=1),
     "document_scan": PER_DAY.format(n=1),
     "full_replace_load": PER_DAY.format(n=1),
+    "snapshot_load": PER_DAY.format(n=1),
     "append_load": PER_DAY.format(n=2),
     "slice_replace_load": PER_DAY.format(n=1),
     "vehicle_layout": f"SELECT {SHARD} AS shard, COUNT(*) AS record_count FROM telemetry GROUP BY 1",
