@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from fleetscope import fixed_values as fixed
 from fleetscope.functions import derive
 from fleetscope.functions import predicates as is_
+from fleetscope.operators import presence
 from fleetscope.operators.rollup import hidden_signals, nulls, rows
 from fleetscope.schema import TELEMETRY, require_columns
 from fleetscope.sources.dimensions import anchors, lookup, values_frame
@@ -91,6 +92,21 @@ def duplicate_keys(df: DataFrame) -> DataFrame:
     )
 
 
+def repeated_key_days(df: DataFrame) -> DataFrame:
+    """Days of vehicles that have more readings than seconds with a reading, and
+    how many more. A bit stands for every second, so that what is shuffled is a
+    number per vehicle and minute, and not the keys."""
+    day = presence.day_of(F.col("minute"))
+    return (
+        presence.minutes(df)
+        .groupBy("forklift_id", day.alias("date"))
+        .agg(F.sum("rows").alias("record_count"), F.sum(F.bit_count("present")).cast("bigint").alias("seconds"))
+        .filter("record_count > seconds")
+        .withColumn("surplus", F.col("record_count") - F.col("seconds"))
+        .orderBy("forklift_id", "date")
+    )
+
+
 def classification_mismatch(df: DataFrame) -> DataFrame:
     """Readings per recomputed category, and how many are stored otherwise."""
     expected = derive.downtime_category(
@@ -208,10 +224,11 @@ def validate(df: DataFrame, unique: bool = False) -> DataFrame:
     unfit = reduce(or_, [F.coalesce(condition, F.lit(False)) for condition in problems.values()])
 
     if unique:
-        found = _per_key(df, F.count_if(unfit).alias("unfit")).agg(
-            F.sum("count").alias("rows"),
+        # a bit for every second: no row per reading is shuffled
+        found = presence.minutes(df, F.count_if(unfit).alias("unfit")).agg(
+            F.sum("rows").alias("rows"),
             F.sum("unfit").alias("unfit"),
-            F.count_if(F.col("count") > 1).alias("repeated"),
+            F.sum(F.col("rows") - F.bit_count("present")).alias("repeated"),
         )
     else:
         found = df.agg(
@@ -227,5 +244,5 @@ def validate(df: DataFrame, unique: bool = False) -> DataFrame:
         counted = df.agg(*each).first().asDict()
         raise ValueError(f"Invalid telemetry: {({k: n for k, n in counted.items() if n})}")
     if seen["repeated"]:
-        raise ValueError(f"Invalid telemetry: {seen['repeated']} repeated record keys")
+        raise ValueError(f"Invalid telemetry: {seen['repeated']} readings with repeated record keys")
     return df

@@ -1,5 +1,6 @@
-"""Cross tabulations. The columns are given, so no job looks for them here; the
-registered crosstabs give those that ``with_observed`` finds in a job before."""
+"""Cross tabulations. The columns are given, or those that the data hold: then
+the facts are counted once, in long form, into a table of a few rows, which gives
+both the labels and the cells."""
 
 from __future__ import annotations
 
@@ -11,12 +12,39 @@ from pyspark.sql import functions as F
 from fleetscope import fixed_values as fixed
 from fleetscope.operators.rates import composite_scores
 from fleetscope.operators.rollup import rows
+from fleetscope.sinks.storage import Scratch
+
+
+MOST_COLUMNS = 1000  # of a cross tabulation; more labels make none that can be read
 
 
 def with_observed(df: DataFrame, column: str, labels: Sequence[str]) -> list[str]:
     """The labels, then in order any others that the column holds."""
     found = df.filter(df[column].isNotNull() & ~df[column].isin(*labels)).select(column).distinct()
-    return [*labels, *sorted(row[0] for row in found.collect())]
+    others = sorted(row[0] for row in found.limit(MOST_COLUMNS + 1).collect())
+    if len(others) > MOST_COLUMNS:
+        raise ValueError(f"{column} holds more than {MOST_COLUMNS} labels: too many for columns")
+    return [*labels, *others]
+
+
+def _counted(df: DataFrame, scratch: Scratch) -> DataFrame:
+    """Readings per shift and status, stored: a rollup of few rows."""
+    counts = df.groupBy("shift", "status").agg(rows(df).cast("bigint").alias("rollup_rows"))
+    return scratch.save(counts)
+
+
+def observed_crosstab(df: DataFrame, scratch: Scratch, normalized: bool = False) -> DataFrame:
+    """Shift by status, with a column for every status that the data hold."""
+    counts = _counted(df, scratch)
+    statuses = with_observed(counts, "status", fixed.STATUSES)
+    table = shift_status_crosstab_normalized if normalized else shift_status_crosstab
+    return table(counts, statuses)
+
+
+def observed_risk_matrix(df: DataFrame, scratch: Scratch) -> DataFrame:
+    """Composite risk as zone by shift, with every shift that the data hold."""
+    scores = scratch.save(composite_scores(df))
+    return _matrix(scores, with_observed(scores, "shift", fixed.SHIFTS))
 
 
 def shift_status_crosstab(df: DataFrame, statuses: Sequence[str] = fixed.STATUSES) -> DataFrame:
@@ -43,7 +71,11 @@ def composite_risk_matrix(df: DataFrame, shifts: Sequence[str] = fixed.SHIFTS) -
     """Composite risk score as zone by shift; NULL where a pair has no readings.
 
     Zone and shift are the keys of the scores, so a cell is a single score."""
+    return _matrix(composite_scores(df), shifts)
+
+
+def _matrix(scores: DataFrame, shifts: Sequence[str]) -> DataFrame:
     cells = [
         F.max(F.when(F.col("shift") == shift, F.col("risk_score"))).alias(shift) for shift in shifts
     ]
-    return composite_scores(df).groupBy("zone").agg(*cells).orderBy("zone")
+    return scores.groupBy("zone").agg(*cells).orderBy("zone")

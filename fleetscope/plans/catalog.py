@@ -7,17 +7,18 @@ places here, because their last bits depend on the order of merging.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetscope import fixed_values as fixed
 from fleetscope.functions import derive
-from fleetscope.operators import counts, fleet, quality, rates, reshape, summary, topk
+from fleetscope.operators import counts, fleet, presence, quality, rates, reshape, summary, topk
 from fleetscope.plans import loads
 from fleetscope.plans.sql_queries import run_sql
 from fleetscope.schema import TELEMETRY
+from fleetscope.sinks.storage import Scratch
 from fleetscope.sources import events
 from fleetscope.sources.dimensions import anchors, lookup
 
@@ -59,9 +60,25 @@ def record_keys(df: DataFrame) -> DataFrame:
     return df.select("event_id", key.alias("_id"))
 
 
-def _crosstab(table: Callable[..., DataFrame], column: str, labels: Sequence[str]) -> Query:
-    """The cross tabulation with a column for every label that the data hold."""
-    return lambda df: table(df, reshape.with_observed(df, column, labels))
+def shift_status_crosstab(df: DataFrame) -> DataFrame:
+    return reshape.observed_crosstab(df, Scratch(df.sparkSession, "crosstab"))
+
+
+def shift_status_crosstab_normalized(df: DataFrame) -> DataFrame:
+    return reshape.observed_crosstab(df, Scratch(df.sparkSession, "crosstab"), normalized=True)
+
+
+def composite_risk_matrix_observed(df: DataFrame) -> DataFrame:
+    return reshape.observed_risk_matrix(df, Scratch(df.sparkSession, "matrix"))
+
+
+def repeated_key_days(df: DataFrame) -> DataFrame:
+    return _with_text(quality.repeated_key_days(df), "date")
+
+
+def cadence_gaps(df: DataFrame) -> DataFrame:
+    gaps = presence.cadence_gaps(df, Scratch(df.sparkSession, "gaps"), slot=3600)
+    return _with_text(gaps, "first_missing", "last_missing")
 
 
 def zone_anchors(df: DataFrame) -> DataFrame:
@@ -134,10 +151,8 @@ ANALYSES: dict[str, Query] = {
     "shift_risk": rates.shift_risk,
     "all_rates": rates.all_rates,
     # cross tabulations
-    "shift_status_crosstab": _crosstab(reshape.shift_status_crosstab, "status", fixed.STATUSES),
-    "shift_status_crosstab_normalized": _crosstab(
-        reshape.shift_status_crosstab_normalized, "status", fixed.STATUSES
-    ),
+    "shift_status_crosstab": shift_status_crosstab,
+    "shift_status_crosstab_normalized": shift_status_crosstab_normalized,
     "composite_risk_matrix": reshape.composite_risk_matrix,  # its SQL names three shifts
     # top k
     "top_unauthorized_forklifts": topk.top_unauthorized_forklifts,
@@ -151,6 +166,7 @@ ANALYSES: dict[str, Query] = {
     "state_mix_drift": fleet.state_mix_drift,
     # completeness and uniqueness
     "duplicate_keys": quality.duplicate_keys,
+    "repeated_key_days": repeated_key_days,
     "cadence_completeness": cadence_completeness,
     # summary and placement
     "summary_document": summary_document,
@@ -189,7 +205,10 @@ DAMAGED: dict[str, Query] = {
     "category_counts_damaged": counts.category_counts,
     "downtime_by_forklift_damaged": rates.downtime_by_forklift,
     "composite_risk_zone_shift_damaged": rates.composite_risk_zone_shift,
+    "composite_risk_matrix_observed": composite_risk_matrix_observed,
 }
+# readings of which some vehicles and days are silent
+SILENCED: dict[str, Query] = {"cadence_gaps": cadence_gaps}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -198,4 +217,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
     registered = {name: over(events.telemetry, query) for name, query in CLEAN.items()}
     registered |= {name: over(events.damaged_telemetry, query) for name, query in DAMAGED.items()}
+    registered |= {name: over(events.silenced_telemetry, query) for name, query in SILENCED.items()}
     return registered

@@ -113,3 +113,14 @@ def damaged_telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
     }
     clean = telemetry(spark, sf_dir)
     return clean.select(*[broken.get(name, F.col(name)) for name in clean.columns])
+
+
+SILENT_VEHICLE, PAUSED_VEHICLE = "FL_07", "FL_03"
+PAUSED_DAYS = (11, 15)  # first and last day index
+
+
+def silenced_telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The damaged readings without one vehicle, and without five days of another."""
+    vehicle = F.col("forklift_id")
+    paused = (vehicle == PAUSED_VEHICLE) & F.col("day_index").between(*PAUSED_DAYS)
+    return damaged_telemetry(spark, sf_dir).filter((vehicle != SILENT_VEHICLE) & ~paused)

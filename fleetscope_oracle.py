@@ -346,6 +346,11 @@ CLEAN = {
         LEFT JOIN expected e ON o.forklift_id = e.forklift_id AND o.shift = e.shift""",
     "duplicate_keys": """SELECT forklift_id || '_' || strftime("timestamp", '%Y-%m-%d %H:%M:%S')
         AS _id, COUNT(*) AS "count" FROM telemetry GROUP BY 1 HAVING COUNT(*) > 1""",
+    "repeated_key_days": """SELECT forklift_id, CAST(day AS VARCHAR) AS "date", COUNT(*) AS record_count,
+        COUNT(DISTINCT second) AS seconds, COUNT(*) - COUNT(DISTINCT second) AS surplus
+        FROM (SELECT forklift_id, CAST("timestamp" AS DATE) AS day, date_trunc('second', "timestamp")
+              AS second FROM telemetry)
+        GROUP BY forklift_id, day HAVING COUNT(*) > COUNT(DISTINCT second)""",
     "cadence_completeness": """SELECT forklift_id, CAST("date" AS VARCHAR) AS "date",
         COUNT(*) AS record_count, CAST(24 AS BIGINT) AS expected_count,
         CAST(24 - COUNT(*) AS BIGINT) AS missing_count,
@@ -451,6 +456,36 @@ DAMAGED_QUERIES = {
         "forklift_id", DOWN, "downtime_count", "downtime_rate", "damaged"
     ),
     "composite_risk_zone_shift_damaged": _composite("damaged"),
+    "composite_risk_matrix_observed": f"""SELECT zone,
+        MAX(risk_score) FILTER (WHERE shift = 'morning') AS morning,
+        MAX(risk_score) FILTER (WHERE shift = 'afternoon') AS afternoon,
+        MAX(risk_score) FILTER (WHERE shift = 'night') AS night,
+        MAX(risk_score) FILTER (WHERE shift = 'evening') AS evening
+        FROM ({_composite("damaged")}) GROUP BY zone""",
+}
+
+
+VEHICLES = " UNION ALL ".join(f"SELECT 'FL_{k:02}' AS forklift_id" for k in range(1, 11))
+
+SILENCED_QUERIES = {
+    "cadence_gaps": f"""
+        , heard AS (
+            SELECT DISTINCT forklift_id, date_trunc('hour', "timestamp") AS hour FROM damaged
+            WHERE forklift_id <> 'FL_07'
+              AND NOT (forklift_id = 'FL_03' AND day_index BETWEEN 11 AND 15)
+        ), everyone AS (
+            SELECT forklift_id FROM heard UNION SELECT forklift_id FROM ({VEHICLES})
+        ), hours AS (
+            SELECT unnest(generate_series(date_trunc('day', min(hour)),
+                date_trunc('day', max(hour)) + INTERVAL 23 HOUR, INTERVAL 1 HOUR)) AS hour FROM heard
+        ), missing AS (
+            SELECT forklift_id, hour,
+                epoch(hour) / 3600 - row_number() OVER (PARTITION BY forklift_id ORDER BY hour) AS run
+            FROM (SELECT * FROM everyone, hours) ANTI JOIN heard USING (forklift_id, hour)
+        )
+        SELECT forklift_id, strftime(min(hour), '%Y-%m-%d %H:%M:%S') AS first_missing,
+            strftime(max(hour), '%Y-%m-%d %H:%M:%S') AS last_missing, COUNT(*) AS missing_slots
+        FROM missing GROUP BY forklift_id, run""",
 }
 
 
@@ -461,4 +496,6 @@ def oracle_sql() -> dict[str, str]:
         texts[name] = f"WITH {TELEMETRY}{extra} {body}"
     for name, body in DAMAGED_QUERIES.items():
         texts[name] = f"WITH {TELEMETRY}{DAMAGED} {body}"
+    for name, body in SILENCED_QUERIES.items():
+        texts[name] = f"WITH {TELEMETRY}{DAMAGED}{body}"
     return texts
