@@ -30,15 +30,16 @@ _ROWS, _RSSI_SUM, _RSSI_ROWS = "rollup_rows", "rollup_rssi_sum", "rollup_rssi_ro
 _NULLS, _HIDDEN_SIGNALS = "rollup_nulls_", "rollup_hidden_signals"
 
 
-def rollup(df: DataFrame, quality: bool = False) -> DataFrame:
+def rollup(df: DataFrame, quality: bool = False, by: tuple[str, ...] = ()) -> DataFrame:
     """The rollup; with ``quality`` also what a validation report needs, for
-    which the remaining columns are scanned too."""
+    which the remaining columns are scanned too. Rollups of parts, such as those
+    ``by`` day, merge: their rows together are a rollup of the whole."""
     checks = []
     if quality:
         unkeyed = [name for name in TELEMETRY.fieldNames() if name not in ROLLUP_KEYS]
         checks = [nulls(df, name).alias(_NULLS + name) for name in unkeyed]
         checks.append(hidden_signals(df).alias(_HIDDEN_SIGNALS))
-    return df.groupBy(*ROLLUP_KEYS).agg(
+    return df.groupBy(*by, *ROLLUP_KEYS).agg(
         F.count(F.lit(1)).alias(_ROWS),
         F.sum(F.col("rssi").cast("bigint")).alias(_RSSI_SUM),
         F.count("rssi").alias(_RSSI_ROWS),

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from fleetscope.functions.derive import with_day
 from fleetscope.operators.summary import summary_document
-from fleetscope.plans import reports, results
+from fleetscope.plans import incremental, reports, results
 from fleetscope.schema import TELEMETRY, require_columns
 from fleetscope.sinks import snapshots, writers
 from fleetscope.sinks.pointer import resolve
@@ -65,8 +65,8 @@ def load(
     df: DataFrame, target: str, by_day: bool = True, versioned: bool = False, **options: object
 ) -> writers.Receipt:
     """Load telemetry below ``target``, by day, as full replace or as the next
-    version, and store the summary document and reports on what is now there, in
-    one scan of it."""
+    version, and store the summary document and reports on what is now there: a
+    load by day reads the days it has changed for that, any other the table."""
     spark = df.sparkSession
     path = f"{target}/telemetry"
     if versioned:
@@ -80,7 +80,10 @@ def load(
     # the shape of what was written, not of what is found
     stored = spark.read.schema(writers.keyed(df).schema if by_day else df.schema).parquet(resolve(spark, path))
 
-    base = results.stored_rollup(stored, f"{target}/load_rollup", quality=True)
+    if by_day:
+        base = incremental.refresh(stored, path, f"{target}/load_rollup")
+    else:
+        base = results.stored_rollup(stored, f"{target}/load_rollup", quality=True)
 
     generated_at = _now()
     document = summary_document(base).withColumn("generated_at", F.lit(generated_at))

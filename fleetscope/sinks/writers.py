@@ -87,7 +87,12 @@ def _load(
             raise
         stored = added
     else:
-        stored = commits.commit(spark, path, place, added, fmt, df.schema, mode == "days")
+        try:
+            stored = commits.commit(spark, path, place, added, fmt, df.schema, mode == "days")
+        except BaseException:
+            if not storage.exists(spark, f"{path}/{commits.JOURNAL}"):  # nothing was moved
+                storage.delete(spark, place)
+            raise
     receipt = Receipt(path, added.rows, stored.rows)
     log.info("%s: wrote %d rows, holds %d", path, receipt.written, receipt.stored)
     return receipt
@@ -104,6 +109,14 @@ def append_table(df: DataFrame, path: str, fmt: str = "parquet", **options: obje
     return _load(df, path, fmt, "append", options=options)
 
 
+def replace_parts(
+    df: DataFrame, path: str, by: str, whole: bool = False, **options: object
+) -> Receipt:
+    """Replace the parts (partitions ``by`` a column) that occur in ``df``, or
+    with ``whole`` the table."""
+    return _load(df, path, "parquet", "overwrite" if whole else "days", (by,), options)
+
+
 def empty_table(spark: SparkSession, path: str) -> None:
     """Free what a scratch table holds; an empty table stays behind."""
     spark.range(0).write.mode("overwrite").parquet(path)
