@@ -176,6 +176,8 @@ ANALYSES: dict[str, Query] = {
 LOADS: dict[str, Query] = {
     "csv_scan": loads.csv_scan,
     "parquet_scan": loads.parquet_scan,
+    "parquet_text_scan": loads.parquet_text_scan,
+    "csv_quarantine": loads.csv_quarantine,
     "document_scan": loads.document_scan,
     "full_replace_load": loads.full_replace_load,
     "snapshot_load": loads.snapshot_load,

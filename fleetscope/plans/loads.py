@@ -11,10 +11,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetscope.operators.counts import count_by
-from fleetscope.plans import results
+from fleetscope.plans import quarantine, results
 from fleetscope.schema import TELEMETRY
 from fleetscope.sinks import layout, snapshots, writers
-from fleetscope.sources import readers
+from fleetscope.sources import readers, reconcile
 
 
 def _fields(df: DataFrame) -> DataFrame:
@@ -61,6 +61,33 @@ def parquet_scan(df: DataFrame) -> DataFrame:
     return _kept(_per_day(readers.read_parquet(spark, columnar)), folder, text, columnar)
 
 
+def parquet_text_scan(df: DataFrame) -> DataFrame:
+    """Parquet as a writer without types leaves it: times as text, flags wide."""
+    texts = {name: F.col(name).cast("string") for name in ("timestamp", "date")}
+    wide = {name: F.col(name).cast("bigint") for name in ("day_index", "rssi", "visible", "mov", "occ")}
+    return _scanned(_fields(df).withColumns(texts | wide), "parquet", reconcile.read_any_parquet)
+
+
+BROKEN_EVERY = (37, 41)  # events whose signal, or time, is no such thing in the file
+
+
+def csv_quarantine(df: DataFrame) -> DataFrame:
+    """A CSV with malformed rows: the good ones per day, and how many are kept apart."""
+    spark, folder = df.sparkSession, writers.shared_folder(df.sparkSession)
+    text, path, rejects = f"{folder}/csv", f"{folder}/telemetry", f"{folder}/rejects"
+    no_signal, no_time = (F.col("event_id") % n == 0 for n in BROKEN_EVERY)
+    broken = {
+        "rssi": F.when(no_signal, "n/a").otherwise(F.col("rssi").cast("string")),
+        "timestamp": F.when(no_time, "yesterday").otherwise(F.col("timestamp").cast("string")),
+    }
+    writers.replace_table(_fields(df.withColumns(broken)), text, "csv")
+    quarantine.load_csv(spark, text, path, rejects, most=0.1)
+    kept = readers.read_parquet(spark, rejects, None)
+    per_day = _per_day(readers.read_parquet(spark, path))
+    rejected = kept.groupBy("day_index").agg(F.count(quarantine.RECORD).alias("rejected"))
+    return _kept(per_day.join(rejected, "day_index", "left").fillna(0, ["rejected"]), folder, text, path, rejects)
+
+
 def document_scan(df: DataFrame) -> DataFrame:
     return _scanned(writers.keyed(_fields(df)), "json", readers.read_documents)
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import logging
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -47,8 +48,10 @@ def _load(
     mode: str,
     partition_by: tuple[str, ...] = (),
     options: dict[str, object] | None = None,
+    verify: Callable[[], None] | None = None,
 ) -> Receipt:
-    """``mode``: overwrite (the whole table), append, or days (whole partitions)."""
+    """``mode``: overwrite (the whole table), append, or days (whole partitions).
+    ``verify`` is asked when all is staged; if it raises, nothing has changed."""
     if fmt not in FORMATS:
         raise ValueError(f"Unknown format: {fmt}")
     spark = df.sparkSession
@@ -72,6 +75,8 @@ def _load(
         added = commits.file_rows(spark, place, fmt, df.schema, manifest)
         if added.rows != written.get["rows"]:
             raise RuntimeError(f"{path}: wrote {written.get['rows']} rows, but stored {added.rows}")
+        if verify is not None:
+            verify()
         if whole:
             storage.write_file(spark, f"{place}/{commits.LEDGER}", [added.text()])
     except BaseException:
@@ -98,10 +103,16 @@ def _load(
     return receipt
 
 
-def replace_table(df: DataFrame, path: str, fmt: str = "parquet", **options: object) -> Receipt:
+def replace_table(
+    df: DataFrame,
+    path: str,
+    fmt: str = "parquet",
+    verify: Callable[[], None] | None = None,
+    **options: object,
+) -> Receipt:
     """Full replace. No rows leave an empty table behind, not an error. ``df``
     may read the target: the old table goes when the new one is whole."""
-    return _load(df, path, fmt, "overwrite", options=options)
+    return _load(df, path, fmt, "overwrite", options=options, verify=verify)
 
 
 def append_table(df: DataFrame, path: str, fmt: str = "parquet", **options: object) -> Receipt:

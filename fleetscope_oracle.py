@@ -151,6 +151,8 @@ PER_DAY = """SELECT day_index, {n} * COUNT(*) AS record_count,
     {n} * COUNT(downtime_category) AS categorised
     FROM telemetry GROUP BY day_index"""
 
+BROKEN = "event_id % 37 = 0 OR event_id % 41 = 0"
+
 SHARD = "CAST(CAST('0x' || substr(md5(forklift_id), 1, 8) AS BIGINT) % 2 AS INTEGER)"
 
 EXPECTED = f"""expected AS (
@@ -374,6 +376,11 @@ CLEAN = {
               COUNT(DISTINCT forklift_id) AS vehicles FROM telemetry GROUP BY 1)""",
     "csv_scan": PER_DAY.format(n=1),
     "parquet_scan": PER_DAY.format(n=1),
+    "parquet_text_scan": PER_DAY.format(n=1),
+    "csv_quarantine": f"""SELECT good.*, coalesce(rejected, 0) AS rejected
+        FROM ({PER_DAY.format(n=1).replace("FROM telemetry", f"FROM telemetry WHERE NOT ({BROKEN})")}) good
+        LEFT JOIN (SELECT day_index, COUNT(*) AS rejected FROM telemetry WHERE {BROKEN}
+                   GROUP BY day_index) bad USING (day_index)""",
     "document_scan": PER_DAY.format(n=1),
     "full_replace_load": PER_DAY.format(n=1),
     "snapshot_load": PER_DAY.format(n=1),
