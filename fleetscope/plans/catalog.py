@@ -185,6 +185,7 @@ LOADS: dict[str, Query] = {
     "slice_replace_load": loads.slice_replace_load,
     "vehicle_layout": loads.vehicle_layout,
     "time_layout": loads.time_layout,
+    "clustered_layout": loads.clustered_layout,
     "result_tables": loads.result_tables,
 }
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from fleetscope.operators.counts import count_by
 from fleetscope.plans import quarantine, results
 from fleetscope.schema import TELEMETRY
-from fleetscope.sinks import layout, snapshots, writers
+from fleetscope.sinks import clustered, layout, snapshots, writers
 from fleetscope.sources import readers, reconcile
 
 
@@ -137,6 +137,15 @@ def time_layout(df: DataFrame) -> DataFrame:
     return _kept(_per_day(readers.read_parquet(spark, path)), folder, path)
 
 
+def clustered_layout(df: DataFrame) -> DataFrame:
+    """Clustered by zone and shift; one pair is read from the files that may hold it."""
+    spark, folder = df.sparkSession, writers.shared_folder(df.sparkSession)
+    path = f"{folder}/telemetry"
+    clustered.write_clustered(_fields(df), path, "zone", "shift", files=16)
+    bounds = {"zone": ("WIP", "WIP"), "shift": ("night", "night")}
+    return _kept(_per_day(clustered.read_within(spark, path, TELEMETRY, bounds)), folder, path)
+
+
 def result_tables(df: DataFrame) -> DataFrame:
     """All published results stored, then reviewed."""
     target = writers.shared_folder(df.sparkSession)

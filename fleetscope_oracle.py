@@ -7,6 +7,7 @@ means something.
 
 from __future__ import annotations
 
+# The lookup tables and parameters that results depend on.
 ANCHORS = """(VALUES ('A1', 'Production'), ('A2', 'Storage'), ('A3', 'WIP'), ('A4', 'Packing'),
     ('A5', 'Production'), ('A6', 'Charging'), ('A7', 'Maintenance'), ('A8', 'WIP'))
     AS a(anchor, zone)"""
@@ -388,6 +389,9 @@ CLEAN = {
     "slice_replace_load": PER_DAY.format(n=1),
     "vehicle_layout": f"SELECT {SHARD} AS shard, COUNT(*) AS record_count FROM telemetry GROUP BY 1",
     "time_layout": PER_DAY.format(n=1),
+    "clustered_layout": PER_DAY.format(n=1).replace(
+        "FROM telemetry", "FROM telemetry WHERE zone = 'WIP' AND shift = 'night'"
+    ),
     "result_tables": _union(
         [
             f"""SELECT '{name}' AS result, ({rows}) AS "rows", {columns} AS "columns" """
