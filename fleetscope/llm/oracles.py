@@ -106,3 +106,63 @@ FROM nearest{rounds} JOIN described USING (cluster) JOIN vectors USING (place)
 
 
 CENTROID_CLUSTERING = _centroid_clustering()
+
+
+_LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+# shingles as text: words hold no blanks, so that equal texts are equal shingles
+NGRAM_JACCARD_JOIN = f"""
+WITH RECURSIVE split AS (
+  SELECT doc_id, list_filter(string_split_regex({_LOWERED}, '{_GAPS}'), lambda w: w <> '') AS words
+  FROM documents
+),
+shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE
+    WHEN len(words) >= 5 THEN list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i : i + 4], ' '))
+    WHEN len(words) > 0 THEN [array_to_string(words, ' ')] ELSE [] END) AS shingle
+  FROM split
+),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n
+  FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY ALL
+),
+links AS (
+  SELECT a, b FROM common c JOIN sizes x ON a = x.doc_id JOIN sizes y ON b = y.doc_id
+  WHERE 100 * c.n >= 80 * (x.n + y.n - c.n)
+),
+reached(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION
+  SELECT r.doc_id, l.b FROM reached r JOIN links l ON r.other = l.a
+),
+smallest AS (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id)
+SELECT s.doc_id, coalesce(n, 0) AS n_shingles, component_id
+FROM split s JOIN smallest m ON s.doc_id = m.doc_id LEFT JOIN sizes z ON s.doc_id = z.doc_id
+"""
+
+SUBSTRING_DEDUP = f"""
+WITH split AS (
+  SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '{_GAPS}'), lambda w: w <> '') AS words
+  FROM documents
+),
+placed AS (
+  SELECT doc_id, place, words[place] AS word,
+    CASE WHEN place + 49 <= len(words) THEN array_to_string(words[place : place + 49], ' ') END AS span
+  FROM split, unnest(range(1, len(words) + 1)) AS r(place)
+),
+earliest AS (SELECT span, min(doc_id) AS first_id FROM placed WHERE span IS NOT NULL GROUP BY span),
+judged AS (
+  SELECT doc_id, place, word,
+    max(coalesce(first_id < doc_id, FALSE)::INT) OVER (
+      PARTITION BY doc_id ORDER BY place ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) AS gone
+  FROM placed LEFT JOIN earliest USING (span)
+),
+left_over AS (
+  SELECT doc_id, sum(gone) AS n_removed, string_agg(word, ' ' ORDER BY place) FILTER (WHERE gone = 0) AS kept
+  FROM judged GROUP BY doc_id
+)
+SELECT s.doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(kept, '')) AS kept_sha256
+FROM split s LEFT JOIN left_over k ON s.doc_id = k.doc_id
+"""

@@ -127,6 +127,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op6_substring_dedup": oracles.SUBSTRING_DEDUP,
+    "op9_ngram_jaccard_join": oracles.NGRAM_JACCARD_JOIN,
     "op12_filter_audit": oracles.FILTER_AUDIT,
     "op13_centroid_clustering": oracles.CENTROID_CLUSTERING,
 }

@@ -154,6 +154,17 @@ def test_long_texts_are_cut_at_pieces(content, library, monkeypatch):
         assert bounds.tolist() == [0, len(ids)]
 
 
+# --- SQL of earlier operators
+
+
+@pytest.mark.parametrize("name", ["op6_substring_dedup", "op9_ngram_jaccard_join"])
+@pytest.mark.parametrize("scale", ["sf0.001", "sf0.01"])
+def test_earlier_operators_are_those_of_sql(spark, scale, name):
+    folder = f"/root/testdata/{scale}"
+    found = queries.QUERIES[name](spark, folder)
+    assert against_sql(found, queries.ORACLE_SQL[name], documents=f"{folder}/documents.parquet")
+
+
 # --- filter audit
 
 
