@@ -10,14 +10,16 @@ whole block. Blocks are represented by the XOR of their shingles' hashes, and
 equal blocks meet in an equi-join. Enough blocks are cut that, for all but a few
 documents, one that isn't empty must agree; those few match by empty blocks too.
 
-Equal sets are one node, represented once. In the group of a block, every node
-is verified against the most central one, which shares most blocks with others,
-not against each other. Nodes that turn out not to be connected with it (strays)
-are verified against the most central stray of their groups, in each round the
-next one that was not compared yet; after some rounds all that are left are
-verified against those members of their groups that the triangle inequality
-leaves possible. So the components are exact, although the groups of copies are
-never multiplied out. Verification intersects whole sets; nothing is collected.
+Equal sets are one node, represented once. With each node a sketch of 2 to 4 bits
+a shingle is kept; before a pair's texts are fetched, the Hamming distance of its
+sketches must be within the bound. In the group of a block, every node is compared
+with the first one. Groups whose other nodes are not all connected by then are cut
+into chunks; in a task, chunk meets chunk by sketches, and of the pairs within the
+bound only those go out that would join two components, as a spanning forest. So
+what is verified stays linear in the group, while pairs that are linked are not
+multiplied out. After some rounds every pair is verified that is still apart and
+within the bound, so the components are exact. Verification intersects the whole
+sets of both texts, in tasks; nothing is collected.
 
 A null or empty text has an empty set, which is linked with nothing. Repeated
 rows are nodes like other copies. A null id is larger than any other. An empty
@@ -41,8 +43,8 @@ SHINGLE = 5
 NEAR, WHOLE = 80, 100  # linked if WHOLE * intersection >= NEAR * union
 _BAND_RATIO = 1.5
 _SLACK = 0.12
-ROUNDS = 4  # in which strays are verified against one of each group, before all are
-_KEPT_BYTES = 5  # of each shingle's hash, when sets are compared
+ROUNDS = 2  # of spanning forests, before every pair within the bound is verified
+_CHUNK_ROWS, _CHUNK_BYTES = 1024, 4 << 20  # of a group's nodes and their sketches
 
 
 def shingle_sets(batch: pa.RecordBatch, size: int) -> Iterator[np.ndarray]:
@@ -115,21 +117,46 @@ def block_keys(shingles: np.ndarray, near: int = NEAR, whole: int = WHOLE) -> np
     return np.concatenate(keys) if keys else np.empty(0, dtype=np.uint64)
 
 
+def parity_sketch(shingles: np.ndarray) -> np.ndarray:
+    """Words of a power of two of bits, at least two for each shingle; a shingle
+    toggles the bit that its hash names."""
+    bits = max(64, 1 << (2 * len(shingles) - 1).bit_length())
+    place = (words.mix(shingles ^ np.uint64(0x8EBC6AF09C88C6E3)) & np.uint64(bits - 1)).astype(np.intp)
+    odd = (np.bincount(place, minlength=bits) & 1).astype(np.uint8)
+    return np.packbits(odd, bitorder="little").view(np.uint64)
+
+
+def folded(sketches: np.ndarray, length: int) -> np.ndarray:
+    """Sketches (along the last axis) as they would be with ``length`` words."""
+    while sketches.shape[-1] > length:
+        half = sketches.shape[-1] // 2
+        sketches = sketches[..., :half] ^ sketches[..., half:]
+    return sketches
+
+
+def sketch_distance(a: np.ndarray, b: np.ndarray) -> int:
+    """At most the size of the symmetric difference."""
+    length = min(len(a), len(b))
+    return int(np.bitwise_count(folded(a, length) ^ folded(b, length)).sum())
+
+
 def _nodes(docs: DataFrame, size: int) -> DataFrame:
-    """A row per document: id, text_hash, size of its set, node."""
+    """A row per document: id, text_hash, size of its set, node, sketch."""
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in words.slices(batches):
-            sizes, nodes = [], []
+            sizes, nodes, sketches = [], [], []
             for shingles in shingle_sets(batch, size):
                 sizes.append(len(shingles))
                 nodes.append(set_node(shingles) if len(shingles) else None)
-            columns = [batch.column(0), batch.column(1)]
-            columns += [pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, ["id", "text_hash", "n_shingles", "node"])
+                sketches.append(parity_sketch(shingles).tobytes() if len(shingles) else None)
+            columns = [batch.column(0), batch.column(1), pa.array(sizes, pa.int64())]
+            columns += [pa.array(nodes, pa.int64()), pa.array(sketches, pa.binary())]
+            names = ["id", "text_hash", "n_shingles", "node", "sketch"]
+            yield pa.RecordBatch.from_arrays(columns, names)
 
     kind = docs.schema["id"].dataType.simpleString()
-    schema = f"id {kind}, text_hash bigint, n_shingles bigint, node bigint"
+    schema = f"id {kind}, text_hash bigint, n_shingles bigint, node bigint, sketch binary"
     return docs.mapInArrow(describe, schema)
 
 
@@ -155,63 +182,65 @@ def _keys(docs: DataFrame, size: int, near: int, whole: int) -> DataFrame:
     return docs.select("text").mapInArrow(emit, "key bigint, node bigint")
 
 
-def _sets(docs: DataFrame, size: int) -> DataFrame:
-    """(node, n, members) of the given documents; members are cut hashes."""
+def _within_bound(pairs: DataFrame, sketches: DataFrame, near: int, whole: int) -> DataFrame:
+    """The pairs (a, b) whose sketches, of ``sketches`` (node, n, sketch), are no
+    farther apart than those of similar sets can be."""
+    over, under = _limits(near, whole)
 
-    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in words.slices(batches):
-            members, sizes = [], []
-            for shingles in shingle_sets(batch, size):
-                cut = shingles.view(np.uint8).reshape(-1, 8)[:, :_KEPT_BYTES]
-                members.append(np.ascontiguousarray(cut).tobytes())
-                sizes.append(len(shingles))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("node"), pa.array(sizes, pa.int64()), pa.array(members, pa.binary())],
-                ["node", "n", "members"],
-            )
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            of_a, of_b = batch.column("a_sketch"), batch.column("b_sketch")
+            both = np.asarray(batch.column("n"))
+            close = np.zeros(batch.num_rows, dtype=bool)
+            for i in range(batch.num_rows):
+                x = np.frombuffer(of_a[i].as_buffer(), dtype=np.uint64)
+                y = np.frombuffer(of_b[i].as_buffer(), dtype=np.uint64)
+                close[i] = under * sketch_distance(x, y) <= over * int(both[i])
+            yield batch.select(["a", "b"]).filter(pa.array(close))
 
-    return docs.mapInArrow(emit, "node bigint, n bigint, members binary")
+    side = lambda name: sketches.select(
+        F.col("node").alias(name), F.col("n").alias(f"{name}_n"), F.col("sketch").alias(f"{name}_sketch")
+    )
+    joined = pairs.join(side("b"), "b").join(side("a"), "a")
+    joined = joined.filter(whole * F.least("a_n", "b_n") >= near * F.greatest("a_n", "b_n"))
+    joined = joined.select("a", "b", (F.col("a_n") + F.col("b_n")).alias("n"), "a_sketch", "b_sketch")
+    return joined.mapInArrow(compare, "a bigint, b bigint")
 
 
-def _members(cut: bytes) -> np.ndarray:
-    whole = np.zeros((len(cut) // _KEPT_BYTES, 8), dtype=np.uint8)
-    whole[:, :_KEPT_BYTES] = np.frombuffer(cut, dtype=np.uint8).reshape(-1, _KEPT_BYTES)
-    return whole.view(np.uint64).ravel()
+def _texts_of(docs: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(node, text): a text for each node of the pairs."""
+    active = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    one_of = nodes.join(active, "node", "left_semi").groupBy("node").agg(
+        F.min_by(F.struct("id", "text_hash"), F.struct(F.col("id").isNull(), "id", "text_hash")).alias("of")
+    ).select("node", F.col("of.id").alias("of"), F.col("of.text_hash").alias("of_hash"))
+    same = docs["id"].eqNullSafe(one_of["of"]) & (docs["text_hash"] == one_of["of_hash"])
+    return docs.join(one_of, same).select("node", "text").dropDuplicates(["node"])
 
 
-def _verify(pairs: DataFrame, sets: DataFrame, near: int, whole: int) -> DataFrame:
-    """pairs (a, b) with the sizes of their sets, their symmetric difference,
-    and whether they are linked."""
+def _verify(pairs: DataFrame, texts: DataFrame, size: int, near: int, whole: int) -> DataFrame:
+    """The pairs (a, b) whose whole sets are similar."""
 
     def intersect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            common = []
-            of_a, of_b = batch.column("a_members"), batch.column("b_members")
-            last, a = None, None
-            for i in range(batch.num_rows):
-                cut = of_a[i].as_buffer()
-                if last is None or not cut.equals(last):
-                    last, a = cut, _members(cut)
-                both = np.sort(np.concatenate([a, _members(of_b[i].as_buffer())]))
-                common.append(int((both[1:] == both[:-1]).sum()))
-            columns = [batch.column(name) for name in ("a", "b", "a_n", "b_n")]
-            columns.append(pa.array(common, pa.int64()))
-            yield pa.RecordBatch.from_arrays(columns, ["a", "b", "a_n", "b_n", "common"])
-
-    of_b = sets.select(
-        F.col("node").alias("b"), F.col("n").alias("b_n"), F.col("members").alias("b_members")
-    )
-    of_a = sets.select(
-        F.col("node").alias("a"), F.col("n").alias("a_n"), F.col("members").alias("a_members")
+        last, x = None, None
+        for whole_batch in batches:
+            for batch in words.slices([whole_batch], "b_text"):
+                of_a, linked = batch.column("a"), np.zeros(batch.num_rows, dtype=bool)
+                of_b = pa.RecordBatch.from_arrays([batch.column("b_text")], ["text"])
+                for i, y in enumerate(shingle_sets(of_b, size)):
+                    if (a := of_a[i].as_py()) != last:
+                        text = batch.column("a_text").slice(i, 1)
+                        (x,) = shingle_sets(pa.RecordBatch.from_arrays([text], ["text"]), size)
+                        last = a
+                    both = np.sort(np.concatenate([x, y]))
+                    common = int((both[1:] == both[:-1]).sum())
+                    linked[i] = whole * common >= near * (len(both) - common)
+                yield batch.select(["a", "b"]).filter(pa.array(linked))
+
+    side = lambda name: texts.select(
+        F.col("node").alias(name), F.col("text").alias(f"{name}_text")
     )
-    joined = pairs.join(of_b, "b").join(of_a, "a")
-    checked = joined.mapInArrow(intersect, "a bigint, b bigint, a_n bigint, b_n bigint, common bigint")
-    union = F.col("a_n") + F.col("b_n") - F.col("common")
-    return checked.select(
-        "a", "b", "a_n", "b_n",
-        (union - F.col("common")).alias("apart"),
-        (whole * F.col("common") >= near * union).alias("linked"),
-    )
+    joined = pairs.join(side("b"), "b").join(side("a"), "a")
+    return joined.select("a", "b", "a_text", "b_text").mapInArrow(intersect, "a bigint, b bigint")
 
 
 def similar_components(
@@ -236,99 +265,126 @@ def similar_components(
         .filter("node != first AND node != last")
     )
     stars = scratch.save(groups.select("key", "first", "node"))
-    members = grouped = scratch.save(_with_centre(stars))
-    scratch.drop(stars)
-    pairs = scratch.save(
-        members.filter("centre != node").select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
+    met = scratch.save(stars.select(F.col("first").alias("a"), F.col("node").alias("b")).distinct())
+    active = met.select(F.col("a").alias("node")).union(met.select("b")).distinct()
+    sketches = scratch.save(
+        nodes.select("node", F.col("n_shingles").alias("n"), "sketch")
+        .join(active, "node", "left_semi").dropDuplicates(["node"])
     )
-    # whole sets, of one document for each node that has a partner
-    active = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    one_of = nodes.join(active, "node", "left_semi").groupBy("node").agg(
-        F.min_by(F.struct("id", "text_hash"), F.struct(F.col("id").isNull(), "id", "text_hash")).alias("of")
-    ).select("node", F.col("of.id").alias("of"), F.col("of.text_hash").alias("of_hash"))
-    chosen = docs.join(
-        one_of, docs["id"].eqNullSafe(one_of["of"]) & (docs["text_hash"] == one_of["of_hash"])
-    )
-    sets = scratch.save(_sets(chosen.select("node", "text"), size).dropDuplicates(["node"]))
-    checked = scratch.save(_verify(pairs, sets, near, whole))
-    links = scratch.save(checked.filter("linked").select("a", "b"))
-    labels = scratch.save(connected_components(links, scratch))
-    apart = checked.select(F.col("a").alias("centre"), F.col("b").alias("node"), F.col("b_n").alias("n"), "apart")
-    itself = checked.select(F.col("a").alias("centre"), F.col("a").alias("node"), F.col("a_n").alias("n"), F.lit(0).alias("apart"))
-    members = scratch.save(members.join(apart.union(itself.distinct()), ["centre", "node"]))
-    scratch.drop(grouped, checked, links)
-    done, compared = pairs, None
-    for turn in range(ROUNDS + 1):
-        strays = scratch.save(_next_strays(members, labels, compared, turn == ROUNDS))
-        if not strays.limit(1).count():
-            break
-        more = scratch.save(_stray_pairs(members, labels, strays, done, near, whole))
-        if more.limit(1).count():
-            found = _verify(more, sets, near, whole).filter("linked").select("a", "b")
-            merged = labels.select(F.col("node").alias("a"), F.col("label").alias("b")).union(found)
-            labels = scratch.save(connected_components(merged, scratch))
-            done = done.union(more)
-        mine = strays.select("key", F.col("x").alias("node"))
-        compared = mine if compared is None else compared.union(mine)
-    scratch.drop(members, sets, pairs)
+    done = scratch.save(_within_bound(met, sketches, near, whole))
+    groups = scratch.save(_distinct_groups(stars))
+    scratch.drop(stars, met)
+    labels, more = None, done
+    for turn in range(ROUNDS + 2):
+        if turn:
+            every = turn > ROUNDS
+            found = scratch.save(_group_pairs(groups, sketches, labels, turn, every, near, whole).distinct())
+            if not found.limit(1).count():
+                scratch.drop(found)
+                break
+            more = scratch.save(found.join(done, ["a", "b"], "left_anti"))
+            scratch.drop(found)
+            if not more.limit(1).count():
+                scratch.drop(more)
+                continue
+        texts = scratch.save(_texts_of(docs, nodes, more))
+        links = _verify(more, texts, size, near, whole)
+        if labels is None:
+            labels = scratch.save(connected_components(links, scratch))
+        else:
+            merged = labels.select(F.col("node").alias("a"), F.col("label").alias("b")).union(links)
+            before, labels = labels, scratch.save(connected_components(merged, scratch))
+            before_done, done = done, scratch.save(done.union(more))
+            scratch.drop(before, before_done, more)
+        scratch.drop(texts)
+    scratch.drop(groups, sketches, done)
     labelled = nodes.join(labels, "node", "left")
     return labelled.select("id", "text_hash", "n_shingles", F.coalesce("label", "node").alias("label"))
 
 
-def _with_centre(stars: DataFrame) -> DataFrame:
-    """stars (key, first, node) -> key, node, centre, score: the members of every
-    group, how central they are, and the most central of the group."""
-    members = stars.select("key", "node").union(stars.select("key", "first")).distinct()
-    sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("size"))
-    scores = members.join(sizes, "key").groupBy("node").agg(F.sum("size").alias("score"))
-    scored = members.join(scores, "node")
-    centres = scored.groupBy("key").agg(F.max_by("node", F.struct("score", "node")).alias("centre"))
-    return scored.join(centres, "key").select("key", "node", "centre", "score")
-
-
-def _labelled(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """members with their labels, and whether that is not their centre's."""
-    label_of = lambda name: labels.select(
-        F.col("node").alias(name), F.col("label").alias(f"{name}_label")
-    )
-    known = members.join(label_of("node"), "node", "left").join(label_of("centre"), "centre", "left")
-    return known.select(
-        "key", "node", "n", "apart", "score", F.coalesce("node_label", "node").alias("label"),
-        (F.coalesce("node_label", "node") != F.coalesce("centre_label", "centre")).alias("stray"),
+def _distinct_groups(stars: DataFrame) -> DataFrame:
+    """stars (key, first, node) -> key, node: the nodes but the first of every
+    group of at least three. Groups of the same nodes, as near copies form them
+    in many blocks, are kept once."""
+    sign = F.struct(
+        "first", F.count(F.lit(1)).alias("n"),
+        F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y"),
     )
+    signed = stars.groupBy("key", "first").agg(sign.alias("sign")).filter("sign.n > 1")
+    kept = signed.groupBy("sign").agg(F.min("key").alias("key")).select("key")
+    return stars.select("key", "node").join(kept, "key", "left_semi")
 
 
-def _next_strays(members: DataFrame, labels: DataFrame, compared: DataFrame | None, every: bool) -> DataFrame:
-    """Of a group's strays that weren't ``compared`` with the others of the
-    group, the most central, or ``every`` one."""
-    strays = _labelled(members, labels).filter("stray")
-    if compared is not None:
-        strays = strays.join(compared, ["key", "node"], "left_anti")
-    if not every:
-        first = strays.groupBy("key").agg(
-            F.max_by(F.struct("node", "n", "apart", "label"), F.struct("score", "node")).alias("s")
+def _group_pairs(
+    groups: DataFrame, sketches: DataFrame, labels: DataFrame, turn: int, every: bool, near: int, whole: int
+) -> DataFrame:
+    """Pairs (a, b) of nodes of one group, not connected by now and within the
+    bound: a spanning forest of what they would connect, or ``every`` one."""
+    over, under = _limits(near, whole)
+    known = groups.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    mixed = known.groupBy("key").agg(
+        F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("rows")
+    ).filter("low != high").select("key", "rows")
+    members = known.join(mixed, "key").join(sketches, "node")
+    widest = F.greatest(F.col("rows") / _CHUNK_ROWS, F.col("rows") * F.length("sketch") / _CHUNK_BYTES)
+    # all members of a group must be cut alike: by the group's widest sketch
+    chunks = members.groupBy("key").agg(F.max(F.ceil(widest)).alias("chunks"))
+    mine = F.pmod(F.xxhash64("node"), F.col("chunks"))
+    parted = (
+        members.join(chunks, "key").withColumn("mine", mine)
+        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("chunks") - 1)))
+        .select(
+            "key", F.least("mine", "other").alias("low"), F.greatest("mine", "other").alias("high"),
+            "mine", "node", "label", "n", "sketch",
         )
-        strays = first.select("key", "s.*")
-    return strays.select(
-        "key", F.col("node").alias("x"), F.col("n").alias("x_n"), F.col("apart").alias("x_apart"),
-        F.col("label").alias("x_label"),
     )
 
-
-def _stray_pairs(members, labels, strays, done, near: int, whole: int) -> DataFrame:
-    """Pairs still to verify: the strays with any members of their groups that
-    may be similar. Two members' distances to the centre differ by no more than
-    the distance between the two."""
-    over, under = _limits(near, whole)
-    possible = (
-        (F.col("x_label") != F.col("label"))
-        & (whole * F.least("x_n", "n") >= near * F.greatest("x_n", "n"))
-        & (under * F.abs(F.col("x_apart") - F.col("apart")) <= over * (F.col("x_n") + F.col("n")))
-    )
-    found = strays.join(_labelled(members, labels), "key").filter(possible)
-    found = found.select(F.greatest("x", "node").alias("a"), F.least("x", "node").alias("b")).distinct()
-    before = done.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    return found.join(before, ["a", "b"], "left_anti")
+    def compare(group: pa.Table) -> pa.Table:
+        group = group.combine_chunks()
+        node, label, n, mine = (
+            np.asarray(group.column(name)) for name in ("node", "label", "n", "mine")
+        )
+        order = np.argsort(words.mix(node.view(np.uint64) + np.uint64(turn)))
+        node, label, n, mine = node[order], label[order].copy(), n[order], mine[order]
+        across = group.column("low")[0].as_py() != group.column("high")[0].as_py()
+        sketch = group.column("sketch")
+        raw = [np.frombuffer(sketch[i].as_buffer(), dtype=np.uint64) for i in order.tolist()]
+        length = np.array([len(x) for x in raw])
+        at_width = {  # every sketch as wide as that; rows of narrower ones aren't read
+            w: np.stack([folded(x, w) if len(x) >= w else np.zeros(w, np.uint64) for x in raw])
+            for w in np.unique(length).tolist()
+        }
+        left, right = [], []
+        for i in range(1, len(node)):
+            may = label[:i] != label[i]
+            may &= whole * np.minimum(n[:i], n[i]) >= near * np.maximum(n[:i], n[i])
+            if across:
+                may &= mine[:i] != mine[i]
+            at = np.flatnonzero(may)
+            apart = np.empty(len(at), dtype=np.int64)
+            width = np.minimum(length[at], length[i])
+            for w in np.unique(width).tolist():
+                here = width == w
+                differing = np.bitwise_count(at_width[w][at[here]] ^ at_width[w][i])
+                apart[here] = differing.sum(axis=1, dtype=np.int64)
+            close = under * apart <= over * (n[at] + n[i])
+            at, apart = at[close], apart[close]
+            if every:
+                left += [node[i]] * len(at)
+                right += node[at].tolist()
+                continue
+            while len(at):
+                # the closest, later any: what was verified in vain isn't tried again
+                j = at[int(np.argmin(apart))] if turn == 1 else at[0]
+                left.append(node[i])
+                right.append(node[j])
+                label[label == label[j]] = label[i]
+                open_ = label[at] != label[i]
+                at, apart = at[open_], apart[open_]
+        a, b = np.array(left, dtype=np.int64), np.array(right, dtype=np.int64)
+        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+
+    return parted.groupBy("key", "low", "high").applyInArrow(compare, "a bigint, b bigint")
 
 
 def component_ids(docs: DataFrame, scratch: Scratch, id: str = "doc_id", **options) -> DataFrame:

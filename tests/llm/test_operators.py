@@ -120,6 +120,24 @@ def test_components_of_a_template_family_are_those_of_all_pairs(spark, scratch,
     assert found == dict(enumerate(label))
 
 
+def test_a_chunked_group_gives_the_components_of_all_pairs(spark, scratch, monkeypatch):
+    monkeypatch.setattr(ngram_join, "_CHUNK_ROWS", 25)
+    test_components_of_a_template_family_are_those_of_all_pairs(spark, scratch, monkeypatch)
+
+
+def test_distances_of_sketches_never_exceed_those_of_sets():
+    import numpy as np
+
+    random = np.random.default_rng(3)
+    for size in (1, 2, 31, 32, 33, 500, 3000):
+        for extra in (0, 1, size // 5, size):
+            a = np.unique(random.integers(0, 1 << 63, size, dtype=np.uint64))
+            b = np.unique(np.append(a[extra // 2 :], random.integers(0, 1 << 63, extra, dtype=np.uint64)))
+            apart = len(np.setxor1d(a, b))
+            found = ngram_join.sketch_distance(ngram_join.parity_sketch(a), ngram_join.parity_sketch(b))
+            assert found <= apart and (found - apart) % 2 == 0
+
+
 def test_blocks_of_similar_sets_meet():
     import numpy as np
 
