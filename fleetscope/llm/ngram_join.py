@@ -345,6 +345,10 @@ def _group_pairs(
             np.asarray(group.column(name)) for name in ("node", "label", "n", "mine")
         )
         order = np.argsort(words.mix(node.view(np.uint64) + np.uint64(turn)))
+        # the most common label first: its nodes need no comparison with each other
+        found, counts = np.unique(label, return_counts=True)
+        alike = label[order] == found[np.argmax(counts)]
+        order = np.concatenate([order[alike], order[~alike]])
         node, label, n, mine = node[order], label[order].copy(), n[order], mine[order]
         across = group.column("low")[0].as_py() != group.column("high")[0].as_py()
         sketch = group.column("sketch")
@@ -355,12 +359,14 @@ def _group_pairs(
             for w in np.unique(length).tolist()
         }
         left, right = [], []
-        for i in range(1, len(node)):
+        for i in range(int(counts.max()), len(node)):
             may = label[:i] != label[i]
             may &= whole * np.minimum(n[:i], n[i]) >= near * np.maximum(n[:i], n[i])
             if across:
                 may &= mine[:i] != mine[i]
             at = np.flatnonzero(may)
+            if not len(at):
+                continue
             apart = np.empty(len(at), dtype=np.int64)
             width = np.minimum(length[at], length[i])
             for w in np.unique(width).tolist():
