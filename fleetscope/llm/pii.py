@@ -2,12 +2,21 @@
 
 Base patterns find e-mail addresses, IP addresses, card and phone numbers. They
 are the seeds of a graph of instances (normalised strings) and lexical patterns
-(the two words before an instance). In each round a pattern's confidence in a kind
-is the share of its distinct instances known to be of that kind, if it has
-enough; an unknown instance's is one minus the product of its patterns' doubts,
-over all documents. Instances above ``ACCEPT`` whose form is possible for the
-kind become known, and so do their occurrences after confident patterns, as
-further spans. Spans of base patterns always stay.
+(the word, and the two words, before an instance). Candidates for further
+instances are tokens with a digit or an @, and runs of digit groups over single
+blanks, brackets and signs, of any length and after any distance from the words
+of their context; such a run is one candidate, even if it holds two numbers.
+
+In each round a pattern's confidence in a kind is the share of its distinct
+instances known to be of that kind. Instances of other kinds or of an impossible
+form count against it, unknown ones of a possible form count as ``DOUBTFUL``, and
+``PRIOR`` instances against it smooth patterns that are seldom seen. An unknown
+instance's confidence is one minus the product of the doubts of the words it
+follows, over all documents; of a word's patterns the surest counts. Instances
+above ``ACCEPT`` whose form is possible for the kind become known, and so do their
+occurrences after confident patterns, as further spans. Rounds go on until one
+accepts nothing. Spans of base patterns always stay. Doubts are decimals, so that
+reruns agree at the bound; of two kinds as sure, the first by name counts.
 
 Positions are code points. They follow from the lengths of the text between
 matches, summed up per document by a window over its matches, so long texts cost
@@ -22,17 +31,18 @@ ignored.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetscope.sinks.storage import Scratch
 
 KINDS = ("email", "ip", "card", "phone")
-ROUNDS = 2
-SUPPORT = 4  # known instances of a pattern
 ACCEPT = 0.8
-CONTEXT = 48  # characters before a match that are searched for words
-LONGEST = 64  # of a token that may be an identifier
+TRUSTED = 0.5  # a pattern's least confidence
+DOUBTFUL = 0.25  # weight against a pattern of an unknown instance that may be of the kind
+PRIOR = 1.0  # instances against any pattern
 
 # a match may begin where a run of its characters does, or the last match ended
 _FROM = r"(?:\G|(?<!{0})){0}++"
@@ -43,16 +53,21 @@ PATTERNS = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 _PART = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[0-9]{1,2})"
-# what can be an identifier at all: a token with a digit or an @
+# what can be an identifier at all: groups of digits, or a token with a digit or an @
 _APART = r"\x20\x09-\x0D,;:\"'<>()\[\]{}|="
-TOKEN = rf"(?<![^{_APART}])[^{_APART}0-9@]*+[0-9@][^{_APART}]*+"
+_GROUP = r"[0-9]++(?![\p{L}\p{N}@])"
+GROUPS = rf"(?<![\p{{L}}\p{{N}}])[+(]{{0,2}}{_GROUP}(?:[\x20.()/\-]{{1,2}}{_GROUP})++"
+TOKEN = rf"(?<![^{_APART}])[^{_APART}0-9@]*+[0-9@][^{_APART}]*[\p{{L}}\p{{N}}]"
+CANDIDATE = f"(?:{GROUPS}|{TOKEN})"
 # forms that are possible for a kind, if context says so
 FORMS = {
     "email": r"^[^@]+@[^@]+$",
     "ip": r"^[0-9A-Fa-f]{1,4}(?:[.:][0-9A-Fa-f]{0,4}){3,7}$",
-    "card": r"^(?:[0-9][.\-]?){13,19}$",
-    "phone": r"^\+?(?:[0-9][.\-/]?){7,15}$",
+    "card": r"^(?:[0-9][\x20.\-]?){13,19}$",
+    "phone": r"^[+(]{0,2}(?:[0-9][\x20().\-/]{0,2}){7,15}$",
 }
+_LAST = r"^[^\p{L}\p{N}]*+([\p{L}\p{N}]++)"  # of a reversed text
+_LAST_BUT_ONE = r"^[^\p{L}\p{N}]*+[\p{L}\p{N}]++[^\p{L}\p{N}]++([\p{L}\p{N}]++)"
 
 
 def _digits(text: Column) -> Column:
@@ -84,40 +99,54 @@ def _found(text: Column, pattern: str, possible: Column) -> Column:
     return F.when(possible, F.arrays_zip(gaps.alias("gap"), matches.alias("match")))
 
 
+def _last_words(text: Column, name: str) -> list[Column]:
+    """The last word of a text and the one before it, lower-cased; null if there
+    is none. Reading backward, no more is read than these two."""
+    back = F.reverse(F.lower(text))
+    return [
+        F.nullif(F.reverse(F.regexp_extract(back, pattern, 1)), F.lit("")).alias(f"{name}_{k}")
+        for k, pattern in enumerate((_LAST, _LAST_BUT_ONE), 1)
+    ]
+
+
 def _matches(docs: DataFrame, patterns: dict[str, str]) -> DataFrame:
-    """docs (id, text_hash, text) -> id, text_hash, kind, from, to, match, left
-    (the characters before it): a row for every match."""
+    """docs (id, text_hash, text) -> id, text_hash, kind, from, to, match, word,
+    second (the last word before it and the one before that): a row for every
+    match."""
     text = F.col("text")
     digit = text.rlike("[0-9]")
-    possible = {"email": text.contains("@"), "phone": text.contains("+")}
+    possible = {"email": text.contains("@"), "phone": text.contains("+"), "candidate": F.lit(True)}
     kinds = [
         F.struct(F.lit(kind).alias("kind"), _found(text, pattern, possible.get(kind, digit)).alias("found"))
         for kind, pattern in patterns.items()
     ]
-    rows = docs.filter(digit | text.contains("@")).select("id", "text_hash", F.explode(F.array(*kinds)).alias("k"))
+    rows = docs.select("id", "text_hash", F.explode(F.array(*kinds)).alias("k"))
     rows = rows.select("id", "text_hash", "k.kind", F.posexplode("k.found").alias("at", "m"))
     rows = rows.select(
-        "id", "text_hash", "kind", "at", F.col("m.match").alias("match"),
-        F.length("m.gap").alias("gap"), F.expr(f"right(m.gap, {CONTEXT})").alias("left"),
+        "id", "text_hash", "kind", "at", F.col("m.match").alias("match"), F.length("m.gap").alias("gap"),
+        *_last_words(F.col("m.gap"), "gap"), *_last_words(F.col("m.match"), "match"),
     ).filter("match IS NOT NULL")
     in_text = Window.partitionBy("id", "text_hash", "kind").orderBy("at")
     ends = F.sum(F.col("gap") + F.length("match")).over(in_text.rowsBetween(Window.unboundedPreceding, 0))
-    placed = rows.withColumn("to", ends.cast("bigint"))
+    # where the gap has fewer than two words, they are those of the matches and the gap before
+    before = [F.lag(name).over(in_text) for name in ("match_1", "match_2", "gap_1")] + [F.lag("match_1", 2).over(in_text)]
+    second = F.when(F.col("gap_1").isNull(), F.coalesce(*before[1:])).otherwise(F.coalesce("gap_2", before[0]))
+    placed = rows.select("*", ends.cast("bigint").alias("to"), F.coalesce("gap_1", before[0]).alias("word"), second.alias("second"))
     return placed.select(
-        "id", "text_hash", "kind", (F.col("to") - F.length("match")).alias("from"), "to", "match", "left"
+        "id", "text_hash", "kind", (F.col("to") - F.length("match")).alias("from"), "to", "match", "word", "second"
     )
 
 
-def _pattern_of(left: Column) -> Column:
-    """The last two words before a match, lower-cased; null if there are fewer."""
-    found = F.regexp_extract_all(F.lower(left), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
-    return F.when(F.size(found) >= 2, F.concat_ws(" ", F.slice(found, -2, 2)))
+def _with_patterns(rows: DataFrame) -> DataFrame:
+    """A row for each of a match's patterns; none if no word stands before it."""
+    both = F.array(F.col("word"), F.concat(F.col("second"), F.lit(" "), F.col("word")))
+    return rows.filter("word IS NOT NULL").withColumn("pattern", F.explode(F.array_compact(both)))
 
 
 def _uncovered(tokens: DataFrame, base: DataFrame) -> DataFrame:
     """The tokens that touch no base span, by running bounds per document."""
     both = tokens.withColumn("is_base", F.lit(False)).unionByName(
-        base.select("id", "text_hash", "kind", "from", "to", "match", "left").withColumn("is_base", F.lit(True))
+        base.withColumn("is_base", F.lit(True))
     )
     in_text = Window.partitionBy("id", "text_hash").orderBy("from", F.col("is_base").desc(), "to")
     before = in_text.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -133,48 +162,54 @@ def _uncovered(tokens: DataFrame, base: DataFrame) -> DataFrame:
     return marked.filter(~F.col("is_base") & free).drop("is_base", "reached", "next")
 
 
-def _bootstrap(base: DataFrame, tokens: DataFrame, scratch: Scratch) -> DataFrame:
+def _confidence(kind: str) -> Column:
+    """Of a pattern in a kind, over its distinct instances."""
+    known, possible = F.col("kind"), F.array_contains("forms", kind)
+    against = known.isNotNull() & (known != kind) | known.isNull() & ~possible
+    for_it = F.count_if(known == kind)
+    return for_it / (for_it + F.count_if(against) + DOUBTFUL * F.count_if(known.isNull() & possible) + PRIOR)
+
+
+def _trusted(known: DataFrame) -> DataFrame:
+    """pattern, kind, doubt: the kind that a pattern announces, if it does."""
+    sure = known.groupBy("pattern").agg(*[_confidence(kind).alias(kind) for kind in KINDS])
+    best = F.array_max(F.array(*[F.struct(F.col(k).alias("confidence"), F.lit(k).alias("kind")) for k in KINDS]))
+    sure = sure.select("pattern", best.alias("best")).filter(F.col("best.confidence") >= TRUSTED)
+    doubt = F.log(F.greatest(1 - F.col("best.confidence"), F.lit(1e-6)))
+    return sure.select("pattern", F.col("best.kind").alias("kind"), doubt.cast("decimal(10,6)").alias("doubt"))
+
+
+def _bootstrap(base: DataFrame, candidates: DataFrame, scratch: Scratch) -> DataFrame:
     """Further spans: id, text_hash, kind, from, to."""
-    edges = base.select("kind", _pattern_of(F.col("left")).alias("pattern"), F.lower("match").alias("instance"))
-    unknown = tokens.select(F.lit(None).cast("string").alias("kind"), "pattern", F.lower("match").alias("instance"))
-    graph = edges.unionByName(unknown).filter("pattern IS NOT NULL")
-    graph = scratch.save(graph.groupBy("pattern", "instance").agg(F.min("kind").alias("kind")))
+    instance = F.lower("match").alias("instance")
+    edges = _with_patterns(base).select("kind", "word", "pattern", instance)
+    unknown = _with_patterns(candidates).select(F.lit(None).cast("string").alias("kind"), "word", "pattern", instance)
+    graph = edges.unionByName(unknown).groupBy("word", "pattern", "instance").agg(F.min("kind").alias("kind"))
     forms = F.array_compact(F.array(*[F.when(F.col("instance").rlike(form), F.lit(kind)) for kind, form in FORMS.items()]))
-    accepted = trusted = None
-    for _ in range(ROUNDS):
-        known = graph
-        if accepted is not None:
-            new = accepted.select("instance", F.col("kind").alias("new_kind"))
-            known = graph.join(new, "instance", "left").select(
-                "pattern", "instance", F.coalesce("kind", "new_kind").alias("kind")
-            )
-        sizes = known.groupBy("pattern").agg(
-            F.count(F.lit(1)).alias("n"),
-            *[F.count_if(F.col("kind") == kind).alias(kind) for kind in KINDS],
-        )
-        best = F.array_max(F.array(*[F.struct(F.col(kind).alias("n"), F.lit(kind).alias("kind")) for kind in KINDS]))
-        trusted = sizes.withColumn("best", best).select(
-            "pattern", F.col("best.kind").alias("trusted_kind"),
-            F.col("best.n").alias("support"), (F.col("best.n") / F.col("n")).alias("confidence"),
-        ).filter(f"support >= {SUPPORT} AND confidence >= 0.5")
-        trusted = scratch.save(trusted)
+    graph = scratch.save(graph.withColumn("forms", forms))
+    accepted = scratch.save(graph.select("instance", "kind").limit(0))
+    bound = F.lit(math.log(1 - ACCEPT) + 1e-6).cast("decimal(10,6)")
+    while True:
+        new = accepted.select("instance", F.col("kind").alias("new"))
+        known = graph.join(new, "instance", "left").withColumn("kind", F.coalesce("kind", "new")).drop("new")
+        trusted = scratch.save(_trusted(known))
         doubts = (
-            known.filter("kind IS NULL")
-            .join(trusted, "pattern")
-            .filter(F.array_contains(forms, F.col("trusted_kind")))
-            .groupBy("instance", F.col("trusted_kind").alias("kind"))
-            .agg(F.sum(F.log(F.greatest(1 - F.col("confidence"), F.lit(1e-6)))).alias("doubt"))
-            .filter(F.col("doubt") <= F.log(F.lit(1 - ACCEPT + 1e-9)))
-        )
-        chosen = doubts.groupBy("instance").agg(F.min_by("kind", F.struct("doubt", "kind")).alias("kind"))
-        chosen = chosen if accepted is None else accepted.unionByName(chosen)
-        accepted = scratch.save(chosen)
-    found = (
-        tokens.drop("kind").withColumn("instance", F.lower("match"))
-        .join(accepted, "instance").join(trusted, "pattern")
-        .filter("kind = trusted_kind")
-    )
-    return found.select("id", "text_hash", "kind", "from", "to")
+            known.filter("kind IS NULL").drop("kind").join(trusted, "pattern")
+            .filter("array_contains(forms, kind)")
+            .groupBy("instance", "kind", "word").agg(F.min("doubt").alias("doubt"))
+            .groupBy("instance", "kind").agg(F.sum("doubt").alias("doubt"))
+            .filter(F.col("doubt") <= bound)
+        )
+        found = doubts.groupBy("instance").agg(F.min_by("kind", F.struct("doubt", "kind")).alias("kind"))
+        found = scratch.save(found)
+        if found.isEmpty():
+            break
+        more = scratch.save(accepted.unionByName(found))
+        scratch.drop(accepted, found, trusted)
+        accepted = more
+    named = candidates.drop("kind").withColumn("instance", F.lower("match")).join(accepted, "instance")
+    named = _with_patterns(named).join(trusted.select("pattern", "kind"), ["pattern", "kind"], "left_semi")
+    return named.select("id", "text_hash", "kind", "from", "to").distinct()
 
 
 def _count(spans: Column, kind: int) -> Column:
@@ -188,20 +223,19 @@ def _joined(spans: Column) -> Column:
 
 
 def personal_data(docs: DataFrame, scratch: Scratch, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """id, n_email, n_ip, n_card, n_phone, base_sha256, spans, added: one row
+    """id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_added: one row
     per document."""
     docs = docs.select(docs[id].alias("id"), docs[text].alias("text"))
     docs = docs.withColumn("text_hash", F.xxhash64("text"))
     marked = docs.filter("text RLIKE '[0-9@]'")
     marked = scratch.save(marked.dropDuplicates(["id", "text_hash"]))
-    found = _matches(marked, PATTERNS)
-    base = scratch.save(found.filter(_valid(F.col("kind"), F.col("match"))))
-    tokens = _matches(marked, {"token": TOKEN}).filter(
-        F.length("match").between(5, LONGEST)
-    )
-    tokens = tokens.withColumn("pattern", _pattern_of(F.col("left")))
-    tokens = scratch.save(_uncovered(tokens.drop("pattern"), base).withColumn("pattern", _pattern_of(F.col("left"))))
-    further = _bootstrap(base, tokens, scratch)
+    # few bytes, but much work each: dealt over all tasks, and so that the windows need no exchange
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    found = _matches(marked.repartition(tasks, "id", "text_hash"), PATTERNS | {"candidate": CANDIDATE})
+    found = scratch.save(found.filter((F.col("kind") == "candidate") | _valid(F.col("kind"), F.col("match"))))
+    base = found.filter("kind != 'candidate'")
+    candidates = scratch.save(_uncovered(found.filter("kind = 'candidate'"), base))
+    further = _bootstrap(base, candidates, scratch)
     spans = base.select("id", "text_hash", "kind", "from", "to", F.lit(True).alias("is_base")).unionByName(
         further.withColumn("is_base", F.lit(False))
     )
@@ -215,6 +249,8 @@ def personal_data(docs: DataFrame, scratch: Scratch, id: str = "doc_id", text: s
         _joined(F.col("base")).alias("base"), _joined(F.col("all")).alias("spans"),
         (F.size("all") - F.size("base")).cast("bigint").alias("n_added"),
     )
+    listed = scratch.save(listed)
+    scratch.drop(marked, found, candidates)
     same = docs["id"].eqNullSafe(listed["of"]) & (docs["text_hash"] == listed["of_hash"])
     joined = docs.select("id", "text_hash").join(listed, same, "left")
     return joined.select(

@@ -314,6 +314,79 @@ def test_contexts_discover_unseen_identifiers(spark, scratch):
     assert row["n_phone"] == 0 and row["spans"] == "phone:19:29" and row["n_added"] == 1
 
 
+def spans_by_definition(text):
+    """Base spans (kind, from, to): leftmost matches of the contract's patterns."""
+    patterns = {
+        "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+        "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+        "card": r"[0-9]([\x20-]?[0-9])+",
+        "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+    }
+
+    def luhn(digits):
+        doubled = [int(d) * (1 + k % 2) for k, d in enumerate(reversed(digits))]
+        return sum(v - 9 if v > 9 else v for v in doubled) % 10 == 0
+
+    found = []
+    for order, (kind, pattern) in enumerate(patterns.items()):
+        for m in re.finditer(pattern, text or ""):
+            digits = re.sub("[^0-9]", "", m.group())
+            passes = {
+                "email": lambda: True,
+                "ip": lambda m=m: all(int(part) <= 255 for part in m.group().split(".")),
+                "card": lambda digits=digits: 14 <= len(digits) <= 19 and luhn(digits),
+                "phone": lambda digits=digits: 10 <= len(digits) <= 15,
+            }
+            if passes[kind]():
+                found.append((m.start(), order, kind, m.end()))
+    return ",".join(f"{kind}:{start}:{end}" for start, _, kind, end in sorted(found))
+
+
+def test_base_spans_of_all_documents(spark, medium, scratch):
+    docs = spark.read.parquet(f"{medium}/documents.parquet")
+    wanted = {i: spans_by_definition(text) for i, text in texts(spark, medium)}
+    found = pii.personal_data(docs, scratch).collect()
+    assert {r["doc_id"]: r["base_sha256"] for r in found} == {i: hashlib.sha256(x.encode()).hexdigest() for i, x in wanted.items()}
+    assert sum(map(bool, wanted.values())) > 30
+
+
+def test_numbers_in_groups_are_discovered(spark, scratch):
+    rows = [(k, f"please dial number +1 234 555 {1000 + k} now") for k in range(30)]
+    numbers = ["(555) 123-4567", "030 123 45 67", "030/1234567", "555.123.4567"]
+    rows += [(100 + k, f"please dial number{' ' * 200}{x}, now") for k, x in enumerate(numbers)]
+    rows.append((200, "at 7 dial number 5551234567."))  # the words before reach over another number
+    rows += [(300, "page number 12 of 030 123 45 68"), (301, "number 5"), (302, "a" * 3000 + " 030 123 45 69")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r["doc_id"]: r for r in pii.personal_data(docs, scratch).collect()}
+    for k, x in enumerate(numbers):
+        assert found[100 + k]["spans"] == f"phone:218:{218 + len(x)}" and found[100 + k]["n_added"] == 1
+    assert found[200]["spans"] == "phone:17:27"
+    assert all(found[k]["n_added"] == 0 for k in (*range(30), 300, 301, 302))
+
+
+def test_chained_contexts_are_followed_to_their_end(spark, scratch):
+    """Every link of the chain is known by the numbers of the one before only."""
+    contexts = ["dial extension", "fax line", "pager code", "desk contact", "night bell"]
+    rows = [f"to dial extension +1 234 555 {1000 + k} please" for k in range(60)]
+    wanted = set()
+    for link, (one, next_one) in enumerate(zip(contexts, contexts[1:], strict=False)):
+        for k in range(36 - 8 * link):
+            number = f"{link + 2}34555{1000 + k}"
+            rows += [f"to {one} {number} please", f"to {next_one} {number} please"]
+            wanted.add(number)
+    rows += [f"to invoice total {7000000 + k} please" for k in range(50)]  # as long, but of no trusted context
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    found = set()
+    for r in pii.personal_data(docs, scratch).filter("n_added > 0").collect():
+        _, start, end = r["spans"].split(":")
+        found.add(rows[r["doc_id"]][int(start) : int(end)])
+    assert found == wanted
+
+
+def test_personal_data_of_an_empty_table(spark, odd, scratch):
+    assert pii.personal_data(odd.limit(0), scratch).count() == 0
+
+
 def test_scores_and_base_scores(spark, small):
     rows = texts(spark, small)
     tokens = {i: [*words(t, lower=True), None] for i, t in rows}
