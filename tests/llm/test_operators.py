@@ -387,6 +387,77 @@ def test_personal_data_of_an_empty_table(spark, odd, scratch):
     assert pii.personal_data(odd.limit(0), scratch).count() == 0
 
 
+class PlainTree:
+    """The suffix tree in plain Python, from the docstring of the module."""
+
+    def __init__(self, trained, least):
+        self.n = collections.Counter()
+        for tokens in trained:
+            for k in range(len(tokens)):
+                for size in range(1, min(k + 1, len(least) + 1) + 1):
+                    self.n[tuple(tokens[k - size + 1 : k + 1])] += 1
+        self.root = {run[0]: n for run, n in self.n.items() if len(run) == 1}
+        self.tokens = sum(self.root.values())
+        self.single = sum(n == 1 for n in self.root.values()) + 1
+        self.unknown = self.single / (self.tokens + 2)
+        self.kept, self.rest = collections.defaultdict(dict), {}
+        for run, n in self.n.items():
+            context = run[:-1]
+            if context and n >= suffix_model.KEPT and self.n[context] >= least[len(context) - 1]:
+                if self.root[run[-1]] >= least[0] / suffix_model.DEEPER:
+                    self.kept[context][run[-1]] = n
+        for context, kept in list(self.kept.items()):
+            total, short = self.n[context], context[1:]
+            of = self.n[short] if short else self.tokens
+            expected = {w: self.n[(*short, w)] / of for w in kept}
+            gain = sum(n * math.log(n / total / expected[w]) for w, n in kept.items())
+            other = total - sum(kept.values())
+            if other:
+                gain += other * math.log(other / (max(1 - sum(expected.values()), 1e-9) * total))
+            if 2 * gain > len(kept) + suffix_model.DIVERGENCE * math.sqrt(2 * len(kept)):
+                self.rest[context] = (other + suffix_model.DISCOUNT * len(kept)) / total
+
+    def chance(self, past, word):
+        p = self.root[word] * (1 - self.unknown) / self.tokens if word in self.root else 1 / (self.tokens + 2)
+        for size in range(1, len(past) + 1):
+            context = tuple(past[len(past) - size :])
+            if context in self.rest:
+                n = self.kept[context].get(word)
+                p = self.rest[context] * p + ((n - suffix_model.DISCOUNT) / self.n[context] if n else 0)
+        return p
+
+
+def symbols_of(spark, folder):
+    tokens = {i: [*words(t, lower=True), None] for i, t in texts(spark, folder)}
+    return tokens, [t for i, t in tokens.items() if zlib.crc32(str(i).encode()) % 7 != 2]
+
+
+@pytest.mark.parametrize("least", [[8.0, 12.0, 12.0], None])
+def test_scores_of_the_tree_by_definition(spark, medium, scratch, least):
+    tokens, trained = symbols_of(spark, medium)
+    bounds = least or suffix_model.least_counts(sum(map(len, trained)), suffix_model.DEPTH)
+    tree = PlainTree(trained, bounds)
+    depths = collections.Counter(map(len, tree.rest))
+    assert all(depths[k] for k in range(1, len(bounds) + 1))
+    docs = spark.read.parquet(f"{medium}/documents.parquet")
+    for r in suffix_model.score_texts(docs, scratch, least=least).collect():
+        own = tokens[r["doc_id"]]
+        wanted = sum(math.log10(tree.chance(own[max(0, k - len(bounds)) : k], w)) for k, w in enumerate(own))
+        assert r["score"] == pytest.approx(wanted, rel=1e-9)
+
+
+def test_the_tree_grows_and_its_states_sum_up_to_one(spark, small, medium):
+    sizes = []
+    for folder in (small, medium):
+        _, trained = symbols_of(spark, folder)
+        tree = PlainTree(trained, suffix_model.least_counts(sum(map(len, trained)), suffix_model.DEPTH))
+        sizes.append(len(tree.rest))
+        for context in [(), *sorted(tree.rest, key=tree.n.get)[-3:]]:
+            known = sum(tree.chance(context, w) for w in tree.root)
+            assert known + tree.single * tree.chance(context, "\n") == pytest.approx(1)
+    assert sizes[1] > 2 * sizes[0] > 0
+
+
 def test_scores_and_base_scores(spark, small):
     rows = texts(spark, small)
     tokens = {i: [*words(t, lower=True), None] for i, t in rows}
