@@ -19,7 +19,11 @@ line is then verified on the words.
 Most lines have no neighbour. The edit lies in one third of the line and leaves
 the others as they are, so only lines that share two of their thirds with a
 different line emit variants: three keys a line for its class of lengths, and
-for the next class where a line one word longer falls into that.
+for the next class where a line one word longer falls into that. Of these, a line
+emits the variants without a word of the thirds that it does not share, and itself.
+
+Whole texts are dealt twice, to fetch lines and to cut, each time to a hash table
+of the few rows they meet: by one plan for any size, without sorting texts.
 
 A null text stays null and has no lines. Rows that repeat id and text are one
 document, and are cut alike. A null id is later than any other. An empty table
@@ -28,6 +32,8 @@ gives an empty result; other columns pass unchanged, whatever their names.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -38,43 +44,59 @@ MIN_WORDS = 5
 NEAR_WORDS = 10
 SHORTEST, SHORTEST_NEAR = 1, 5  # of the registered query and the pipeline
 CLASS = 3  # lengths for which thirds are cut alike
+_SHARES = ("shares_0", "shares_1", "shares_2")  # the parts of a line's own class that it shares
+
+_BLANKS = r"[\t\x0B\f\r]"  # that end a word, besides spaces and line ends
 
 _PLACE = ("late", "id", "text_hash", "at")  # where a line stands; smallest is earliest
 
 
-def _parts(words: Column, longer: Column) -> list[Column]:
+def _thirds(longer: Column) -> tuple[Column, Column, Column]:
+    """The smallest length of a line's class, and how many words all but one of
+    its thirds and a third of it have."""
+    length = longer - longer % CLASS
+    third = F.floor((length - 1) / 3).cast("int")
+    return length, length - 1 - third, third + 1
+
+
+def _parts(line: Column, longer: Column) -> list[Column]:
     """Keys of the words that a line shares with one within an edit, if the
     longer of the two is this long: all but the last third, all but the first,
     or both of these. Thirds are those of the smallest length of the class, so
     that they cover the edits of every longer one."""
-    length = longer - longer % CLASS
-    third = F.floor((length - 1) / 3).cast("int")
-    long, short = length - 1 - third, third + 1
-    last = lambda n: F.slice(words, F.size(words) - n + 1, n)
-    parts = (F.slice(words, F.lit(1), long), last(long), F.concat(F.slice(words, F.lit(1), short), last(short)))
-    return [F.xxhash64(F.lit(k), length, part) for k, part in enumerate(parts)]
+    length, long, short = _thirds(longer)
+    some = lambda n: F.call_function("substring_index", line, F.lit(" "), n)
+    parts = ([some(long)], [some(-long)], [some(short), some(-short)])
+    return [F.xxhash64(F.lit(k), length, *part) for k, part in enumerate(parts)]
 
 
 def _line_table(docs: DataFrame, id: str, text: str, least: int, near: int) -> DataFrame:
     """A row for every line of at least ``least`` words: its place, two hashes
     of its words, its length, and the keys of its parts."""
 
-    def describe(words: Column, at: Column) -> Column:
-        length = F.size(words)
-        parts = _parts(words, length)
+    def describe(line: Column, length: Column, at: Column) -> Column:
+        parts = _parts(line, length)
         at_end = (length + 1) % CLASS == 0  # a line one word longer is of the next class
-        keys = F.when(at_end, F.array(*parts, *_parts(words, length + 1))).otherwise(F.array(*parts))
+        keys = F.when(at_end, F.array(*parts, *_parts(line, length + 1))).otherwise(F.array(*parts))
         return F.struct(
             at.alias("at"), length.alias("length"),
-            F.xxhash64(words).alias("h1"), F.xxhash64(F.lit(1), words).alias("h2"),
+            F.xxhash64(line).alias("h1"), F.xxhash64(F.lit(1), line).alias("h2"),
             F.when(length >= near, keys).alias("parts"),
         )
 
+    def single(line: Column) -> Column:
+        """The words of a line with one space between them."""
+        return let(F.trim(line), lambda x: F.when(F.contains(x, F.lit("  ")), F.regexp_replace(x, " +", " ")).otherwise(x))
+
+    def count(line: Column) -> Column:
+        spaces = F.octet_length(line) - F.octet_length(F.replace(line, F.lit(" "), F.lit("")))
+        return F.when(line == "", 0).otherwise(spaces + 1)
+
+    def described(line: Column, at: Column) -> Column:
+        return let(single(line), lambda bare: let(count(bare), lambda length: describe(bare, length, at)))
+
+    lines = F.transform(F.split(F.regexp_replace(docs[text], _BLANKS, " "), "\n"), described)
     # before the rows are made: a filter on them would split every line twice
-    lines = F.transform(
-        F.split(docs[text], "\n"),
-        lambda line, at: let(F.regexp_extract_all(line, F.lit(WORD), F.lit(0)), lambda words: describe(words, at)),
-    )
     long = F.filter(lines, lambda line: line["length"] >= least)
     rows = docs.select(
         docs[id].isNull().alias("late"), docs[id].alias("id"),
@@ -84,22 +106,27 @@ def _line_table(docs: DataFrame, id: str, text: str, least: int, near: int) -> D
 
 
 def _active(firsts: DataFrame) -> DataFrame:
-    """Of the distinct lines those that share parts with another, by one hash; a
-    line that has the same by chance is one candidate more."""
-    shared = firsts.filter("parts IS NOT NULL").select("h1", F.explode("parts").alias("part"))
+    """Of the distinct lines those that share parts with another, by one hash, and
+    which of their own class they share; a line that has the same by chance is one
+    candidate more."""
+    shared = firsts.filter("parts IS NOT NULL").select("h1", F.posexplode("parts").alias("which", "part"))
     bounds = shared.groupBy("part").agg(F.min("h1").alias("low"), F.max("h1").alias("high"))
     several = bounds.filter("low != high").select("part")
-    return shared.join(several, "part", "left_semi").select("h1").distinct()
+    several = shared.join(several, "part", "left_semi")
+    return several.groupBy("h1").agg(*[F.bool_or(F.col("which") == k).alias(name) for k, name in enumerate(_SHARES)])
 
 
 def _variants(active: DataFrame) -> DataFrame:
-    """active (place, h1, h2, words) -> (key, side, place): side 0 for a
+    """active (place, h1, h2, shares, words) -> (key, side, place): side 0 for a
     word left out at a known place, 1 for the whole line, 2 for any word left
-    out. The hash of a sequence is the XOR of its words' hashes with places, so
+    out. Words are left out where a shared part leaves room for the edit. The hash of a sequence is the XOR of its words' hashes with places, so
     that leaving one out takes running XORs, not time that grows squared."""
     line = Window.partitionBy("h1", "h2")
     ahead = line.orderBy("k").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    words = active.select("place", "h1", "h2", F.size("words").alias("n"), F.posexplode("words").alias("k", "word"))
+    # dealt as lines, of which the words are made in place
+    words = active.repartition("h1", "h2").select(
+        "place", "h1", "h2", *_SHARES, F.size("words").alias("n"), F.posexplode("words").alias("k", "word")
+    )
     words = words.withColumns({"a": F.xxhash64("k", "word"), "b": F.xxhash64(F.col("k") - 1, "word")})
     words = words.withColumns(
         {
@@ -109,15 +136,18 @@ def _variants(active: DataFrame) -> DataFrame:
         }
     )
     rest = F.col("before").bitwiseXOR(F.col("after"))
-    length = F.col("n")
+    length, k = F.col("n"), F.col("k")
+    _, long, short = _thirds(length)
+    room = (k >= long, k < length - long, (k >= short) & (k < length - short))
+    edit = functools.reduce(Column.__or__, [F.col(shares) & here for shares, here in zip(_SHARES, room, strict=True)])
     keys = F.array(
-        F.struct(F.xxhash64(F.lit(0), rest, length, "k").alias("key"), F.lit(0).alias("side")),
-        F.struct(F.xxhash64(F.lit(1), rest, length - 1).alias("key"), F.lit(2).alias("side")),
-        F.when(F.col("k") == 0, F.struct(F.xxhash64(F.lit(1), "whole", length).alias("key"), F.lit(1).alias("side"))),
+        F.when(edit, F.struct(F.xxhash64(F.lit(0), rest, length, "k").alias("key"), F.lit(0).alias("side"))),
+        F.when(edit, F.struct(F.xxhash64(F.lit(1), rest, length - 1).alias("key"), F.lit(2).alias("side"))),
+        F.when(k == 0, F.struct(F.xxhash64(F.lit(1), "whole", length).alias("key"), F.lit(1).alias("side"))),
     )
-    keyed = words.select("place", "h1", "h2", F.explode(F.array_compact(keys)).alias("of"))
-    # the variants of a line are together already: no shuffle to make them distinct
-    return keyed.select("of.key", "of.side", "place", "h1", "h2").distinct().select("key", "side", "place")
+    # a word that repeats gives a variant twice: no more rows than words, and no harm
+    keyed = words.select("place", F.explode(F.array_compact(keys)).alias("of"))
+    return keyed.select("of.key", "of.side", "place")
 
 
 def within_one_edit(a: Column, b: Column) -> Column:
@@ -142,22 +172,21 @@ def _near_lines(
     docs: DataFrame, firsts: DataFrame, active: DataFrame, scratch: Scratch, id: str, text: str, shortest: int
 ) -> DataFrame:
     """(h1, h2) of the lines that have an earlier one within one edit."""
-    chosen = scratch.save(firsts.join(active, "h1", "left_semi"))
     by_doc = scratch.save(
-        chosen.groupBy("first.late", "first.id", "first.text_hash")
-        .agg(F.collect_list(F.struct("h1", "h2", F.col("first.at").alias("at"))).alias("lines"))
+        firsts.join(active, "h1").groupBy("first.late", "first.id", "first.text_hash")
+        .agg(F.collect_list(F.struct("h1", "h2", *_SHARES, F.col("first.at").alias("at"))).alias("lines"))
         .withColumnsRenamed({"id": "of", "text_hash": "of_hash"})
-    )
+    )
     docs = docs.select(docs[id].alias("doc"), docs[text].alias("text"))
     same = docs["doc"].eqNullSafe(by_doc["of"]) & (F.xxhash64(docs["text"]) == by_doc["of_hash"])
-    found = docs.join(by_doc, same).select(
+    found = docs.join(by_doc.hint("shuffle_hash"), same).select(
         "late", F.col("of").alias("id"), F.col("of_hash").alias("text_hash"),
         F.split(docs["text"], "\n").alias("all_lines"), F.explode("lines").alias("line"),
     )
     words = F.regexp_extract_all(F.get("all_lines", "line.at"), F.lit(WORD), F.lit(0))
     found = found.select("late", "id", "text_hash", "line.*", words.alias("words"))
     found = found.filter(F.size("words") >= shortest)
-    found = found.select(F.struct(*_PLACE).alias("place"), "h1", "h2", "words").dropDuplicates(["h1", "h2"])
+    found = found.select(F.struct(*_PLACE).alias("place"), "h1", "h2", *_SHARES, "words").dropDuplicates(["h1", "h2"])
     found = scratch.save(found)
     variants = scratch.save(_variants(found))
     earliest = variants.groupBy("key").agg(
@@ -171,7 +200,7 @@ def _near_lines(
     checked = pairs.join(mine, "place").join(theirs, "other")
     near = checked.filter(within_one_edit(F.col("words"), F.col("other_words")))
     near = scratch.save(near.select("h1", "h2").distinct())
-    scratch.drop(chosen, by_doc, found, variants)
+    scratch.drop(by_doc, found, variants)
     return near
 
 
@@ -183,11 +212,16 @@ def dropped_lines(
     document that loses any."""
     lines = scratch.save(_line_table(docs, id, text, least, near))
     firsts = scratch.save(
-        lines.groupBy("h1", "h2").agg(F.min(F.struct(*_PLACE)).alias("first"), F.max("parts").alias("parts"))
-    )
+        lines.groupBy("h1", "h2").agg(
+            F.min(F.struct(*_PLACE)).alias("first"), F.max("parts").alias("parts"),
+            (F.count(F.lit(1)) > 1).alias("repeated"),
+        )
+    )
     active = scratch.save(_active(firsts))
-    close = _near_lines(docs, firsts.drop("parts"), active, scratch, id, text, near)
-    marked = firsts.drop("parts").join(close.withColumn("near", F.lit(True)), ["h1", "h2"], "left")
+    firsts_only = firsts.drop("parts")
+    close = _near_lines(docs, firsts_only.drop("repeated"), active, scratch, id, text, near)
+    repeated = firsts_only.filter("repeated").drop("repeated")
+    marked = repeated.join(close.withColumn("near", F.lit(True)), ["h1", "h2"], "full")
     known = lines.drop("parts").join(marked, ["h1", "h2"])
     gone = known.filter((F.struct(*_PLACE) != F.col("first")) | F.col("near"))
     found = gone.groupBy("id", "text_hash").agg(F.array_sort(F.collect_set("at")).alias("dropped"))
@@ -206,7 +240,7 @@ def without_repeated_lines(
     of, of_hash, dropped, lines, lost = fresh(docs, "of", "of_hash", "dropped", "n_lines", "n_removed")
     found = found.toDF(of, of_hash, dropped)
     same = docs[id].eqNullSafe(found[of]) & (F.xxhash64(docs[text]) == found[of_hash])
-    joined = docs.join(found, same, "left")
+    joined = docs.join(found.hint("shuffle_hash"), same, "left")
 
     def cut(every: Column) -> Column:
         places = F.array_except(F.sequence(F.lit(0), F.size(every) - 1), F.col(dropped))

@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import math
+import random
 import re
 import zlib
 
@@ -207,6 +208,60 @@ def test_the_query_and_the_stage_drop_short_lines_as_well(spark, tmp_path):
         assert row["kept_sha256"] == hashlib.sha256(wanted[row["doc_id"]].encode()).hexdigest()
 
 
+def test_variants_leave_out_only_words_where_the_edit_can_be(spark, scratch):
+    shared = [f"w{k}" for k in range(30)]
+    lines = [shared, [*shared[:29], "x"], ["y", *shared[1:]], [*shared[:15], "z", *shared[15:]], ["alone"] * 30]
+    docs = spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(lines)], "doc_id long, text string")
+    table = line_dedup._line_table(docs, "doc_id", "text", 1, 5)
+    firsts = table.select("h1", "h2", "parts", F.struct("late", "id", "text_hash", "at").alias("first"))
+    active = line_dedup._active(firsts)
+    found = firsts.join(active, "h1").join(docs, F.col("first.id") == docs["doc_id"])
+    found = found.select(F.col("first").alias("place"), "h1", "h2", *line_dedup._SHARES, F.split("text", " ").alias("words"))
+    counts = line_dedup._variants(found).groupBy("place.id").count().collect()
+    # each edited line shares one part: the whole, and two variants for each word of a third
+    assert {i: n for i, n in counts if i in (1, 2, 3)} == pytest.approx({1: 21, 2: 21, 3: 21}, abs=4)
+    assert 4 not in dict(counts)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_near_lines_of_odd_blanks_by_brute_force(spark, scratch, seed):
+    rng = random.Random(seed)
+    blanks = [" ", "  ", "\t", " \r", "\x0b\f ", "   "]
+    rows, lines = [], [[rng.choice("abcd") for _ in range(rng.randint(1, 14))] for _ in range(25)]
+    for i in range(60):
+        text = []
+        for _ in range(rng.randint(0, 4)):
+            w = list(rng.choice(lines))
+            for _ in range(rng.choice([0, 0, 1, 1, 2])):
+                at, kind = rng.randrange(len(w) + 1), rng.randrange(3)
+                w[at : at + (kind > 0)] = [rng.choice("abcdX\u00a0")] if kind < 2 else []
+            text.append("".join(x + rng.choice(blanks) for x in ["", *w]) if rng.random() < 0.5 else " ".join(w))
+        rows.append((i, rng.choice([None, ""]) if not text else "\n".join(text)))
+
+    def near(a, b):
+        if len(a) == len(b):
+            return sum(x != y for x, y in zip(a, b, strict=True)) <= 1
+        long, short = (a, b) if len(a) > len(b) else (b, a)
+        return any(long[:k] + long[k + 1 :] == short for k in range(len(long)))
+
+    seen, wanted, n_near = [], {}, 0
+    for i, text in rows:
+        kept = []
+        for line in (text or "").split("\n"):
+            w = tuple(words(line))
+            close = [x for x in seen if x != w and min(len(x), len(w)) >= 5 and near(x, w)]
+            n_near += bool(close) and w not in seen
+            if not w or (w not in seen and not close):
+                kept.append(line)
+            if w:
+                seen.append(w)
+        wanted[i] = None if text is None else "\n".join(kept)
+    assert n_near > 10
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    cut, _, _ = line_dedup.without_repeated_lines(docs, scratch, least=1, near=5)
+    assert {r["doc_id"]: r["text"] for r in cut.collect()} == wanted
+
+
 def test_base_rules_by_definition(spark, small):
     for row in queries.op4_quality_rules(spark, small).join(
         spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text"), "doc_id"
