@@ -4,8 +4,8 @@ Symbols are the words of the training texts and an end after each text. A node o
 the tree is a run of one to ``DEPTH`` words as a context; the root is the
 distribution of single symbols. Unknown words share the mass that words seen once
 suggest (Good-Turing), as if there were as many of them. A context is counted if
-it occurs often enough for its depth: a share of the square root of the training
-tokens, so that the tree grows with the corpus, by that root. It is retained if
+it occurs ``LEAST`` times, in a corpus of any size, so that the tree grows with the
+corpus and none of its contexts is lost when texts are added. It is retained if
 what follows it diverges from what follows the context without its first word by
 more than chance explains: a likelihood-ratio test over the followers seen
 ``KEPT`` times and one class of all others. A token is scored in the longest
@@ -15,9 +15,10 @@ suffix does, so that every state's probabilities sum up to one.
 
 Contexts and followers are Spark tables, whatever their number. Texts are dealt
 by hash into batches of about ``BATCH_BYTES``. A batch sends its distinct words
-with their counts and receives the totals; then it sends its distinct runs of
-words that are each frequent enough for the run to be, and receives the model's
-rows for those that it holds. Nothing is broadcast or gathered, and a word that is
+with their counts and receives the totals. Then, depth by depth, it sends its
+distinct runs of words as a context and the symbol after it, if both are frequent
+enough, and receives the contexts among them that are counted. Last it receives the
+model's rows for the runs that it holds. Nothing is broadcast or gathered, and a word that is
 everywhere is one row per batch.
 
 A null text is empty: its only token is the end. A very long text makes its batch
@@ -41,15 +42,13 @@ from fleetscope.llm import words
 from fleetscope.sinks.storage import Scratch
 
 DEPTH = 2
-ROOT_SHARE = 0.25  # of the square root of the training tokens: least count of a context of one word
-DEEPER = 4  # times as often, with every further word
-LEAST = 32  # of any context
+LEAST = 32  # occurrences of any context
+DEEPER = 4  # a follower's symbol occurs at least a context's least count by this
 KEPT = 3
 DISCOUNT = 0.75
 DIVERGENCE = 5.0  # standard deviations of the test statistic
 BATCH_BYTES = 16 << 20
 END = np.uint64(0x9FB21C651E98DF25)  # the end of a text, as a word hash
-_FOLLOWED = np.uint64(0x9E3779B97F4A7C15)
 
 
 def held_out(id: Column) -> Column:
@@ -100,29 +99,30 @@ def _vocabulary(batched: DataFrame) -> DataFrame:
 
 
 def least_counts(tokens: int, depth: int) -> list[float]:
-    """How often contexts of 1, 2, ... words occur at least."""
-    return [max(LEAST, ROOT_SHARE * math.sqrt(tokens) * DEEPER**k) for k in range(depth)]
+    """How often contexts of 1, 2, ... words occur at least: as often among any
+    number of training tokens."""
+    return [float(LEAST)] * depth
 
 
 def _follow(context: np.ndarray, symbol: np.ndarray) -> np.ndarray:
-    """The node of a context and the symbol after it."""
-    return words.mix(words.mix(context) * _FOLLOWED + symbol)
+    """The node of a context and the symbol after it: ``xxhash64`` of both."""
+    return words.xxhash64(context, symbol)
 
 
-def _nodes(hashes: np.ndarray, first: np.ndarray, counts: np.ndarray, least: list[float]) -> Iterator[tuple]:
-    """For each depth: the places of tokens that may end a counted run, the node
-    of the run, its context, and the node of the run without its first word."""
+def _runs_at(hashes: np.ndarray, first: np.ndarray, counts: np.ndarray, counted: np.ndarray, least: list[float], depth: int) -> tuple:
+    """The places of tokens after a counted context of so many words, and the
+    contexts; ``counted`` are the sorted nodes of those of two words or more."""
     place = words.ranges(np.zeros(len(first) - 1, dtype=np.int64), np.diff(first))
-    shorter = hashes
-    for depth, bound in enumerate(least, 1):
-        before = np.flatnonzero((place >= depth) & (counts >= least[0] / DEEPER))
-        for back in range(1, depth + 1):
-            before = before[counts[before - back] >= bound]
-        context = shorter[before - 1]  # a run of depth words, as a node of the depth before
-        node = np.zeros(len(hashes), dtype=np.uint64)
-        node[before] = _follow(context, hashes[before])
-        yield before, node[before], context, shorter[before]
-        shorter = node
+    at = np.flatnonzero((place >= depth) & (counts >= least[0] / DEEPER))
+    for back in range(1, depth + 1):  # every word is as frequent as the context
+        at = at[counts[at - back] >= least[depth - 1]]
+    context = hashes[at - depth]
+    for back in range(depth - 1, 0, -1):
+        context = _follow(context, hashes[at - back])
+    if depth > 1:
+        some = _lookup(context, counted, np.ones(len(counted)), 0.0) > 0
+        at, context = at[some], context[some]
+    return at, context
 
 
 def _lookup(keys: np.ndarray, sorted_keys: np.ndarray, values: np.ndarray, missing: float) -> np.ndarray:
@@ -139,54 +139,73 @@ def _sorted_rows(table: pa.Table, key: str, *columns: str) -> list[np.ndarray]:
     return [keys[order], *(table.column(c).to_numpy()[order] for c in columns)]
 
 
-def _runs(dealt: DataFrame, totals: DataFrame, least: list[float]) -> DataFrame:
-    """(batch, depth, node, context, shorter, n): the distinct runs of each batch
-    that may be frequent, with their training counts."""
-    schema = "batch int, depth int, node bigint, context bigint, shorter bigint, n bigint"
-    names = ["batch", "depth", "node", "context", "shorter", "n"]
+def _runs(dealt: DataFrame, given: DataFrame, least: list[float], depth: int) -> DataFrame:
+    """(batch, context, symbol, n): the distinct runs of each batch after counted
+    contexts of so many words, with their training counts. ``given``: rows (batch,
+    node, total, of_depth) of the words and of the counted contexts."""
+    names = ["batch", "context", "symbol", "n"]
 
-    def distinct(parts: list[tuple]) -> list[np.ndarray]:
-        node, context, shorter, n = (np.concatenate(column) for column in zip(*parts, strict=True))
-        node, at, which = np.unique(node, return_index=True, return_inverse=True)
-        summed = np.bincount(which, weights=n, minlength=len(node)).astype(np.int64)
-        return [node, context[at], shorter[at], summed]
+    def distinct(context: np.ndarray, symbol: np.ndarray, n: np.ndarray) -> list[np.ndarray]:
+        _, at, which = np.unique(_follow(context, symbol), return_index=True, return_inverse=True)
+        return [context[at], symbol[at], np.bincount(which, weights=n, minlength=len(at)).astype(np.int64)]
 
-    def emit(texts: pa.Table, counted: pa.Table) -> pa.Table:
-        known, total = _sorted_rows(counted, "word", "total")
-        parts: list[list[tuple]] = [[] for _ in least]
+    def emit(texts: pa.Table, given: pa.Table) -> pa.Table:
+        of_depth = given.column("of_depth").to_numpy()
+        known, total = _sorted_rows(given.filter(pa.array(of_depth == 0)), "node", "total")
+        counted = _sorted_rows(given.filter(pa.array(of_depth > 0)), "node")[0]
+        found = []
         number = 0
         for batch in words.slices(iter(texts.to_batches())):
             number = batch.column("batch")[0].as_py()
             hashes, first = _tokens(batch.column("text"))
             train = np.repeat(~batch.column("held_out").to_numpy(zero_copy_only=False), np.diff(first))
-            counts = _lookup(hashes, known, total, 0)
-            for found, (at, *run) in zip(parts, _nodes(hashes, first, counts, least), strict=True):
-                found.append(tuple(distinct([(*run, train[at].astype(np.int64))])))
-        tables = []
-        for depth, found in enumerate(parts, 1):
-            if found:
-                node, context, shorter, n = distinct(found)
-                fixed = [np.full(len(node), x, dtype=np.int32) for x in (number, depth)]
-                keys = [words.signed(x) for x in (node, context, shorter)]
-                tables.append(pa.table([pa.array(x) for x in (*fixed, *keys, n)], names))
-        kinds = [pa.int32(), pa.int32(), *[pa.int64()] * 4]
-        return pa.concat_tables(tables) if tables else pa.table([pa.array([], k) for k in kinds], names)
-
-    return dealt.groupBy("batch").cogroup(totals.groupBy("batch")).applyInArrow(emit, schema)
-
-
-def _grow(runs: DataFrame, root: DataFrame, tokens: int, least: list[float], scratch: Scratch) -> tuple[DataFrame, DataFrame]:
-    """The model from the runs (depth, node, context, shorter, total) and the
+            order = np.argsort(hashes)  # sorted look-ups stay in the cache
+            counts = np.empty(len(hashes))
+            counts[order] = _lookup(hashes[order], known, total, 0)
+            at, context = _runs_at(hashes, first, counts, counted, least, depth)
+            found.append(distinct(context, hashes[at], train[at].astype(np.int64)))
+        if not found:
+            return pa.table([pa.array([], k) for k in (pa.int32(), *[pa.int64()] * 3)], names)
+        context, symbol, n = distinct(*(np.concatenate(column) for column in zip(*found, strict=True)))
+        of = np.full(len(n), number, dtype=np.int32)
+        return pa.table([pa.array(x) for x in (of, words.signed(context), words.signed(symbol), n)], names)
+
+    schema = "batch int, context bigint, symbol bigint, n bigint"
+    return dealt.groupBy("batch").cogroup(given.groupBy("batch")).applyInArrow(emit, schema)
+
+
+def _count_runs(dealt: DataFrame, totals: DataFrame, least: list[float], scratch: Scratch) -> list[DataFrame]:
+    """For each depth (batch, context, symbol, node, total, once): the runs that
+    occur ``KEPT`` times or more after a counted context."""
+    known = totals.select("batch", F.col("word").alias("node"), "total", F.lit(0).alias("of_depth"))
+    given, levels = known, []
+    by_run = Window.partitionBy("context", "symbol")
+    for depth in range(1, len(least) + 1):
+        found = _runs(dealt, given, least, depth).withColumns(
+            {"total": F.sum("n").over(by_run), "once": F.row_number().over(by_run.orderBy("batch")) == 1}
+        )
+        level = scratch.save(found.filter(F.col("total") >= KEPT).drop("n"))
+        levels.append(level.withColumn("node", F.xxhash64("context", "symbol")))
+        if depth < len(least):
+            counted = levels[-1].filter(F.col("total") >= least[depth])
+            given = known.unionByName(counted.select("batch", "node", "total", F.lit(depth).alias("of_depth")))
+    return levels
+
+
+def _grow(levels: list[DataFrame], root: DataFrame, tokens: int, least: list[float], scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """The model from the runs of each depth (context, symbol, node, total) and the
     words (node, n): rows (node, mass) of kept followers, and (node, depth, rest)
     of retained contexts; ``rest`` is the mass they leave to the next shorter."""
-    above = root.withColumn("share", F.col("n") / max(tokens, 1))
+    above = root.withColumns({"share": F.col("n") / max(tokens, 1), "shorter": F.lit(None).cast("bigint")})
     followers, contexts = [], []
-    for depth, bound in enumerate(least, 1):
-        of = above.select(F.col("node").alias("context"), F.col("n").alias("total_of"))
+    for depth, (bound, runs) in enumerate(zip(least, levels, strict=True), 1):
+        of = above.select(F.col("node").alias("context"), F.col("n").alias("total_of"), F.col("shorter").alias("short"))
         without = above.select(F.col("node").alias("shorter"), F.col("share").alias("expected"))
-        level = runs.filter(F.col("depth") == depth).join(of.filter(F.col("total_of") >= bound), "context")
+        level = runs.join(of.filter(F.col("total_of") >= bound), "context")
+        # the same run after the context without its first word
+        level = level.withColumn("shorter", F.col("symbol") if depth == 1 else F.xxhash64("short", "symbol"))
         level = level.join(without, "shorter").select(
-            "node", "context", "expected", "total_of", F.col("total").alias("n"), (F.col("total") / F.col("total_of")).alias("share")
+            "node", "context", "shorter", "expected", "total_of", F.col("total").alias("n"), (F.col("total") / F.col("total_of")).alias("share")
         )
         level = scratch.save(level)
         sums = level.groupBy("context").agg(
@@ -202,7 +221,7 @@ def _grow(runs: DataFrame, root: DataFrame, tokens: int, least: list[float], scr
         mass = ((F.col("n") - DISCOUNT) / F.col("total_of")).alias("mass")
         followers.append(level.join(retained, "context", "left_semi").select("node", mass))
         contexts.append(retained.select(F.col("context").alias("node"), F.lit(depth).alias("of_depth"), "rest"))
-        above = level.select("node", "n", "share")
+        above = level.select("node", "n", "share", "shorter")
     return functools.reduce(DataFrame.unionByName, followers), functools.reduce(DataFrame.unionByName, contexts)
 
 
@@ -254,15 +273,13 @@ def score_texts(
     tokens, distinct = summed["tokens"] or 0, summed["distinct"]
     unknown = (summed["single"] + 1) / (tokens + 2)
     least = least or least_counts(tokens, depth)
-    found = _runs(narrow, totals.select("batch", "word", "total"), least)
-    by_node = Window.partitionBy("node")
-    found = found.withColumn("total", F.sum("n").over(by_node)).withColumn("once", F.row_number().over(by_node.orderBy("batch")) == 1)
-    runs = scratch.save(found.filter(F.col("total") >= KEPT).drop("n"))
+    levels = _count_runs(narrow, totals, least, scratch)
     root = each.select(F.col("word").alias("node"), F.col("total").alias("n"))
-    followers, contexts = _grow(runs.filter("once").drop("once", "batch"), root, tokens, least, scratch)
-    here = totals.select("batch", F.col("word").alias("node"), "total", F.lit(1).alias("of_depth")).unionByName(
-        runs.select("batch", "node", F.lit(None).cast("bigint").alias("total"), (F.col("depth") + 1).alias("of_depth"))
-    )
+    followers, contexts = _grow([level.filter("once") for level in levels], root, tokens, least, scratch)
+    here = totals.select("batch", F.col("word").alias("node"), "total", F.lit(1).alias("of_depth"))
+    for depth, level in enumerate(levels, 1):
+        runs = level.select("batch", "node", F.lit(None).cast("bigint").alias("total"), F.lit(depth + 1).alias("of_depth"))
+        here = here.unionByName(runs)
     rows = here.join(followers, "node", "left").join(contexts, ["node", "of_depth"], "left")
     rows = rows.filter("total IS NOT NULL OR mass IS NOT NULL OR rest IS NOT NULL").select(
         "batch", "node", F.col("total").cast("double").alias("total"),

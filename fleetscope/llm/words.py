@@ -38,6 +38,23 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+def xxhash64(*columns: np.ndarray) -> np.ndarray:
+    """Spark's ``xxhash64`` of columns of 64-bit values."""
+    one, two, three, four, five = (
+        np.uint64(x)
+        for x in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5)
+    )
+    found = np.full(len(columns[0]), 42, dtype=np.uint64)
+    for x in columns:
+        x = x * two
+        found = (found + five + np.uint64(8)) ^ (((x << np.uint64(31)) | (x >> np.uint64(33))) * one)
+        found = ((found << np.uint64(27)) | (found >> np.uint64(37))) * one + four
+        found = (found ^ (found >> np.uint64(33))) * two
+        found = (found ^ (found >> np.uint64(29))) * three
+        found = found ^ (found >> np.uint64(32))
+    return found
+
+
 def _power(base: np.uint64, n: int) -> np.ndarray:
     """base ** 0 .. base ** (n - 1), modulo 2 ** 64."""
     known = _powers.get(base)

@@ -7,6 +7,7 @@ import random
 import re
 import zlib
 
+import numpy as np
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -15,6 +16,7 @@ from fleetscope.llm import (
     decontamination, host_rules, line_dedup, mixing, ngram_join, pii, queries, stages, substring_dedup,
     suffix_model, token_counts, toxicity,
 )
+from fleetscope.llm import words as words_of_texts
 from fleetscope.sinks.storage import Scratch
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -513,6 +515,26 @@ def test_the_tree_grows_and_its_states_sum_up_to_one(spark, small, medium):
     assert sizes[1] > 2 * sizes[0] > 0
 
 
+def test_contexts_are_counted_alike_in_a_corpus_of_any_size(spark, scratch):
+    assert suffix_model.least_counts(1_000, 2) == suffix_model.least_counts(10**12, 2) == [suffix_model.LEAST] * 2
+    kept = [f"{a} then {b}" for a, b in [("red", "one"), ("blue", "two")] for _ in range(60)]
+    scores = []
+    for more in (0, 4_000):
+        rows = [*kept, *[f"f{k % 50} g{k * 7 % 90} h{k * 11 % 70} i j k l m" for k in range(more)]]
+        docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+        scored = {r["doc_id"]: r["score"] - r["base_score"] for r in suffix_model.score_texts(docs, scratch).collect()}
+        scores.append(scored[0])
+    # what stands after "then" depends on the word before: known with other texts as well
+    assert scores[0] > 1 and scores[1] > 3
+
+
+def test_nodes_are_sparks_hashes(spark):
+    rows = [(0, 0), (-1, 5), (1 << 62, -(1 << 63)), (123456789, -987654321)]
+    found = spark.createDataFrame(rows, "a long, b long").select("a", "b", F.xxhash64("a", "b").alias("h")).collect()
+    a, b, h = (np.array([r[k] for r in found], dtype=np.int64) for k in range(3))
+    assert (words_of_texts.xxhash64(a.view(np.uint64), b.view(np.uint64)).view(np.int64) == h).all()
+
+
 def test_scores_and_base_scores(spark, small):
     rows = texts(spark, small)
     tokens = {i: [*words(t, lower=True), None] for i, t in rows}
