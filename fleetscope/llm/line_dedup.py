@@ -210,19 +210,23 @@ def dropped_lines(
 ) -> DataFrame:
     """of, of_hash, dropped: the places of the lines that go, one row for every
     document that loses any."""
-    lines = scratch.save(_line_table(docs, id, text, least, near))
-    firsts = scratch.save(
-        lines.groupBy("h1", "h2").agg(
+    table = scratch.save(_line_table(docs, id, text, least, near))
+    keyed = scratch.save(
+        table.groupBy("h1", "h2").agg(
             F.min(F.struct(*_PLACE)).alias("first"), F.max("parts").alias("parts"),
             (F.count(F.lit(1)) > 1).alias("repeated"),
         )
     )
-    active = scratch.save(_active(firsts))
-    firsts_only = firsts.drop("parts")
-    close = _near_lines(docs, firsts_only.drop("repeated"), active, scratch, id, text, near)
-    repeated = firsts_only.filter("repeated").drop("repeated")
+    # the parts are most of both tables, and go before whole texts are dealt
+    lines = scratch.save(table.drop("parts"))
+    scratch.drop(table)
+    active = scratch.save(_active(keyed))
+    firsts = scratch.save(keyed.drop("parts"))
+    scratch.drop(keyed)
+    close = _near_lines(docs, firsts.drop("repeated"), active, scratch, id, text, near)
+    repeated = firsts.filter("repeated").drop("repeated")
     marked = repeated.join(close.withColumn("near", F.lit(True)), ["h1", "h2"], "full")
-    known = lines.drop("parts").join(marked, ["h1", "h2"])
+    known = lines.join(marked, ["h1", "h2"])
     gone = known.filter((F.struct(*_PLACE) != F.col("first")) | F.col("near"))
     found = gone.groupBy("id", "text_hash").agg(F.array_sort(F.collect_set("at")).alias("dropped"))
     found = scratch.save(found.withColumnsRenamed({"id": "of", "text_hash": "of_hash"}))
