@@ -18,7 +18,8 @@ def shared_folder(spark: SparkSession, name: str = "fleetscope") -> str:
     """A fresh folder below the cluster's shared checkpoint folder."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext._jsc.sc().isLocal():
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
             raise ValueError("spark.checkpoint.dir is not set: name a folder all executors share")
         warehouse = spark.conf.get("spark.sql.warehouse.dir", str(Path.cwd()))
         root = f"{warehouse.rstrip('/')}/{_LOCAL_FOLDER}"
