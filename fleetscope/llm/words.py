@@ -203,3 +203,18 @@ def slices(
 def signed(x: np.ndarray) -> np.ndarray:
     """64-bit hashes as Spark's bigint."""
     return x.view(np.int64)
+
+
+def packed(values: np.ndarray) -> bytes:
+    """Whole numbers from 0 on in as many bytes as the largest needs, lowest bytes
+    of all first, after a byte that holds this width."""
+    values = np.ascontiguousarray(values).view(np.uint64)
+    width = max(1, (int(values.max(initial=0)).bit_length() + 7) // 8)
+    return bytes([width]) + values.view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(data, dtype=np.uint8, offset=1).reshape(data[0], -1)
+    values = np.zeros((planes.shape[1], 8), dtype=np.uint8)
+    values[:, : data[0]] = planes.T
+    return values.view(np.uint64).ravel()

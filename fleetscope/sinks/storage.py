@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 # a cluster must name a folder that all its executors share; a session that runs
 # inside this one process has only its own working folder, and any path is shared
 _LOCAL_FOLDER = "checkpoints"
+_FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"  # since Spark 4.1
 
 
 def shared_folder(spark: SparkSession, name: str = "fleetscope") -> str:
@@ -157,10 +158,18 @@ class Scratch:
         self.folder = shared_folder(spark, name)
         self._written = 0
 
-    def save(self, df: DataFrame) -> DataFrame:
+    def save(self, df: DataFrame, free: bool = False) -> DataFrame:
+        """``free``: what this write has shuffled leaves the disk at its end."""
         self._written += 1
         path = f"{self.folder}/{self._written}"
-        df.write.option("compression", "zstd").parquet(path)
+        before = self.spark.conf.get(_FREE_SHUFFLES, "false")
+        if free:
+            self.spark.conf.set(_FREE_SHUFFLES, "true")
+        try:
+            df.write.option("compression", "zstd").parquet(path)
+        finally:
+            if free:
+                self.spark.conf.set(_FREE_SHUFFLES, before)
         saved = self.spark.read.schema(df.schema).parquet(path)
         saved.scratch_path = path
         return saved

@@ -6,6 +6,7 @@ import math
 import random
 import re
 import zlib
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -528,6 +529,35 @@ def test_contexts_are_counted_alike_in_a_corpus_of_any_size(spark, scratch):
     assert scores[0] > 1 and scores[1] > 3
 
 
+def test_scores_leave_little_on_the_disk(spark, medium, scratch):
+    local = [f.getPath() for f in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+
+    def shuffled():
+        return {p: p.stat().st_size for d in local for p in Path(d).rglob("shuffle_*.data")}
+
+    before, size = shuffled(), Path(f"{medium}/documents.parquet").stat().st_size
+    scored = suffix_model.score_texts(spark.read.parquet(f"{medium}/documents.parquet"), scratch)
+    left = sum(n for p, n in shuffled().items() if p not in before)
+    saved = sum(p.stat().st_size for p in Path(scratch.folder.removeprefix("file:")).rglob("part-*"))
+    assert left < 0.1 * size and 0 < saved < 2.5 * size
+    assert scored.count() == 1000
+
+
+def test_keys_of_many_parts_and_batches_add_up(spark, medium, scratch, monkeypatch):
+    docs = spark.read.parquet(f"{medium}/documents.parquet")
+    one = {r["doc_id"]: r for r in suffix_model.score_texts(docs, scratch).collect()}
+    monkeypatch.setattr(suffix_model, "PART_TOKENS", 30_000)
+    for r in suffix_model.score_texts(docs.repartition(7), scratch).collect():
+        wanted = one[r["doc_id"]]
+        assert r["score"] == pytest.approx(wanted["score"], rel=1e-9) and r["n_known"] == wanted["n_known"]
+
+
+@pytest.mark.parametrize("values", [[], [0], [0, 255], [1, 256, 3], [2**64 - 1, 0]])
+def test_packed_numbers_come_back(values):
+    x = np.array(values, dtype=np.uint64)
+    assert words_of_texts.unpacked(words_of_texts.packed(x)).tolist() == values
+
+
 def test_nodes_are_sparks_hashes(spark):
     rows = [(0, 0), (-1, 5), (1 << 62, -(1 << 63)), (123456789, -987654321)]
     found = spark.createDataFrame(rows, "a long, b long").select("a", "b", F.xxhash64("a", "b").alias("h")).collect()
